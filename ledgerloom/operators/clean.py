@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions.exact import RATE_LIMIT, money, parse, parse_double, rate, ratio, rounded
-from ledgerloom.operators.dedup import first_by_key, latest_by_key
+from ledgerloom.operators.dedup import latest_by_key
 
 # E-mail pattern, stock level that counts as low, tolerated line total difference.
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
@@ -128,26 +128,34 @@ CLEANERS = {
 }
 
 
-def typed(table: str, raw: DataFrame) -> DataFrame:
-    """Parse, normalise and derive; no row is dropped."""
+def parsed(table: str, raw: DataFrame) -> DataFrame:
+    """Normalise text and parse it by the declared types; no row is dropped."""
     entity = CLEANERS[table]
-    parsed = {}
+    columns = {}
     for name, kind in schemas.ENTITY_TYPES[table].items():
         column = F.col(name)
         if name in entity.normalise:
             column = entity.normalise[name](column)
-        parsed[name] = parse_double(column, RATE_LIMIT) if name == "discount" else parse(column, kind)
-    return raw.withColumns(parsed).withColumns(entity.derive())
+        columns[name] = parse_double(column, RATE_LIMIT) if name == "discount" else parse(column, kind)
+    return raw.withColumns(columns)
+
 
+def typed(table: str, raw: DataFrame) -> DataFrame:
+    """``parsed`` with the derived columns; no row is dropped."""
+    return parsed(table, raw).withColumns(CLEANERS[table].derive())
 
-def accepted(table: str, raw: DataFrame) -> DataFrame:
-    return typed(table, raw).filter(CLEANERS[table].reject().isNull())
 
+def quarantine(table: str, raw: DataFrame, processing_date: str | None = None) -> DataFrame:
+    """The rows ``silver`` leaves out, with the first reason that applies.
 
-def quarantine(table: str, raw: DataFrame) -> DataFrame:
-    """The rows ``silver`` leaves out, with the first reason that applies."""
+    A ``date_partition`` column is added for a processing date, and kept where the rows bring one.
+    """
     rows = typed(table, raw).withColumn(REJECT, CLEANERS[table].reject())
     names = [*schemas.ENTITY_TYPES[table], *schemas.DERIVED_TYPES[table], REJECT]
+    if processing_date is not None:
+        rows = rows.withColumn("date_partition", F.lit(processing_date))
+    if "date_partition" in rows.columns:
+        names.append("date_partition")
     return rows.filter(F.col(REJECT).isNotNull()).select(*names)
 
 
@@ -162,20 +170,19 @@ def silver(table: str, raw: DataFrame, processing_date: str | None,
 
     With ``processing_date`` all rows belong to that date. With None each row brings its own
     ``date_partition`` and one row is kept per date and key, as separate runs per date would.
-    Of several rows with the same key, orders keep the latest ``updated_at``; the other entities
-    keep the first by all columns. Ties fall to the remaining columns.
+    Of several rows with the same key, orders keep the latest ``updated_at``. Ties, and the other
+    entities altogether, go to the highest row by all columns.
     """
     entity = CLEANERS[table]
-    rows = accepted(table, raw)
-    names = [*schemas.ENTITY_TYPES[table], *schemas.DERIVED_TYPES[table]]
-    if processing_date is None:
-        rows, keys = rows.select(*names, "date_partition"), ["date_partition", entity.key]
-    else:
-        rows, keys = rows.select(*names), [entity.key]
-    rows = (latest_by_key(rows, keys, entity.newest) if entity.newest else first_by_key(rows, keys))
     day = F.col("date_partition") if processing_date is None else F.lit(processing_date)
-    return (rows.withColumns({"processed_at": instant(clock), "job_date": day, "date_partition": day})
-            .select(*schemas.SILVER_TYPES[table]))
+    names, keys = list(schemas.ENTITY_TYPES[table]), [entity.key]
+    if processing_date is None:
+        names, keys = [*names, "date_partition"], ["date_partition", *keys]
+    rows = parsed(table, raw).filter(entity.reject().isNull()).select(*names)
+    # Derived columns follow from the others, so they are added to the rows that are kept.
+    rows = latest_by_key(rows, keys, entity.newest).withColumns(entity.derive())
+    audit = {"processed_at": instant(clock), "job_date": day, "date_partition": day}
+    return rows.withColumns(audit).select(*schemas.SILVER_TYPES[table])
 
 
 def silver_orders(raw: DataFrame, processing_date: str | None, clock: datetime | None = None) -> DataFrame:

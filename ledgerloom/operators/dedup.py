@@ -1,25 +1,38 @@
-"""One row per key, by a total order, so reruns keep the same row."""
+"""One row per key, by a total order over all columns, so reruns keep the same row.
+
+Both operators are one aggregate over the whole row as a struct. Each map task combines the rows
+of a key before the shuffle, so a key holding a third of all rows sends one row per task, and no
+task ever holds the rows of a key together. Structs compare field by field, nulls lowest.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """Keep the first row of each key by ``order``; ties fall to the remaining columns, ascending.
+def _one_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                pick: Callable[[Column], Column]) -> DataFrame:
+    rest = [name for name in df.columns if name not in keys]
+    ranked = [*order, *[name for name in rest if name not in order]]
+    rows = df.groupBy(*keys).agg(pick(F.struct(*ranked)).alias("_row"))
+    return rows.select(*[F.col(name) if name in keys else F.col("_row")[name].alias(name)
+                         for name in df.columns])
+
+
+def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """Keep the row with the highest ``newest`` columns of each key; null counts as oldest.
 
-    Spark turns ``row_number() = 1`` into a WindowGroupLimit on both sides of the shuffle: each
-    map task sends at most one row per key, so a key holding a third of all rows costs one row
-    per task.
+    Ties fall to the highest remaining columns in column order.
     """
-    ties = [F.col(name).asc_nulls_last() for name in df.columns if name not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
-    return df.withColumn("_nth", F.row_number().over(window)).filter(F.col("_nth") == 1).drop("_nth")
+    return _one_by_key(df, keys, newest, F.max)
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
-    """Keep the row with the highest ``newest`` columns of each key (nulls count as oldest)."""
-    return first_by_key(df, keys, [F.col(name).desc_nulls_last() for name in newest])
+def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Keep the row with the lowest ``order`` columns of each key; null counts as lowest.
+
+    Ties fall to the lowest remaining columns in column order.
+    """
+    return _one_by_key(df, keys, order, F.min)

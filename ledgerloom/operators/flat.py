@@ -59,9 +59,7 @@ def flat_clean(table: str, raw: DataFrame, arrival: Sequence[str]) -> DataFrame:
     clean = {name: RULES[table].get(name, lambda text: text)(text_or_empty(F.col(name)))
              for name in names}
     rows = rows.withColumns(order).withColumns(clean).filter(F.col(key) != "")
-    first = first_by_key(rows.select(*names, *order), [key],
-                         [F.col(name).asc_nulls_last() for name in order])
-    return first.select(*names)
+    return first_by_key(rows.select(*names, *order), [key], list(order)).select(*names)
 
 
 def _not_cancelled(orders: DataFrame) -> DataFrame:

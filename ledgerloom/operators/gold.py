@@ -78,16 +78,18 @@ def customer_rfm(orders: DataFrame, customers: DataFrame, processing_date: str,
     The quartiles come from one sketch aggregate used as a scalar subquery, so nothing passes
     through the driver program and an empty input gives an empty table.
     """
-    per_customer = (_not_cancelled(orders).groupBy("customer_id")
-                    .agg(F.max("order_date").alias("last_order_date"),
-                         F.count("order_id").alias("frequency"),
-                         rounded(F.sum(money(F.col("total"))), 2).alias("monetary"))
-                    .withColumn("recency_days",
-                                F.date_diff(F.lit(processing_date).cast("date"), "last_order_date")))
+    today, last = F.lit(processing_date).cast("date"), F.max("order_date")
+    # Both uses of this aggregate need the same functions in the same order, so that Spark runs
+    # its shuffle once and reuses it for the subquery.
+    per_customer = _not_cancelled(orders).groupBy("customer_id").agg(
+        F.count("order_id").alias("frequency"),
+        rounded(F.sum(money(F.col("total"))), 2).alias("monetary"),
+        last.alias("last_order_date"),
+        F.date_diff(today, last).alias("recency_days"))
     points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     quartiles = per_customer.agg(F.struct(
         *[F.percentile_approx(name, points, accuracy).alias(name)
-          for name in ("recency_days", "frequency", "monetary")]).alias("bounds"))
+          for name in ("frequency", "monetary", "recency_days")]).alias("bounds"))
     scored = (per_customer.withColumn("bounds", quartiles.scalar())
               .withColumns({"r_score": _score("recency_days", "bounds.recency_days", True),
                             "f_score": _score("frequency", "bounds.frequency", False),

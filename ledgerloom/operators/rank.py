@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.staging import stage
@@ -14,24 +14,20 @@ ONE_TASK_ROWS = 200_000
 SALTS = 64
 
 
-def ranked_in_one_task(df: DataFrame, by: str, out: str) -> DataFrame:
-    window = Window.orderBy(F.col(by).desc_nulls_last())
-    return df.withColumn(out, F.rank().over(window).cast("int"))
+def _salt(key: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(SALTS))
 
 
-def ranked_in_slices(df: DataFrame, by: str, out: str, key: Sequence[str]) -> DataFrame:
-    """``rank()`` by ``by`` descending, nulls last, from range slices of the value counts.
+def value_ranks(df: DataFrame, by: str, out: str, key: Sequence[str]) -> DataFrame:
+    """(value, salt, rank) for ``rank()`` by ``by`` descending, nulls last.
 
     A rank is 1 + the rows with a higher value. Rows are first counted per value and salt, so
     ties collapse before the shuffle. The counts are range partitioned and staged together with
-    their slice number; a row's rank is then the total of the slices before, plus the counts
-    above it in its own slice. Ranks go back to the rows by value and salt, so a value shared by
-    a third of the rows is still spread over ``SALTS`` join keys; ``key`` names the columns that
-    tell rows apart. ``df`` is read twice and must give the same rows both times: pass a table or
-    a staged frame.
+    their slice number. A rank is then the total of the slices before, plus the counts above the
+    value in its own slice.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)))
-    counts = salted.groupBy(F.col(by).alias("_value"), "_salt").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.groupBy(F.col(by).alias("_value"), _salt(key).alias("_salt")).agg(
+        F.count(F.lit(1)).alias("_rows"))
     slices = stage(counts.repartitionByRange(F.col("_value").desc_nulls_last())
                    .withColumn("_slice", F.spark_partition_id()), "rank-slices")
 
@@ -45,13 +41,28 @@ def ranked_in_slices(df: DataFrame, by: str, out: str, key: Sequence[str]) -> Da
                     .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     same_value = Window.partitionBy("_slice", "_value")
     above = F.sum("_rows").over(down_to_here) - F.sum("_rows").over(same_value)
-    ranks = (slices.withColumn("_above", above)
-             .join(F.broadcast(before), "_slice")
-             .select("_value", F.col("_salt").alias("_rank_salt"),
-                     (F.col("_before") + F.col("_above") + 1).alias(out)))
-    return (salted.join(ranks, salted[by].eqNullSafe(ranks["_value"])
-                        & (F.col("_salt") == F.col("_rank_salt")), "left")
-            .drop("_salt", "_value", "_rank_salt"))
+    return (slices.withColumn("_above", above).join(F.broadcast(before), "_slice")
+            .select("_value", "_salt", (F.col("_before") + F.col("_above") + 1).cast("int").alias(out)))
+
+
+def ranked_in_slices(df: DataFrame, ranks: dict[str, str], key: Sequence[str]) -> DataFrame:
+    """Add the rank columns by value counts; no task holds more than a slice of the values.
+
+    Ranks go back to the rows by value and salt, so a value shared by a third of the rows is
+    spread over ``SALTS`` join keys; ``key`` names the columns that tell rows apart. ``df`` is
+    read several times and must give the same rows each time: pass a table or a staged frame.
+    """
+    result = df.withColumn("_salt", _salt(key))
+    for out, by in ranks.items():
+        found = value_ranks(df, by, out, key)
+        same = result[by].eqNullSafe(found["_value"]) & (result["_salt"] == found["_salt"])
+        result = result.join(found, same, "left").drop(found["_value"]).drop(found["_salt"])
+    return result.drop("_salt")
+
+
+def ranked_in_one_task(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
+    windows = {out: Window.orderBy(F.col(by).desc_nulls_last()) for out, by in ranks.items()}
+    return df.withColumns({out: F.rank().over(window).cast("int") for out, window in windows.items()})
 
 
 def global_rank(df: DataFrame, ranks: dict[str, str], key: Sequence[str],
@@ -59,18 +70,9 @@ def global_rank(df: DataFrame, ranks: dict[str, str], key: Sequence[str],
     """Add one int rank column per ``{output column: value column}``, highest value first.
 
     The rows are staged first. Their count then decides whether a single sort is cheap enough;
-    beyond ``one_task_rows`` each rank is computed in slices.
+    beyond ``one_task_rows`` the ranks are computed in slices.
     """
     staged = stage(df, "rank-input")
     if staged.count() <= one_task_rows:
-        for out, by in ranks.items():
-            staged = ranked_in_one_task(staged, by, out)
-        return staged
-    return sliced_ranks(staged, ranks, key)
-
-
-def sliced_ranks(staged: DataFrame, ranks: dict[str, str], key: Sequence[str]) -> DataFrame:
-    result = staged
-    for out, by in ranks.items():
-        result = ranked_in_slices(result, by, out, key).withColumn(out, F.col(out).cast("int"))
-    return result
+        return ranked_in_one_task(staged, ranks)
+    return ranked_in_slices(staged, ranks, key)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom import schemas
 from ledgerloom.operators import flat, gold
-from ledgerloom.operators.clean import silver
+from ledgerloom.operators.clean import quarantine, silver
 from ledgerloom.sources import bronze, tables
 from ledgerloom.sources.staging import stage
 
@@ -20,15 +21,25 @@ def yesterday(now: datetime | None = None) -> date:
     return ((now or datetime.now(UTC)) - timedelta(days=1)).date()
 
 
+def _clean_all(spark: SparkSession, root: str, days: list[date | str], read: Callable[[str], DataFrame],
+               processing_date: str | None, clock: datetime | None) -> DataFrame:
+    """Write the clean and the rejected rows of the four tables; gives the rows per table."""
+    clean, rejected = {}, {}
+    for table in schemas.ENTITIES:
+        raw = read(table)
+        clean[table] = tables.write_silver(silver(table, raw, processing_date, clock), root, table, days)
+        rejected[table] = tables.write_rejected(quarantine(table, raw, processing_date), root, table, days)
+    return (tables.run_summary(spark, "silver", clean)
+            .unionByName(tables.run_summary(spark, "rejected", rejected)))
+
+
 def run_silver(spark: SparkSession, raw_root: str, silver_root: str, day: date | str | None = None,
                clock: datetime | None = None, file_format: str = "csv") -> DataFrame:
     """Clean the four raw tables of one date; gives the rows written per table."""
     processing_date = str(day or yesterday())
-    counts = {}
-    for table in schemas.ENTITIES:
-        raw = bronze.read_day(spark, raw_root, table, processing_date, file_format)
-        counts[table] = tables.write_silver(silver(table, raw, processing_date, clock), silver_root, table)
-    return tables.run_summary(spark, "silver", counts)
+    return _clean_all(spark, silver_root, [processing_date],
+                      lambda table: bronze.read_day(spark, raw_root, table, processing_date, file_format),
+                      processing_date, clock)
 
 
 def run_range(spark: SparkSession, raw_root: str, silver_root: str, start: date, end: date,
@@ -39,17 +50,14 @@ def run_range(spark: SparkSession, raw_root: str, silver_root: str, start: date,
     The result equals separate runs per date. Partitions of the range are replaced, so it can be
     repeated; a range longer than ``max_days`` is refused.
     """
-    days = (end - start).days + 1
-    if days < 1:
+    length = (end - start).days + 1
+    if length < 1:
         raise ValueError(f"range ends before it starts: {start} to {end}")
-    if days > max_days:
-        raise ValueError(f"range of {days} days exceeds the limit of {max_days}")
-    counts = {}
-    for table in schemas.ENTITIES:
-        raw = bronze.read_days(spark, raw_root, table, start, end, file_format)
-        counts[table] = tables.write_silver(silver(table, raw, None, clock), silver_root, table,
-                                            many_dates=True)
-    return tables.run_summary(spark, "silver", counts)
+    if length > max_days:
+        raise ValueError(f"range of {length} days exceeds the limit of {max_days}")
+    return _clean_all(spark, silver_root, [start + timedelta(days=back) for back in range(length)],
+                      lambda table: bronze.read_days(spark, raw_root, table, start, end, file_format),
+                      None, clock)
 
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, day: date | str | None = None,

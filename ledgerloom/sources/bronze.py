@@ -17,6 +17,16 @@ FORMATS = ("csv", "json", "parquet")
 DATE_IN_PATH = r"/dt=(\d{4})[/-](\d{2})[/-](\d{2})/"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when the files give fewer tasks than cores.
+
+    Gzip text and Parquet files of one row group cannot be split. A scan with enough tasks, as any
+    large one has, is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
              recursive: bool = False) -> DataFrame:
     """CSV with a header row, all columns text unless a schema is given.

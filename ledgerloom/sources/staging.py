@@ -39,3 +39,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the file system the path belongs to; false where there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

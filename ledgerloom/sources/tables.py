@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators.dedup import latest_by_key
 from ledgerloom.sources.bronze import write_text
+from ledgerloom.sources.staging import remove_folder
 
 COUNT_TYPES = "layer string, table_name string, row_count bigint"
 
@@ -18,17 +22,32 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_silver(df: DataFrame, root: str, table: str, many_dates: bool = False) -> int:
-    """Replace the date partitions present in ``df`` and leave the others; gives the row count.
+def replace_days(df: DataFrame, path: str, days: Sequence[date | str]) -> int:
+    """Make ``df`` the content of the partitions of ``days``; gives the row count.
 
-    ``many_dates`` adds a rebalance by date, so that a date gets few files of even size.
+    Other dates stay. The rows are counted per date while they are written; the folder of a date
+    that has none any more is removed, which an overwrite by partition alone would leave behind.
+    A rebalance by date gives each date few files of even size.
     """
-    rows, seen = counted(df)
-    if many_dates:
+    seen = Observation()
+    per_day = [F.count_if(F.col("date_partition") == str(day)).alias(str(day)) for day in days]
+    rows = df.observe(seen, *per_day)
+    if len(per_day) > 1:
         rows = rows.hint("rebalance", "date_partition")
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date_partition").parquet(f"{root}/silver/{table}"))
-    return seen.get["rows"]
+     .partitionBy("date_partition").parquet(path))
+    for day, count in seen.get.items():
+        if count == 0:
+            remove_folder(df.sparkSession, f"{path}/date_partition={day}")
+    return sum(seen.get.values())
+
+
+def write_silver(df: DataFrame, root: str, table: str, days: Sequence[date | str]) -> int:
+    return replace_days(df, f"{root}/silver/{table}", days)
+
+
+def write_rejected(df: DataFrame, root: str, table: str, days: Sequence[date | str]) -> int:
+    return replace_days(df, f"{root}/rejected/{table}", days)
 
 
 def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -78,11 +97,11 @@ def run_summary(spark: SparkSession, layer: str, counts: dict[str, int]) -> Data
 
 
 def write_flat_csv(df: DataFrame, path: str) -> int:
-    """CSV with header, null and empty text both as nothing; no folder is written for no rows."""
-    if df.isEmpty():
-        return 0
+    """CSV with header, null and empty text both as nothing; no rows leave no folder."""
     rows, seen = counted(df)
     write_text(rows).csv(path)
+    if seen.get["rows"] == 0:
+        remove_folder(df.sparkSession, path)
     return seen.get["rows"]
 
 

@@ -92,9 +92,9 @@ REJECT = {
 
 def newest_first(name: str) -> str:
     """The order in which rows of one key compete: the rule of the table, then all its columns."""
-    first = ["updated_at desc nulls last"] if name == "orders" else []
-    rest = [f"{column} nulls last" for column in schemas.ENTITY_TYPES[name]]
-    return ", ".join(first + rest)
+    first = ["updated_at"] if name == "orders" else []
+    columns = [*first, *schemas.ENTITY_TYPES[name]]
+    return ", ".join(f"{column} desc nulls last" for column in columns)
 
 
 SILVER = {
@@ -228,6 +228,8 @@ COUNTS = {
 select '{layer}' as layer, '{title}' as table_name, (select count(*) from {view}) as row_count """
         for layer, title, view in [
             *[("silver", name, f"silver_{name}") for name in schemas.ENTITIES],
+            *[("rejected", name, f"(select * from typed_{name} where ({REJECT[name]}) is not null)")
+              for name in schemas.ENTITIES],
             ("gold", "daily_revenue_summary", "gold_daily"), ("gold", "customer_rfm", "gold_rfm"),
             ("gold", "product_performance", "gold_products"), ("gold", "geo_revenue", "gold_geo"),
             ("gold", "order_status_funnel", "gold_funnel")]),

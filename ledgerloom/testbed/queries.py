@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import analytics, clean, flat, gold, quality, report
-from ledgerloom.operators.rank import sliced_ranks
+from ledgerloom.operators.rank import ranked_in_slices
 from ledgerloom.plans import batch
 from ledgerloom.session import pin_time_zone
 from ledgerloom.sources import bronze, manifest, tables
@@ -120,7 +120,7 @@ def _global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line ranked by price and by quantity, by the way that sorts in slices."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    return sliced_ranks(lines, {"rank_by_price": "l_extendedprice", "rank_by_quantity": "l_quantity"},
+    return ranked_in_slices(lines, {"rank_by_price": "l_extendedprice", "rank_by_quantity": "l_quantity"},
                         ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
@@ -149,16 +149,12 @@ def _backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written
 
 
-def _run_all(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "run")
     for name in schemas.ENTITIES:
         bronze.land_csv(raw(spark, sf_dir, name), root, name, AS_OF)
     counts = batch.run_silver(spark, root, root, AS_OF)
-    return root, counts.unionByName(batch.run_gold(spark, root, root, AS_OF))
-
-
-def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_all(spark, sf_dir)[1]
+    return counts.unionByName(batch.run_gold(spark, root, root, AS_OF))
 
 
 def _run_flat_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,12 +166,15 @@ def _run_flat_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All layers written, declared as tables and queried by name."""
-    root, _ = _run_all(spark, sf_dir)
-    tables.create_catalog(spark, root, root)
-    return (spark.table("retail_gold.daily_revenue_summary").drop("updated_at")
-            .select("order_date", "channel", "total_orders", "gross_revenue", "promo_revenue", "avg_item_value",
-                    "total_items_sold", "total_units", "aov", "promo_pct", "date_partition"))
+    """The daily table written, declared in the catalog and queried by name."""
+    root = fresh_folder(spark, "catalog")
+    name = "daily_revenue_summary"
+    tables.write_gold(_daily(spark, sf_dir), root, name)
+    tables.create_database(spark, "retail_gold", "Business tables", f"{root}/gold")
+    tables.create_table(spark, "retail_gold", name, schemas.GOLD_TYPES[name],
+                        schemas.GOLD_LAYOUT[name][0], f"{root}/gold/{name}")
+    columns = [column for column in schemas.GOLD_TYPES[name] if column != "updated_at"]
+    return spark.table(f"retail_gold.{name}").select(*columns)
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
