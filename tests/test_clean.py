@@ -1,0 +1,134 @@
+from datetime import date, datetime
+
+import pytest
+
+from helpers import by, dicts, raw, rows
+from ledgerloom.functions.text import strip, title_words
+from ledgerloom.operators import clean
+from ledgerloom.schemas import ENTITIES, SILVER_TYPES
+from ledgerloom.testbed.bronze_views import raw as raw_view
+from pyspark.sql import functions as F
+
+DAY, CLOCK = "2024-11-03", datetime(2024, 11, 3, 4, 5, 6)
+
+
+def silver(spark, table, *changes):
+    return clean.silver(table, raw(spark, table, *changes), DAY, CLOCK)
+
+
+def test_order_is_typed_and_normalised(spark):
+    row = dicts(silver(spark, "orders", {"promo_code": "PROMO-1"}))[0]
+    assert row == {
+        "order_id": "o1", "customer_id": "c1", "status": "shipped", "subtotal": 10.0, "shipping": 4.99,
+        "total": 14.99, "currency": "USD", "created_at": datetime(2024, 11, 1, 10, 30),
+        "updated_at": datetime(2024, 11, 2, 10, 30), "channel": "web", "promo_code": "PROMO-1",
+        "order_date": date(2024, 11, 1), "order_hour": 10, "is_promoted": True, "processed_at": CLOCK,
+        "job_date": DAY, "date_partition": DAY}
+
+
+def test_silver_schemas(spark):
+    for table in ENTITIES:
+        types = {f.name: f.dataType.simpleString() for f in silver(spark, table, {}).schema}
+        assert types == SILVER_TYPES[table]
+
+
+@pytest.mark.parametrize(("change", "reason"), [
+    ({"order_id": None}, "missing order_id"),
+    ({"customer_id": None}, "missing customer_id"),
+    ({"total": None}, "total is no amount"),
+    ({"total": "n/a"}, "total is no amount"),
+    ({"total": "NaN"}, "total is no amount"),
+    ({"total": "1e300"}, "total is no amount"),
+    ({"total": "-0.01"}, "negative total"),
+    ({"total": "0"}, None),
+    ({"created_at": "yesterday", "subtotal": "x", "status": None}, None),
+])
+def test_order_filter_and_reason(spark, change, reason):
+    data = raw(spark, "orders", change)
+    kept, dropped = clean.silver("orders", data, DAY, CLOCK).collect(), dicts(clean.quarantine("orders", data))
+    assert (len(kept), [row["reject_reason"] for row in dropped]) == ((1, []) if reason is None else (0, [reason]))
+
+
+def test_bad_values_become_null_and_stay(spark):
+    row = dicts(silver(spark, "orders", {"created_at": "yesterday", "subtotal": "x", "promo_code": None}))[0]
+    assert (row["created_at"], row["order_date"], row["order_hour"], row["subtotal"]) == (None,) * 4
+    assert row["is_promoted"] is False
+
+
+def test_latest_version_wins_but_a_rejected_one_does_not_count(spark):
+    kept = by(silver(spark, "orders",
+                     {"order_id": "a", "updated_at": "2024-11-01 00:00:00", "status": "pending"},
+                     {"order_id": "a", "updated_at": "2024-11-02 00:00:00", "status": "shipped"},
+                     {"order_id": "a", "updated_at": "2024-11-03 00:00:00", "total": "-1"},
+                     {"order_id": "b", "updated_at": "never", "status": "pending"},
+                     {"order_id": "b", "updated_at": "2020-01-01", "status": "delivered"}), "order_id")
+    assert kept["a"]["status"] == "shipped" and kept["b"]["status"] == "delivered"
+
+
+@pytest.mark.parametrize(("email", "kept"), [
+    ("a@b.co", 1), (" A@B.CO ", 1), ("a@b", 0), ("a b@c.de", 0), ("a@@b.co", 0), ("", 0), (None, 0)])
+def test_customer_email(spark, email, kept):
+    data = raw(spark, "customers", {"email": email})
+    assert clean.silver("customers", data, DAY).count() == kept
+    assert clean.quarantine("customers", data).count() == 1 - kept
+
+
+def test_customer_columns(spark):
+    row = dicts(silver(spark, "customers", {"segment": "PLATINUM"}))[0]
+    assert (row["email"], row["country"], row["segment"]) == ("ann@example.com", "US", "Platinum")
+    assert row["signup_date"] == date(2023, 5, 6)
+
+
+def test_product_columns(spark):
+    row = dicts(silver(spark, "products", {"stock_qty": "9.7", "cost": "6.665"}))[0]
+    assert (row["category"], row["sku"], row["stock_qty"]) == ("Home & Kitchen", "AB-1", 9)
+    assert (row["margin_pct"], row["is_low_stock"]) == (33.35, True)
+    row = dicts(silver(spark, "products", {"stock_qty": "many", "cost": None}))[0]
+    assert (row["stock_qty"], row["is_low_stock"], row["margin_pct"]) == (None, None, None)
+    assert silver(spark, "products", {"price": "0"}, {"price": "free"}, {"product_id": None}).count() == 0
+
+
+def test_item_formula_and_mismatch(spark):
+    kept = by(silver(spark, "order_items",
+                     {"item_id": "same"}, {"item_id": "cent", "line_total": "9.01"},
+                     {"item_id": "off", "line_total": "9.02"}, {"item_id": "none", "discount": "x"},
+                     {"item_id": "half", "quantity": "1", "unit_price": "0.01", "discount": "0.5"}), "item_id")
+    assert {key: row["total_mismatch"] for key, row in kept.items()} == {
+        "same": False, "cent": False, "off": True, "none": None, "half": True}
+    assert kept["off"]["line_total"] == 9.02 and kept["off"]["line_total_recalc"] == 9.0
+    assert kept["half"]["line_total_recalc"] == 0.01
+
+
+def test_item_filter(spark):
+    data = raw(spark, "order_items", {"item_id": None}, {"order_id": None}, {"quantity": "0"},
+               {"quantity": "two"}, {"item_id": "ok", "product_id": None}, {"item_id": "ok", "product_id": None})
+    assert rows(clean.silver("order_items", data, DAY), "item_id", "product_id") == [("ok", None)]
+    assert clean.quarantine("order_items", data).count() == 4
+
+
+def test_own_dates_keep_one_row_per_date(spark):
+    data = raw(spark, "orders", {"status": "pending"}, {"status": "shipped"}, {"status": "shipped"})
+    days = data.withColumn("date_partition", F.when(F.lower(F.trim("status")) == "pending", "2024-11-01")
+                           .otherwise("2024-11-02"))
+    assert rows(clean.silver("orders", days, None), "date_partition", "job_date", "status") == [
+        ("2024-11-01", "2024-11-01", "pending"), ("2024-11-02", "2024-11-02", "shipped")]
+
+
+def test_every_planted_defect_is_found(spark):
+    sf = "/root/testdata/sf0.001"
+    seen = {row["reject_reason"] for table in ENTITIES
+            for row in clean.quarantine(table, raw_view(spark, sf, table)).select("reject_reason").distinct().collect()}
+    assert seen == {"missing customer_id", "total is no amount", "negative total", "invalid email",
+                    "price not positive", "quantity not positive"}
+
+
+def test_kept_and_rejected_rows_add_up(spark):
+    sf = "/root/testdata/sf0.001"
+    for table in ("customers", "products"):
+        data = raw_view(spark, sf, table)
+        assert clean.silver(table, data, DAY).count() + clean.quarantine(table, data).count() == data.count()
+
+
+def test_text_helpers(spark):
+    df = spark.createDataFrame([("o'neil a-b 2nd", "\t x\n ")], "a string, b string")
+    assert tuple(df.select(title_words(F.col("a")), strip(F.col("b"))).first()) == ("O'Neil A-B 2Nd", "x")

@@ -1,0 +1,195 @@
+import random
+from collections import defaultdict
+from datetime import date, datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+
+from helpers import by, dicts, raw, rows
+from ledgerloom.operators import gold
+from ledgerloom.operators.clean import silver
+from ledgerloom.schemas import GOLD_TYPES
+
+DAY, CLOCK = "2024-11-10", datetime(2024, 11, 10)
+
+
+def orders(spark, *changes):
+    return silver("orders", raw(spark, "orders", *changes), DAY, CLOCK)
+
+
+def items(spark, *changes):
+    return silver("order_items", raw(spark, "order_items", *changes), DAY, CLOCK)
+
+
+def customers(spark, *changes):
+    return silver("customers", raw(spark, "customers", *changes), DAY, CLOCK)
+
+
+def products(spark, *changes):
+    return silver("products", raw(spark, "products", *changes), DAY, CLOCK)
+
+
+def test_gold_schemas(spark):
+    o, i, c, p = (orders(spark, {}), items(spark, {}), customers(spark, {}), products(spark, {}))
+    built = {
+        "daily_revenue_summary": gold.daily_revenue_summary(o, i, DAY, CLOCK),
+        "customer_rfm": gold.customer_rfm(o, c, DAY, CLOCK),
+        "product_performance": gold.product_performance(i, o, p, DAY, CLOCK),
+        "geo_revenue": gold.geo_revenue(o, c, DAY, CLOCK),
+        "order_status_funnel": gold.order_status_funnel(o, DAY, CLOCK)}
+    for table, df in built.items():
+        assert {f.name: f.dataType.simpleString() for f in df.schema} == GOLD_TYPES[table]
+        row = df.first()
+        assert (row["updated_at"], row["date_partition"]) == (CLOCK, DAY)
+
+
+def test_daily_revenue(spark):
+    o = orders(spark, {"order_id": "a", "promo_code": "P"}, {"order_id": "b"}, {"order_id": "c", "status": "cancelled"},
+               {"order_id": "d", "channel": "api"}, {"order_id": "empty"}, {"order_id": "e", "status": None})
+    i = items(spark, {"item_id": "1", "order_id": "a", "line_total": "10.01"},
+              {"item_id": "2", "order_id": "a", "line_total": "0.02"},
+              {"item_id": "3", "order_id": "b", "line_total": "20.00"},
+              {"item_id": "4", "order_id": "b", "line_total": "n/a", "quantity": "3"},
+              {"item_id": "5", "order_id": "c"}, {"item_id": "6", "order_id": "d"},
+              {"item_id": "7", "order_id": "lost"}, {"item_id": "8", "order_id": "e"})
+    got = by(gold.daily_revenue_summary(o, i, DAY, CLOCK), "channel")
+    assert set(got) == {"web", "api"}
+    web = got["web"]
+    assert (web["total_orders"], web["total_items_sold"], web["total_units"]) == (2, 4, 9)
+    assert (web["gross_revenue"], web["promo_revenue"], web["avg_item_value"]) == (30.03, 10.03, 10.01)
+    assert (web["aov"], web["promo_pct"]) == (15.02, 33.4)
+    assert (got["api"]["promo_revenue"], got["api"]["promo_pct"]) == (None, None)
+
+
+def test_daily_revenue_zero_gross_has_no_share(spark):
+    got = dicts(gold.daily_revenue_summary(orders(spark, {"promo_code": "P"}),
+                                           items(spark, {"line_total": "0"}), DAY, CLOCK))[0]
+    assert (got["gross_revenue"], got["promo_pct"], got["aov"]) == (0.0, None, 0.0)
+
+
+def test_rfm_scores_and_segments(spark):
+    changes = []
+    for number in range(1, 5):
+        for order in range(number):
+            changes.append({"order_id": f"{number}-{order}", "customer_id": f"c{number}",
+                            "created_at": f"2024-11-0{number}", "total": f"{number * 10}.00"})
+    changes.append({"order_id": "x", "customer_id": "c9", "status": "cancelled"})
+    got = by(gold.customer_rfm(orders(spark, *changes), customers(spark, {"customer_id": "c4"}), DAY, CLOCK),
+             "customer_id")
+    assert set(got) == {"c1", "c2", "c3", "c4"}
+    scores = {key: (row["recency_days"], row["frequency"], row["monetary"], row["r_score"], row["f_score"],
+                    row["m_score"], row["rfm_score"], row["rfm_segment"]) for key, row in got.items()}
+    assert scores["c4"] == (6, 4, 160.0, 4, 4, 4, 12, "Champions")
+    assert scores["c3"] == (7, 3, 90.0, 3, 4, 4, 11, "Champions")
+    assert scores["c2"] == (8, 2, 40.0, 2, 3, 3, 8, "Loyal Customers")
+    assert scores["c1"] == (9, 1, 10.0, 1, 2, 2, 5, "At Risk")
+    assert (got["c4"]["country"], got["c4"]["signup_date"], got["c1"]["country"]) == ("US", date(2023, 5, 6), None)
+
+
+def test_rfm_of_nothing_is_empty(spark):
+    assert gold.customer_rfm(orders(spark, {"status": "cancelled"}), customers(spark, {}), DAY).count() == 0
+
+
+def test_rfm_order_after_the_snapshot_has_negative_recency(spark):
+    got = dicts(gold.customer_rfm(orders(spark, {"created_at": "2024-11-12"}), customers(spark, {}), DAY))[0]
+    assert got["recency_days"] == -2
+
+
+@pytest.mark.parametrize("one_task_rows", [0, 1000])
+def test_product_performance(spark, one_task_rows):
+    o = orders(spark, {"order_id": "a", "created_at": "2024-11-01"}, {"order_id": "b", "created_at": "2024-11-05"},
+               {"order_id": "c", "status": "Cancelled"})
+    i = items(spark, {"item_id": "1", "order_id": "a", "line_total": "5.00", "discount": "0.1"},
+              {"item_id": "2", "order_id": "a", "line_total": "5.00", "discount": "0.2"},
+              {"item_id": "3", "order_id": "b", "line_total": "5.00", "discount": "0.2", "quantity": "4"},
+              {"item_id": "4", "order_id": "b", "product_id": "p2", "line_total": "15.00", "quantity": "1"},
+              {"item_id": "5", "order_id": "b", "product_id": None, "line_total": "1.00"},
+              {"item_id": "6", "order_id": "c", "product_id": "p3"})
+    got = by(gold.product_performance(i, o, products(spark, {}, {"product_id": "p3"}), DAY, CLOCK, one_task_rows),
+             "product_id")
+    assert set(got) == {"p1", "p2", None}
+    one = got["p1"]
+    assert (one["units_sold"], one["revenue"], one["order_count"], one["avg_discount"]) == (8, 15.0, 2, 0.1667)
+    assert (one["last_sold_date"], one["category"], one["price"]) == (date(2024, 11, 5), "Home & Kitchen", 10.0)
+    assert {key: (row["rank_by_revenue"], row["rank_by_units"]) for key, row in got.items()} == {
+        "p1": (1, 1), "p2": (1, 3), None: (3, 2)}
+    assert got["p2"]["name"] is None
+
+
+def test_geo_revenue(spark):
+    o = orders(spark, {"order_id": "a", "total": "1.00"}, {"order_id": "b", "total": "2.01"},
+               {"order_id": "c", "total": "3.00", "customer_id": "c2"}, {"order_id": "d", "customer_id": "nobody"},
+               {"order_id": "e", "status": "cancelled"}, {"order_id": "f", "created_at": "2024-11-02"})
+    c = customers(spark, {}, {"customer_id": "c2"})
+    got = {(row["country"], row["order_date"].day): row for row in gold.geo_revenue(o, c, DAY).collect()}
+    assert set(got) == {("US", 1), (None, 1), ("US", 2)}
+    us = got[("US", 1)]
+    assert (us["revenue"], us["orders"], us["unique_customers"], us["aov"]) == (6.01, 3, 2, 2.0)
+
+
+def test_funnel_counts_cancelled_and_null(spark):
+    o = orders(spark, {"order_id": "a"}, {"order_id": "b", "status": "CANCELLED"}, {"order_id": "c", "status": None})
+    assert rows(gold.order_status_funnel(o, DAY), "status", "order_count", "total_value") == [
+        (None, 1, 14.99), ("cancelled", 1, 14.99), ("shipped", 1, 14.99)]
+
+
+def _cents(value):
+    return value.quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
+def test_against_brute_force_with_hot_keys(spark):
+    """A third of the items belong to one order and a third to one product; one customer has a third of the orders."""
+    rng = random.Random(7)
+    order_rows, item_rows = [], []
+    for number in range(600):
+        order_rows.append({"order_id": f"o{number}", "customer_id": "hot" if number % 3 == 0 else f"c{rng.randrange(90)}",
+                           "status": rng.choice(["shipped", "cancelled", "pending"]) if number else "shipped",
+                           "channel": rng.choice(["web", "api"]), "total": f"{rng.randrange(100000) / 100:.2f}",
+                           "created_at": str(date(2024, 11, 1) + timedelta(days=rng.randrange(5))),
+                           "promo_code": rng.choice([None, "P"])})
+    for number in range(3000):
+        item_rows.append({"item_id": f"i{number}", "order_id": "o0" if number % 3 == 0 else f"o{rng.randrange(620)}",
+                          "product_id": "hot" if number % 3 == 1 else f"p{rng.randrange(40)}",
+                          "quantity": str(rng.randrange(1, 6)), "line_total": f"{rng.randrange(99999) / 100:.2f}"})
+    customer_rows = [{"customer_id": f"c{number}", "country": rng.choice(["us", "de"])} for number in range(80)]
+    customer_rows.append({"customer_id": "hot", "country": "fr"})
+    o, i, c = orders(spark, *order_rows), items(spark, *item_rows), customers(spark, *customer_rows)
+
+    live = {row["order_id"]: row for row in order_rows if row["status"] != "cancelled"}
+    daily = defaultdict(lambda: [set(), Decimal(0), 0])
+    sold = defaultdict(lambda: [0, Decimal(0), set()])
+    for row in item_rows:
+        order = live.get(row["order_id"])
+        if order:
+            group = daily[order["created_at"], order["channel"]]
+            group[0].add(row["order_id"])
+            group[1] += Decimal(row["line_total"])
+            group[2] += 1
+            product = sold[row["product_id"]]
+            product[0] += int(row["quantity"])
+            product[1] += Decimal(row["line_total"])
+            product[2].add(row["order_id"])
+    got = {(str(row["order_date"]), row["channel"]): row
+           for row in gold.daily_revenue_summary(o, i, DAY).collect()}
+    assert {key: (row["total_orders"], row["gross_revenue"], row["total_items_sold"], row["avg_item_value"], row["aov"])
+            for key, row in got.items()} == {
+        key: (len(ids), float(amount), count, float(_cents(amount / count)), float(_cents(amount / len(ids))))
+        for key, (ids, amount, count) in daily.items()}
+
+    performance = by(gold.product_performance(i, o, products(spark, {}), DAY, one_task_rows=0), "product_id")
+    assert {key: (row["units_sold"], row["revenue"], row["order_count"], row["rank_by_revenue"])
+            for key, row in performance.items()} == {
+        key: (units, float(amount), len(ids), 1 + sum(other[1] > amount for other in sold.values()))
+        for key, (units, amount, ids) in sold.items()}
+
+    country = {row["customer_id"]: row["country"].upper() for row in customer_rows}
+    geo = defaultdict(lambda: [Decimal(0), 0, set()])
+    for row in live.values():
+        group = geo[country.get(row["customer_id"]), row["created_at"]]
+        group[0] += Decimal(row["total"])
+        group[1] += 1
+        group[2].add(row["customer_id"])
+    assert {(row["country"], str(row["order_date"])): (row["revenue"], row["orders"], row["unique_customers"], row["aov"])
+            for row in gold.geo_revenue(o, c, DAY).collect()} == {
+        key: (float(amount), count, len(people), float(_cents(amount / count)))
+        for key, (amount, count, people) in geo.items()}
