@@ -17,7 +17,10 @@ COUNT_TYPES = "layer string, table_name string, row_count bigint"
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame with a row counter that fills while it is written."""
+    """The frame with a row counter that fills while it is written.
+
+    It goes on last: a counter below an exchange is lost when the exchange turns out empty.
+    """
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
@@ -31,10 +34,8 @@ def replace_days(df: DataFrame, path: str, days: Sequence[date | str]) -> int:
     """
     seen = Observation()
     per_day = [F.count_if(F.col("date_partition") == str(day)).alias(str(day)) for day in days]
-    rows = df.observe(seen, *per_day)
-    if len(per_day) > 1:
-        rows = rows.hint("rebalance", "date_partition")
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = df.hint("rebalance", "date_partition") if len(per_day) > 1 else df
+    (rows.observe(seen, *per_day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date_partition").parquet(path))
     for day, count in seen.get.items():
         if count == 0:
@@ -76,19 +77,20 @@ def write_gold(df: DataFrame, root: str, table: str) -> int:
     a partition together and splits those that grow too large.
     """
     partition, order = schemas.GOLD_LAYOUT[table]
-    rows, seen = counted(df)
     if partition == "order_date":
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(tasks, partition).sortWithinPartitions(*order)
+        rows = df.repartition(tasks, partition).sortWithinPartitions(*order)
     else:
-        rows = rows.hint("rebalance", partition)
+        rows = df.hint("rebalance", partition)
+    rows, seen = counted(rows)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(partition).parquet(f"{root}/gold/{table}"))
     return seen.get["rows"]
 
 
 def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.schema(schemas.ddl(schemas.GOLD_TYPES[table])).parquet(f"{root}/gold/{table}")
+    types = schemas.GOLD_TYPES[table]
+    return spark.read.schema(schemas.ddl(types)).parquet(f"{root}/gold/{table}").select(*types)
 
 
 def run_summary(spark: SparkSession, layer: str, counts: dict[str, int]) -> DataFrame:

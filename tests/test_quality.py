@@ -1,0 +1,40 @@
+from helpers import by, raw, rows
+from ledgerloom.operators import quality
+from ledgerloom.operators.clean import typed
+
+
+def test_columns_and_duplicates(spark):
+    data = raw(spark, "customers", {}, {}, {"customer_id": "c2", "email": None}, {"customer_id": None, "email": None})
+    assert quality.missing_columns(data.drop("city"), ["name", "city"]) == ["city"]
+    assert rows(quality.duplicate_values(data, "customer_id")) == [("c1", 2)]
+
+
+def test_orphans(spark):
+    items = raw(spark, "order_items", {"item_id": "1"}, {"item_id": "2", "order_id": "x"}, {"item_id": "3", "order_id": None})
+    orders = raw(spark, "orders", {}, {})
+    assert rows(quality.orphans(items, orders, "order_id"), "item_id") == [("2",), ("3",)]
+    assert rows(quality.orphan_tally(items, orders, "order_id")) == [(2, 3)]
+    assert rows(quality.orphan_tally(items.limit(0), orders, "order_id")) == [(0, 0)]
+
+
+def test_summary(spark):
+    tables = {
+        "orders": raw(spark, "orders", {}, {"status": "lost"}, {"status": None, "channel": "fax"},
+                      {"total": "-1", "subtotal": "-2"}, {"total": "9.98"}, {"total": "9.99"}),
+        "customers": raw(spark, "customers", {}, {"customer_id": "c2", "country": "xx"}, {"customer_id": "c3", "segment": "tin"}),
+        "products": raw(spark, "products", {}, {"price": "0", "cost": "0", "stock_qty": "-1"}),
+        "order_items": raw(spark, "order_items", {}, {"line_total": "9.019"}, {"line_total": "9.02"}, {"order_id": "x"}),
+    }
+    got = by(quality.dq_summary({name: typed(name, df) for name, df in tables.items()}), "check_name")
+    assert {name: (row["failed"], row["total"]) for name, row in got.items()} == {
+        "orders_status_known": (2, 6), "orders_channel_known": (1, 6), "orders_total_not_negative": (1, 6),
+        "orders_total_covers_subtotal": (1, 6), "customers_segment_known": (1, 3), "customers_country_known": (1, 3),
+        "products_price_positive": (1, 2), "products_cost_positive": (1, 2), "products_cost_below_price": (1, 2),
+        "products_stock_not_negative": (1, 2), "items_line_total_matches": (1, 4), "orders_key_unique": (1, 1),
+        "customers_key_unique": (0, 3), "customers_email_unique": (1, 1), "products_key_unique": (1, 1),
+        "items_key_unique": (1, 1), "items_order_exists": (1, 4)}
+
+
+def test_violating_rows(spark):
+    orders = typed("orders", raw(spark, "orders", {}, {"order_id": "bad", "total": "1.00"}))
+    assert rows(quality.violations(orders, quality.total_below_subtotal()), "order_id") == [("bad",)]
