@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 def _one_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 pick: Callable[[Column], Column]) -> DataFrame:
-    rest = [name for name in df.columns if name not in keys]
-    ranked = [*order, *[name for name in rest if name not in order]]
+    names = df.columns
+    ranked = [*order, *[name for name in names if name not in keys and name not in order]]
     rows = df.groupBy(*keys).agg(pick(F.struct(*ranked)).alias("_row"))
-    return rows.select(*[F.col(name) if name in keys else F.col("_row")[name].alias(name)
-                         for name in df.columns])
+    return rows.select(*keys, "_row.*").select(*names)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:

@@ -123,7 +123,7 @@ def product_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
 
 def product_performance(order_items: DataFrame, orders: DataFrame, products: DataFrame,
                         processing_date: str, clock: datetime | None = None,
-                        one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                        one_task_rows: int = ONE_TASK_ROWS, folder: str | None = None) -> DataFrame:
     """Sales per product with its attributes and its rank by revenue and by units.
 
     Products without sales are absent; sold products the product table lacks have null attributes.
@@ -132,7 +132,7 @@ def product_performance(order_items: DataFrame, orders: DataFrame, products: Dat
                                  "rating", "review_count", "is_low_stock")
     sold = product_sales(order_items, orders).join(attributes, "product_id", "left")
     ranked = global_rank(sold, {"rank_by_revenue": "revenue", "rank_by_units": "units_sold"},
-                         ["product_id"], one_task_rows)
+                         ["product_id"], one_task_rows, folder)
     return _finish(ranked, "product_performance", processing_date, clock)
 
 

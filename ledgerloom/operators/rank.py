@@ -18,7 +18,8 @@ def _salt(key: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(SALTS))
 
 
-def value_ranks(df: DataFrame, by: str, out: str, key: Sequence[str]) -> DataFrame:
+def value_ranks(df: DataFrame, by: str, out: str, key: Sequence[str],
+                folder: str | None = None) -> DataFrame:
     """(value, salt, rank) for ``rank()`` by ``by`` descending, nulls last.
 
     A rank is 1 + the rows with a higher value. Rows are first counted per value and salt, so
@@ -29,7 +30,7 @@ def value_ranks(df: DataFrame, by: str, out: str, key: Sequence[str]) -> DataFra
     counts = df.groupBy(F.col(by).alias("_value"), _salt(key).alias("_salt")).agg(
         F.count(F.lit(1)).alias("_rows"))
     slices = stage(counts.repartitionByRange(F.col("_value").desc_nulls_last())
-                   .withColumn("_slice", F.spark_partition_id()), "rank-slices")
+                   .withColumn("_slice", F.spark_partition_id()), f"slices-{out}", folder)
 
     # One row per range partition: bounded by the number of shuffle partitions.
     totals = slices.groupBy("_slice").agg(F.sum("_rows").alias("_total"))
@@ -45,7 +46,8 @@ def value_ranks(df: DataFrame, by: str, out: str, key: Sequence[str]) -> DataFra
             .select("_value", "_salt", (F.col("_before") + F.col("_above") + 1).cast("int").alias(out)))
 
 
-def ranked_in_slices(df: DataFrame, ranks: dict[str, str], key: Sequence[str]) -> DataFrame:
+def ranked_in_slices(df: DataFrame, ranks: dict[str, str], key: Sequence[str],
+                     folder: str | None = None) -> DataFrame:
     """Add the rank columns by value counts; no task holds more than a slice of the values.
 
     Ranks go back to the rows by value and salt, so a value shared by a third of the rows is
@@ -54,7 +56,7 @@ def ranked_in_slices(df: DataFrame, ranks: dict[str, str], key: Sequence[str]) -
     """
     result = df.withColumn("_salt", _salt(key))
     for out, by in ranks.items():
-        found = value_ranks(df, by, out, key)
+        found = value_ranks(df, by, out, key, folder)
         same = result[by].eqNullSafe(found["_value"]) & (result["_salt"] == found["_salt"])
         result = result.join(found, same, "left").drop(found["_value"]).drop(found["_salt"])
     return result.drop("_salt")
@@ -66,13 +68,13 @@ def ranked_in_one_task(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
 
 
 def global_rank(df: DataFrame, ranks: dict[str, str], key: Sequence[str],
-                one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                one_task_rows: int = ONE_TASK_ROWS, folder: str | None = None) -> DataFrame:
     """Add one int rank column per ``{output column: value column}``, highest value first.
 
     The rows are staged first. Their count then decides whether a single sort is cheap enough;
-    beyond ``one_task_rows`` the ranks are computed in slices.
+    beyond ``one_task_rows`` the ranks are computed in slices. ``folder`` is where tables are staged.
     """
-    staged = stage(df, "rank-input")
+    staged = stage(df, "rank-input", folder)
     if staged.count() <= one_task_rows:
         return ranked_in_one_task(staged, ranks)
-    return ranked_in_slices(staged, ranks, key)
+    return ranked_in_slices(staged, ranks, key, folder)

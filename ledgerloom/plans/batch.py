@@ -11,7 +11,7 @@ from ledgerloom import schemas
 from ledgerloom.operators import flat, gold
 from ledgerloom.operators.clean import quarantine, silver
 from ledgerloom.sources import bronze, tables
-from ledgerloom.sources.staging import stage
+from ledgerloom.sources.staging import fresh_folder, remove_folder, stage
 
 MAX_BACKFILL_DAYS = 30
 
@@ -65,26 +65,32 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, day: date |
     """Rebuild the five business tables from all clean rows; gives the rows written per table.
 
     Orders and items feed several tables, so their valid rows are worked out once and staged with
-    only the columns the builders read.
+    only the columns the builders read. The staged tables are removed at the end.
     """
-    processing_date = str(day or yesterday())
-    orders = stage(tables.read_current(spark, silver_root, "orders", [
-        "order_id", "customer_id", "status", "total", "channel", "order_date", "is_promoted"]), "orders")
-    items = stage(tables.read_current(spark, silver_root, "order_items", [
-        "item_id", "order_id", "product_id", "quantity", "discount", "line_total"]), "items")
-    customers = tables.read_current(spark, silver_root, "customers", [
-        "customer_id", "country", "segment", "signup_date"])
-    products = tables.read_current(spark, silver_root, "products", [
-        "product_id", "name", "category", "price", "cost", "margin_pct", "rating", "review_count",
-        "is_low_stock"])
-    built = {
-        "daily_revenue_summary": gold.daily_revenue_summary(orders, items, processing_date, clock),
-        "customer_rfm": gold.customer_rfm(orders, customers, processing_date, clock),
-        "product_performance": gold.product_performance(items, orders, products, processing_date, clock),
-        "geo_revenue": gold.geo_revenue(orders, customers, processing_date, clock),
-        "order_status_funnel": gold.order_status_funnel(orders, processing_date, clock),
-    }
-    counts = {table: tables.write_gold(rows, gold_root, table) for table, rows in built.items()}
+    processing_date, work = str(day or yesterday()), fresh_folder(spark, "gold")
+
+    def current(table: str, *columns: str) -> DataFrame:
+        return tables.read_current(spark, silver_root, table, list(columns))
+
+    try:
+        orders = stage(current("orders", "order_id", "customer_id", "status", "total", "channel",
+                               "order_date", "is_promoted"), "orders", work)
+        items = stage(current("order_items", "item_id", "order_id", "product_id", "quantity", "discount",
+                              "line_total"), "items", work)
+        customers = current("customers", "customer_id", "country", "segment", "signup_date")
+        products = current("products", "product_id", "name", "category", "price", "cost", "margin_pct",
+                           "rating", "review_count", "is_low_stock")
+        built = {
+            "daily_revenue_summary": gold.daily_revenue_summary(orders, items, processing_date, clock),
+            "customer_rfm": gold.customer_rfm(orders, customers, processing_date, clock),
+            "product_performance": gold.product_performance(items, orders, products, processing_date, clock,
+                                                            folder=work),
+            "geo_revenue": gold.geo_revenue(orders, customers, processing_date, clock),
+            "order_status_funnel": gold.order_status_funnel(orders, processing_date, clock),
+        }
+        counts = {table: tables.write_gold(rows, gold_root, table) for table, rows in built.items()}
+    finally:
+        remove_folder(spark, work)
     return tables.run_summary(spark, "gold", counts)
 
 

@@ -27,33 +27,64 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
-             recursive: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | None = None,
+             recursive: bool = False, names: str = "*") -> DataFrame:
     """CSV with a header row, all columns text unless a schema is given.
 
     A given schema is checked against each header, so a file whose columns come in another order
-    fails instead of being read into the wrong columns.
+    fails instead of being read into the wrong columns. A quote within quotes is doubled.
     """
-    reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
+    reader = (spark.read.option("header", True).option("escape", '"')
+              .option("recursiveFileLookup", recursive).option("pathGlobFilter", names))
     if schema:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 
 
-def read_raw(spark: SparkSession, path: str, table: str, file_format: str = "csv",
-             recursive: bool = False) -> DataFrame:
-    """Raw rows of one entity as text columns, from any accepted format."""
-    if file_format not in FORMATS:
-        raise ValueError(f"unsupported format {file_format!r}, expected one of {FORMATS}")
+def _read_format(spark: SparkSession, path: str, table: str, file_format: str, recursive: bool,
+                 names: str) -> DataFrame:
+    """Raw rows of one format as text columns; ``names`` is a pattern for file names."""
     if file_format == "csv":
-        return read_csv(spark, path, schemas.raw_ddl(table), recursive)
-    reader = spark.read.option("recursiveFileLookup", recursive)
+        # The columns are those of the header, which may hold more than the declared ones.
+        header = read_csv(spark, path, None, recursive, names).columns
+        return read_csv(spark, path, schemas.ddl(dict.fromkeys(header, "string")), recursive, names)
+    reader = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", names)
     if file_format == "json":
         return reader.schema(schemas.raw_ddl(table)).json(path)
     stored = reader.parquet(path)
     return stored.withColumns({name: F.col(name).cast("string") for name in schemas.ENTITY_TYPES[table]})
 
 
+def _formats_in(spark: SparkSession, path: str) -> list[str]:
+    """The accepted formats that occur among the files of a path, by extension."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    kind = F.regexp_extract(F.col("path"), r"\.(csv|json|parquet)$", 1)
+    found = files.select(kind.alias("kind")).distinct().filter("kind <> ''").collect()
+    return sorted(row["kind"] for row in found)
+
+
+def read_raw(spark: SparkSession, path: str, table: str, file_format: str = "csv",
+             recursive: bool = False) -> DataFrame:
+    """Raw rows of one entity as text columns.
+
+    ``file_format`` is one of the accepted formats, or "any" to read each file by its extension.
+    """
+    if file_format in FORMATS:
+        return _read_format(spark, path, table, file_format, recursive, "*")
+    if file_format != "any":
+        raise ValueError(f"unsupported format {file_format!r}, expected one of {FORMATS} or 'any'")
+    declared = list(schemas.ENTITY_TYPES[table])
+    parts = [_read_format(spark, path, table, kind, recursive, f"*.{kind}")
+             .select(*declared, F.col("_metadata.file_path").alias("_path"))
+             for kind in _formats_in(spark, path)]
+    if not parts:
+        raise ValueError(f"no file of an accepted format in {path}")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
+
+
 def day_folder(day: date | str) -> str:
     return f"dt={str(day).replace('-', '/')}"
 
@@ -76,12 +107,17 @@ def date_from_path(path: Column) -> Column:
     return F.when(digits[0] != "", F.concat_ws("-", *digits))
 
 
+def file_path(rows: DataFrame) -> Column:
+    """The file of each raw row; a union over formats carries it as a column."""
+    return F.col("_path") if "_path" in rows.columns else F.col("_metadata.file_path")
+
+
 def read_days(spark: SparkSession, root: str, table: str, start: date, end: date,
               file_format: str = "csv") -> DataFrame:
     """The raw rows of a range of dates in one scan, each with its ``date_partition``."""
     days = [start + timedelta(days=offset) for offset in range((end - start).days + 1)]
     rows = read_raw(spark, f"{root}/bronze/{table}/{day_glob(days)}", table, file_format)
-    return rows.withColumn("date_partition", date_from_path(F.col("_metadata.file_path")))
+    return rows.withColumn("date_partition", date_from_path(file_path(rows)))
 
 
 def read_all_days(spark: SparkSession, root: str, table: str, file_format: str = "csv") -> DataFrame:
@@ -102,7 +138,7 @@ def with_file_order(rows: DataFrame) -> DataFrame:
 
 def write_text(df: DataFrame) -> DataFrameWriter:
     """A CSV writer that keeps blanks around values and writes null and empty text as nothing."""
-    return (df.write.mode("overwrite").option("header", True).option("emptyValue", "")
+    return (df.write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 

@@ -29,14 +29,15 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write the rows once and read them back.
 
     Everything built on the result sees the same rows, whatever tasks are repeated, and a lost
-    executor costs no recomputation of what came before.
+    executor costs no recomputation of what came before. A job that passes its own ``folder`` can
+    remove it when its results are written; without one the table stays in the scratch folder.
     """
     spark = df.sparkSession
-    path = fresh_folder(spark, label)
+    path = fresh_folder(spark, label) if folder is None else f"{folder}/{label}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

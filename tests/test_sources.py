@@ -127,3 +127,30 @@ def test_staged_rows_come_back(spark):
 
 def test_raw_schema_is_all_text():
     assert raw_ddl("order_items").count(" string") == 8
+
+
+def test_header_names_the_columns(spark, root):
+    put(root, "bronze/order_items/dt=2024/11/01/a.csv",
+        "order_id,item_id,note,product_id,quantity,unit_price,discount,line_total,created_at\no1,i1,hi,p1,1,1,0,1,\n")
+    got = bronze.read_day(spark, root, "order_items", DAY)
+    assert rows(got, "item_id", "order_id", "note", "created_at") == [("i1", "o1", "hi", None)]
+
+
+def test_doubled_quotes_and_backslashes(spark, root):
+    put(root, "a.csv", 'k,n,s\n1,"thing ""x"", y",z\n2,"ends with \\",v\n')
+    assert rows(bronze.read_csv(spark, f"{root}/a.csv")) == [("1", 'thing "x", y', "z"), ("2", "ends with \\", "v")]
+
+
+def test_each_file_is_read_by_its_extension(spark, root):
+    data = raw(spark, "products", {"product_id": "a"}, {"product_id": "b"}, {"product_id": "c"})
+    target = f"{root}/bronze/products/dt=2024/11/01"
+    bronze.write_text(data.filter("product_id = 'a'")).mode("append").csv(target)
+    data.filter("product_id = 'b'").write.mode("append").json(target)
+    data.filter("product_id = 'c'").write.mode("append").parquet(target)
+    put(root, "bronze/products/dt=2024/11/01/notes.txt")
+    assert rows(bronze.read_day(spark, root, "products", DAY, "any").drop("_path")) == rows(data)
+    got = bronze.read_days(spark, root, "products", DAY, date(2024, 11, 2), "any")
+    assert rows(got, "product_id", "date_partition") == [(key, "2024-11-01") for key in "abc"]
+    with pytest.raises(ValueError, match="no file"):
+        put(root, "bronze/orders/dt=2024/11/01/notes.txt")
+        bronze.read_day(spark, root, "orders", DAY, "any")
