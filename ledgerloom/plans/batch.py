@@ -8,7 +8,7 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom import schemas
-from ledgerloom.operators import flat, gold
+from ledgerloom.operators import flat, gold, report
 from ledgerloom.operators.clean import quarantine, silver
 from ledgerloom.sources import bronze, tables
 from ledgerloom.sources.staging import fresh_folder, remove_folder, stage
@@ -118,3 +118,11 @@ def run_flat_gold(spark: SparkSession, silver_root: str, gold_root: str, day: da
     counts = {table: tables.write_flat_csv(rows, f"{gold_root}/flat_gold/{table}/dt={day}")
               for table, rows in built.items()}
     return tables.run_summary(spark, "flat_gold", {**counts, "orders_processed": orders.count()})
+
+
+def run_report(spark: SparkSession, gold_root: str, day: date | str) -> dict[str, DataFrame]:
+    """The four report tables over the flat business tables of one date."""
+    daily, geo, funnel = (tables.read_flat_gold(spark, gold_root, table, day)
+                          for table in ("daily_revenue", "geo_revenue", "order_funnel"))
+    return {"channels": report.report_channels(daily), "countries": report.report_countries(geo),
+            "funnel": report.report_funnel(funnel), "summary": report.report_summary(daily, geo)}

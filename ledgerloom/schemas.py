@@ -89,6 +89,16 @@ GOLD_LAYOUT = {
     "order_status_funnel": ("order_date", ["order_date", "status"]),
 }
 
+# The text files of the flat variant, in header order.
+FLAT_GOLD_TYPES = {
+    "daily_revenue": {
+        "order_date": "string", "channel": "string", "total_orders": "bigint",
+        "gross_revenue": "double", "total_units": "bigint", "aov": "double",
+    },
+    "geo_revenue": {"country": "string", "orders": "bigint", "revenue": "double"},
+    "order_funnel": {"status": "string", "order_count": "bigint"},
+}
+
 # The domains the quality checks compare against.
 STATUSES = ["pending", "processing", "shipped", "delivered", "cancelled", "returned"]
 CHANNELS = ["web", "mobile", "api"]

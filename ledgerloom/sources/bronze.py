@@ -24,7 +24,7 @@ def spread(scan: DataFrame) -> DataFrame:
     large one has, is left as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *scan.columns)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators.dedup import latest_by_key
-from ledgerloom.sources.bronze import write_text
+from ledgerloom.sources.bronze import read_csv, write_text
 from ledgerloom.sources.staging import remove_folder
 
 COUNT_TYPES = "layer string, table_name string, row_count bigint"
@@ -107,6 +107,11 @@ def write_flat_csv(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def read_flat_gold(spark: SparkSession, root: str, table: str, day: date | str) -> DataFrame:
+    """A business table of the flat variant as written for one date."""
+    return read_csv(spark, f"{root}/flat_gold/{table}/dt={day}", schemas.ddl(schemas.FLAT_GOLD_TYPES[table]))
+
+
 def create_table(spark: SparkSession, database: str, table: str, types: dict[str, str],
                  partition: str, location: str) -> None:
     """Drop and create an external Parquet table over written files and find its partitions."""

@@ -118,6 +118,10 @@ def test_flat_run(spark, root):
         "daily_revenue": 1, "geo_revenue": 1, "order_funnel": 2, "orders_processed": 3}
     stored = bronze.read_csv(spark, f"{root}/flat_gold/geo_revenue/dt=2024-11-02")
     assert rows(stored) == [("DE", "2", "15.99")]
+    got = {name: rows(df) for name, df in batch.run_report(spark, root, D2).items()}
+    assert got == {"channels": [("web", 2, 15.99)], "countries": [("DE", 2, 15.99)],
+                   "funnel": [("cancelled", 1, 33.3, "#" * 16), ("shipped", 2, 66.7, "#" * 33)],
+                   "summary": [(2, 15.99, 8.0, 1, 1)]}
 
 
 def test_flat_run_without_rows_writes_nothing(spark, root):

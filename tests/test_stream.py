@@ -59,6 +59,15 @@ def test_a_repeated_batch_leaves_one_copy(spark, root):
     assert spark.read.parquet(f"{root}/target/versions").count() == 1
 
 
+def test_only_broken_lines_give_an_empty_table(spark, root):
+    os.makedirs(f"{root}/events")
+    with open(f"{root}/events/a.json", "w") as file:
+        file.write("no json\n")
+    run(spark, root)
+    assert rows(stream.read_streamed_orders(spark, f"{root}/target")) == []
+    assert counts(spark, root) == [1, 0, 1]
+
+
 def test_raw_copy_keeps_broken_lines(spark, root):
     os.makedirs(f"{root}/events")
     with open(f"{root}/events/a.json", "w") as file:
