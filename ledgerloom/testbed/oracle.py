@@ -7,7 +7,7 @@ through a binary fraction.
 from __future__ import annotations
 
 from ledgerloom import schemas
-from ledgerloom.testbed.bronze_views import AS_OF, SPREAD_DAYS, SPREAD_KEYS, raw_sql
+from ledgerloom.testbed.bronze_views import SPREAD_DAYS, SPREAD_KEYS, raw_sql
 from ledgerloom.testbed.queries import DAY, MARKETS, NATIONS
 
 TODAY = f"DATE '{DAY}'"
