@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.llm.decontaminate import benchmark_leaks
 from ledgerloom.llm.ngram_join import ngram_join
+from ledgerloom.llm.quality_rules import quality_rules
+from ledgerloom.llm.secret_scan import secret_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": lambda spark, sf_dir: ngram_join(table(spark, sf_dir, "documents")),
+    "op2_quality_rules": lambda spark, sf_dir: quality_rules(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op3_decontaminate": lambda spark, sf_dir: benchmark_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op4_secret_scan": lambda spark, sf_dir: secret_digest(table(spark, sf_dir, "documents")),
 }
 
 ORACLE: dict[str, str] = {}
