@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.staging import fresh_folder, remove_folder, stage
+from ledgerloom.sources.staging import fresh_folder, stage
 
 BATCH_ROWS = 1000
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -43,11 +43,9 @@ class Workspace:
         with _setting(self.spark, _CLEANUP, "true"):
             return stage(df, f"{label}-{self.tables}", self.folder)
 
-    def drop(self, df: DataFrame) -> None:
-        """Remove a staged table that nothing reads any more."""
-        for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-            if path.startswith(("file:", "/")) or "://" in path:
-                remove_folder(self.spark, path)
+    def append(self, df: DataFrame, path: str) -> None:
+        with _setting(self.spark, _CLEANUP, "true"):
+            df.write.mode("append").parquet(path)
 
 
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

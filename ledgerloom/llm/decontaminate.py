@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm._frames import Workspace, map_arrow
+from ledgerloom.llm._frames import Workspace
 
 CHARS_PER_EDIT = 16
 MIN_CHARS = 32  # a shorter item is no evidence of a leak
@@ -131,7 +131,20 @@ def leaks_in(text: str, items: list[tuple[int, str]], automaton: ahocorasick.Aut
             yield items[index][0], distance, places_in_text[start], places_in_text[end - 1] + 1
 
 
-def _one_pass(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+def item_passes(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """Items in normal form, as many at once as PASS_CHARS allows; short ones are left out."""
+    sized = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(F.length("text") >= MIN_CHARS)
+    total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
+    passes = max(1, math.ceil(total / PASS_CHARS))
+    for number in range(passes):
+        part = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number)
+        items = sorted(((row["item_id"], normalised(row["text"])) for row in part.toLocalIterator()),
+                       key=lambda item: (item[0] is not None, item[0] or 0, item[1]))
+        if items := [item for item in items if len(item[1]) >= MIN_CHARS]:
+            yield items
+
+
+def _leaks_of(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,9 +152,9 @@ def _one_pass(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         for batch in batches:
             rows = [(doc_id, *leak) for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
                     if text for leak in leaks_in(text, shared.value, automaton)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[at] for row in rows], kind) for at, kind in enumerate([pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()])],
-                ["doc_id", "item_id", "distance", "start", "end"])
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([row[at] for row in rows], kind) for at, kind in enumerate(kinds)],
+                                             ["doc_id", "item_id", "distance", "start", "end"])
     return docs.select("doc_id", "text").mapInArrow(over, LEAKS)
 
 
@@ -155,15 +168,22 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     An empty table on either side gives no rows. A benchmark beyond PASS_CHARS is looked for in several passes.
     """
     Workspace(docs.sparkSession, "leaks")
-    sized = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(F.length("text") >= MIN_CHARS)
-    total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
-    passes = max(1, math.ceil(total / PASS_CHARS))
-    found = None
-    for number in range(passes):
-        part = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number)
-        items = sorted(((row["item_id"], normalised(row["text"])) for row in part.toLocalIterator()),
-                       key=lambda item: (item[0] is not None, item[0] or 0, item[1]))
-        items = [item for item in items if len(item[1]) >= MIN_CHARS]
-        rows = _one_pass(docs, items) if items else docs.sparkSession.createDataFrame([], LEAKS)
-        found = rows if found is None else found.unionByName(rows)
+    found = docs.sparkSession.createDataFrame([], LEAKS)
+    for items in item_passes(benchmark):
+        found = found.unionByName(_leaks_of(docs, items))
     return found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no benchmark item; see ``benchmark_leaks``."""
+    Workspace(docs.sparkSession, "leaks")
+    for items in item_passes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def over(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            automaton = automaton_of(shared.value)
+            for batch in batches:
+                clean = [not text or next(leaks_in(text, shared.value, automaton), None) is None for text in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+        docs = docs.mapInArrow(over, docs.schema)
+    return docs

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+from ledgerloom.llm.binary_records import binary_records
 from ledgerloom.llm.decontaminate import benchmark_leaks
+from ledgerloom.llm.mixing import mix_report
 from ledgerloom.llm.ngram_join import ngram_join
 from ledgerloom.llm.quality_rules import quality_rules
 from ledgerloom.llm.secret_scan import secret_digest
+from ledgerloom.llm.token_counts import token_counts
+
+TOKENIZER = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "op1_ngram_join": lambda spark, sf_dir: ngram_join(table(spark, sf_dir, "documents")),
+    "op1_ngram_join": lambda spark, sf_dir: ngram_join(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"),
     "op2_quality_rules": lambda spark, sf_dir: quality_rules(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op3_decontaminate": lambda spark, sf_dir: benchmark_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op4_secret_scan": lambda spark, sf_dir: secret_digest(table(spark, sf_dir, "documents")),
+    "op6_binary_records": lambda spark, sf_dir: binary_records(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)).drop("file", "offset"),
+    "op7_mixing": lambda spark, sf_dir: mix_report(table(spark, sf_dir, "documents")),
+    "op10_token_counts": lambda spark, sf_dir: token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)),
 }
 
 ORACLE: dict[str, str] = {}
