@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from ledgerloom.llm.binary_records import binary_records
 from ledgerloom.llm.decontaminate import benchmark_leaks
+from ledgerloom.llm.language_id import language_posteriors
+from ledgerloom.llm.license_scan import license_notices
+from ledgerloom.llm.line_templates import without_recurring_lines
 from ledgerloom.llm.mixing import mix_report
 from ledgerloom.llm.ngram_join import ngram_join
 from ledgerloom.llm.quality_rules import quality_rules
@@ -32,9 +35,13 @@ QUERIES: dict[str, Query] = {
     "op3_decontaminate": lambda spark, sf_dir: benchmark_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op4_secret_scan": lambda spark, sf_dir: secret_digest(table(spark, sf_dir, "documents")),
+    "op5_license_scan": lambda spark, sf_dir: license_notices(table(spark, sf_dir, "documents")),
     "op6_binary_records": lambda spark, sf_dir: binary_records(
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)).drop("file", "offset"),
     "op7_mixing": lambda spark, sf_dir: mix_report(table(spark, sf_dir, "documents")),
+    "op8_line_templates": lambda spark, sf_dir: without_recurring_lines(table(spark, sf_dir, "documents")),
+    "op9_language_id": lambda spark, sf_dir: language_posteriors(
+        table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")),
     "op10_token_counts": lambda spark, sf_dir: token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)),
 }
