@@ -19,11 +19,11 @@ from ledgerloom.llm._frames import Workspace, map_arrow
 from ledgerloom.llm._words import BLANKS, TOKEN_CLASSES, Hashes, as_bytes, token_hashes, window_hashes
 
 TRUSTED_SAMPLE = 20_000  # labelled documents the target model is fitted on, at most
-BITS = 16  # of the bucket of an n-gram; one- and two-token n-grams have tables of their own
+BITS = 12  # of the bucket of an n-gram; one- and two-token n-grams have tables of their own. Few buckets even out rare words
 BUCKETS = 2 << BITS
 SMOOTHING = 1.0
 UNIT = 1 << 24  # ratios are whole numbers of 1 / UNIT, so sums do not depend on the order
-THRESHOLD = -0.4  # least mean log ratio of a kept document
+THRESHOLD = -0.3  # least mean log ratio of a kept document
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50

@@ -1,0 +1,111 @@
+import random
+
+import pytest
+
+from ledgerloom.llm import decontaminate as module
+from ledgerloom.llm.decontaminate import automaton_of, benchmark_leaks, best_match, leaks_in, normalised, pieces, positions, without_leaks
+from llm.texts import long_text
+
+
+def edit_distance(item, text):
+    """Least distance of the item to a part of the text, by the full table; with the first end."""
+    row = list(range(len(item) + 1))
+    best = (row[-1], 0)
+    for at, char in enumerate(text):
+        last, row = row, [0]
+        for i, own in enumerate(item):
+            row.append(min(last[i + 1] + 1, row[i] + 1, last[i] + (own != char)))
+        if row[-1] < best[0]:
+            best = (row[-1], at + 1)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bit_vectors_match_the_full_table(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        item = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 90)))
+        text = "".join(rng.choice("abc") for _ in range(rng.randrange(0, 150)))
+        distance, end = edit_distance(item, text)
+        assert best_match(item, text, len(item)) == ((distance, end) if end else best_match(item, text, len(item)))
+        if distance:
+            assert best_match(item, text, distance - 1) is None
+
+
+def edited(text, edits, rng):
+    chars = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(chars))
+        kind = rng.randrange(3)
+        if kind == 0:
+            chars[at] = "q"
+        elif kind == 1:
+            del chars[at]
+        else:
+            chars.insert(at, "q")
+    return "".join(chars)
+
+
+def test_every_match_within_the_budget_is_found():
+    rng = random.Random(4)
+    for size in (32, 47, 80, 200, 333):
+        item = normalised(" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 8))) for _ in range(size)))[:size].strip()
+        budget = len(item) // module.CHARS_PER_EDIT
+        assert len(pieces(item)) == budget + 1 and "".join(piece for _, piece in pieces(item)) == item
+        automaton = automaton_of([(5, item)])
+        for edits in range(budget + 1):
+            text = "some words before " + edited(item, edits, rng) + " and words after"
+            least, found = edit_distance(item, normalised(text))[0], list(leaks_in(text, [(5, item)], automaton))
+            if least > budget:  # a deleted word takes its blank along
+                assert not found
+                continue
+            ((item_id, distance, start, end),) = found
+            assert item_id == 5 and distance == least and abs(start - 18) <= budget and abs(end - start - len(item)) <= budget
+
+
+def test_positions_lead_back_to_the_text():
+    text = "  A  b\n\tc ä  "
+    assert normalised(text) == "a b c ä"
+    assert [text[at] for at in positions(text)] == ["A", " ", "b", "\n", "c", " ", "ä"]
+
+
+ITEM = "The quick brown fox jumps over the lazy dog near the river bank today"
+
+
+def benchmark(spark, rows):
+    return spark.createDataFrame(rows, "item_id bigint, text string")
+
+
+def test_leaks_of_a_table(spark, docs):
+    texts = [None, "", "clean " * 50, f"x {ITEM.upper()} y", ITEM.replace(" ", "\n  "), ITEM.replace("fox", "fix"), ITEM[:40], long_text(30_000) + " " + ITEM, ITEM]
+    frame = docs(texts, [*range(8), None])
+    items = benchmark(spark, [(1, ITEM), (1, ITEM), (2, None), (3, ""), (4, "clean"), (None, "z" * 40)])
+    rows = sorted(((row["doc_id"], row["item_id"], row["distance"]) for row in benchmark_leaks(frame, items).collect()), key=str)
+    assert rows == sorted([(doc_id, 1, distance) for doc_id, distance in [(3, 0), (4, 0), (5, 1), (7, 0), (None, 0)] for _ in range(2)], key=str)
+    spans = {row["doc_id"]: texts[row["doc_id"]][row["start"]:row["end"]] for row in benchmark_leaks(frame, items).where("doc_id is not null").collect()}
+    assert spans[3] == ITEM.upper() and spans[4] == texts[4] and spans[5] == texts[5] and spans[7] == ITEM
+    clean = without_leaks(frame, items)
+    assert clean.columns == frame.columns and sorted(row["doc_id"] for row in clean.collect()) == [0, 1, 2, 6]
+
+
+def test_several_passes_give_the_same(spark, docs, monkeypatch):
+    texts = [ITEM, "no", ITEM[::-1] + " " + ITEM]
+    items = benchmark(spark, [(1, ITEM), (2, ITEM[::-1]), (3, "k" * 64)])
+    one = sorted(map(tuple, benchmark_leaks(docs(texts), items).collect()))
+    monkeypatch.setattr(module, "PASS_CHARS", 70)
+    assert sorted(map(tuple, benchmark_leaks(docs(texts), items).collect())) == one and len(one) == 3
+    assert without_leaks(docs(texts), items).count() == 1
+
+
+def test_empty_tables(spark, docs):
+    assert benchmark_leaks(docs([]), benchmark(spark, [(1, ITEM)])).count() == 0
+    assert benchmark_leaks(docs([ITEM]), benchmark(spark, [])).count() == 0
+    assert without_leaks(docs([ITEM]), benchmark(spark, [])).count() == 1
+
+
+def test_documents_with_an_item_in_them(spark, documents):
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    found = {(row["doc_id"], row["item_id"]) for row in benchmark_leaks(documents, items).where("distance = 0").collect()}
+    wanted = {(doc["doc_id"], item["item_id"]) for doc in documents.collect() for item in items.collect()
+              if normalised(item["text"]) in normalised(doc["text"] or "")}
+    assert found == wanted and wanted

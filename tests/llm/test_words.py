@@ -1,0 +1,48 @@
+import numpy as np
+
+from ledgerloom.llm import _words
+from ledgerloom.llm._words import TOKEN_CLASSES, shingle_sets, token_hashes, window_hashes
+
+
+def words_of(texts):
+    values = {}
+    for group in token_hashes(texts):
+        for at in range(len(group.offsets) - 1):
+            values[group.first + at] = group.values[group.offsets[at]:group.offsets[at + 1]]
+    return [values[at] for at in range(len(texts))]
+
+
+def test_words_are_runs_between_ascii_blanks():
+    texts = [b"a b\tc\n d\x0b\x0ce\r", "ä b c".encode(), b"", b" \n", b"a"]
+    found = words_of(texts)
+    assert [len(x) for x in found] == [len(text.split()) for text in texts]
+    assert found[0][0] == found[4][0]
+
+
+def test_equal_words_have_equal_hashes_in_any_place():
+    texts = [b"x yy zzz", b"zzz x", b"yy"] * 3
+    first, second, third = words_of(texts)[:3]
+    assert first[0] == second[1] and first[2] == second[0] and first[1] == third[0]
+    assert len(set(first.tolist())) == 3
+
+
+def test_texts_and_words_beyond_a_slice(monkeypatch):
+    long = b"x" * (_words.SLICE + 10)
+    text = b" ".join([b"alpha beta"] * 120_000) + b" " + long + b" end"
+    found = words_of([text, b"alpha end"])
+    assert len(found[0]) == 240_002
+    assert found[0][0] == found[1][0] and found[0][-1] == found[1][1] and len(set(found[0].tolist())) == 4
+
+
+def test_punctuation_tokens():
+    (group,) = token_hashes([b"the$$$ cat!!"], TOKEN_CLASSES)
+    assert len(group.values) == 4
+
+
+def test_windows_and_shingles():
+    values = np.array([1, 2, 3, 1, 2], np.uint64)
+    windows = window_hashes(values, 2)
+    assert len(windows) == 4 and windows[0] == windows[3] != windows[1]
+    sets = list(shingle_sets([b"a b c d e f", b"a b c", b"a b c", b"", b"a b c d e", b"a a a a a a a"]))
+    assert [len(x) for x in sets] == [2, 1, 1, 0, 1, 1]
+    assert sets[1] == sets[2] and sets[4][0] in sets[0]
