@@ -8,7 +8,7 @@ def found(frame, **options):
 
 def test_recurring_templates_are_dropped_and_others_stay(docs):
     names = ["ann", "bob", "cid", "dee", "eve", "fay", "gus", "hal"]
-    texts = [f"own text of {name} here\nPosted by user {name} at {at}:30 today in the forum\nend {at} of {name}" for at, name in enumerate(names)]
+    texts = [f"{name}x {name}y {name}z\nPosted by user {name} at {at}:30 today in the forum\n{name} ends" for at, name in enumerate(names)]
     rows = found(docs(texts), least=4)
     # "Posted by user <*> at <*> today in the forum": two of eleven tokens vary
     assert rows == sorted(((at, 3, 1, "\n".join(text.split("\n")[::2])) for at, text in enumerate(texts)), key=str)
