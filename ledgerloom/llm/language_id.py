@@ -169,8 +169,10 @@ def language_posteriors(pages: DataFrame, docs: DataFrame) -> DataFrame:
 
     scores = [F.col("scores")[at] + log_evidence("declared", at) + log_evidence("suffix", at)
               + F.log(share("host", at, share("domain", at, F.lit(everywhere[at])))) for at in range(count)]
-    judged = rows.withColumn("posterior", F.array(*scores)).withColumn("top", F.array_max("posterior"))
+    choices = [F.struct(score.alias("score"), F.lit(-at).alias("order"), F.lit(lang).alias("lang"))
+               for at, (score, lang) in enumerate(zip(scores, languages, strict=True))]
+    judged = rows.withColumn("choices", F.array(*choices)).withColumn("top", F.array_max("choices"))
     names = F.array(*map(F.lit, languages))
-    weight = F.aggregate("posterior", F.lit(0.0), lambda total, score: total + F.exp(score - F.col("top")))
-    return judged.select("page_id", names[(F.array_position("posterior", F.col("top")) - 1).cast("int")].alias("lang"),
-                         (1 / weight).alias("probability"), names[F.col("best")].alias("text_lang"), "declared", "suffix", "host")
+    weight = F.aggregate("choices", F.lit(0.0), lambda total, choice: total + F.exp(choice["score"] - F.col("top.score")))
+    return judged.select("page_id", F.col("top.lang").alias("lang"),
+                         (1 / weight).alias("probability"), F.get(names, F.col("best")).alias("text_lang"), "declared", "suffix", "host")
