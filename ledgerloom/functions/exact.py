@@ -2,6 +2,9 @@
 
 Table columns hold money as doubles. Sums, averages and ratios are taken over decimals and
 rounded half up once, so the result does not depend on the order in which tasks add rows.
+Amounts keep ten digits after the point. One that a row's decimal cannot hold (from 1e18) stays in
+the table of typed rows and is rejected with a reason of its own, or added up as double where
+nothing is rejected.
 """
 
 from __future__ import annotations
@@ -9,19 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
-MONEY_LIMIT = 1e13
-RATE = "decimal(18,8)"
-RATE_LIMIT = 1e6
+MONEY = "decimal(28,10)"
+TOTAL = "decimal(38,10)"
+RATE = "decimal(18,10)"
 
 
-def parse_double(text: Column, limit: float = MONEY_LIMIT) -> Column:
-    """Text to double; null for text that is no number, NaN, or at least ``limit`` in size.
-
-    The limit is what the decimals used for sums can hold, so one absurd value cannot fail a job.
-    """
+def parse_double(text: Column) -> Column:
+    """Text to double; null for text that is no finite number."""
     number = text.try_cast("double")
-    return F.when(F.abs(number) < limit, number)
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def parse_int(text: Column) -> Column:
@@ -44,11 +43,22 @@ def parse(text: Column, kind: str) -> Column:
 
 
 def money(value: Column) -> Column:
-    return value.cast(MONEY)
+    """An amount of a row to be added up; null where it is too large for that."""
+    return value.try_cast(MONEY)
+
+
+def total(value: Column) -> Column:
+    """A sum of amounts to be added up again."""
+    return value.try_cast(TOTAL)
 
 
 def rate(value: Column) -> Column:
-    return value.cast(RATE)
+    return value.try_cast(RATE)
+
+
+def too_large(value: Column, kind: str = MONEY) -> Column:
+    """True for a number that the decimals of sums cannot hold."""
+    return value.isNotNull() & value.try_cast(kind).isNull()
 
 
 def rounded(value: Column, digits: int) -> Column:
@@ -57,9 +67,12 @@ def rounded(value: Column, digits: int) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Decimal quotient, null when the denominator is null or 0.
+    """Quotient as decimal, null when the denominator is null or 0.
 
-    The numerator keeps 20 digits before the point, which leaves the quotient at least 14 after
-    it; the result types of sums would leave only 6, too few to round correctly afterwards.
+    The numerator keeps 20 digits before the point, which leaves the quotient of a count at least 14 after
+    it; the result types of sums would leave only 6, too few to round correctly afterwards. A larger
+    numerator is divided as double.
     """
-    return F.try_divide(numerator.cast("decimal(28,8)"), denominator)
+    narrow = numerator.try_cast("decimal(28,8)")
+    wide = F.try_divide(numerator.cast("double"), denominator.cast("double")).try_cast("decimal(38,8)")
+    return F.when(narrow.isNull(), wide).otherwise(F.try_divide(narrow, denominator))

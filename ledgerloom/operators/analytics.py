@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.exact import money, ratio, rounded
+from ledgerloom.functions.exact import ratio, rounded, total
 
 
 def _since(as_of: date, days: int) -> Column:
@@ -16,7 +16,7 @@ def _since(as_of: date, days: int) -> Column:
 
 
 def _exact(name: str) -> Column:
-    return money(F.col(name))
+    return total(F.col(name))
 
 
 def _mean(name: str, digits: int) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.functions.exact import RATE_LIMIT, money, parse, parse_double, rate, ratio, rounded
+from ledgerloom.functions.exact import RATE, money, parse, rate, ratio, rounded, too_large
 from ledgerloom.operators.dedup import latest_by_key
 
 # E-mail pattern, stock level that counts as low, tolerated line total difference.
@@ -69,25 +69,36 @@ def _product_columns() -> dict[str, Column]:
     }
 
 
-def line_total_by_formula() -> Column:
-    """quantity x unit price x (1 - discount) as a decimal rounded once, to cents.
+def _line_total_exact() -> Column:
+    """quantity x unit price x (1 - discount) rounded once, to cents; null where a factor is too large.
 
-    The two factors are narrowed so that their product keeps all 12 decimals within 38 digits.
+    The two factors are narrowed so that their product keeps 15 decimals within 38 digits.
     """
-    full_price = (F.col("quantity") * money(F.col("unit_price"))).try_cast("decimal(22,4)")
-    share = (F.lit(1) - rate(F.col("discount"))).cast("decimal(15,8)")
+    full_price = (F.col("quantity") * money(F.col("unit_price"))).try_cast("decimal(26,8)")
+    share = (F.lit(1) - rate(F.col("discount"))).try_cast("decimal(12,8)")
     return F.round(full_price * share, 2)
 
 
+def line_total_by_formula() -> Column:
+    """quantity x unit price x (1 - discount) in cents, as double; exact unless a factor is too large for decimals."""
+    plain = F.round(F.col("quantity") * F.col("unit_price") * (1 - F.col("discount")), 2)
+    return F.coalesce(_line_total_exact().cast("double"), plain)
+
+
+def line_total_gap() -> Column:
+    """Distance of the stored line total from the one by the formula, as decimal where both fit."""
+    exact = F.abs(money(F.col("line_total")) - _line_total_exact())
+    return F.coalesce(exact.cast("double"), F.abs(F.col("line_total") - line_total_by_formula()))
+
+
 def line_total_differs(tolerance: str = LINE_TOTAL_TOLERANCE) -> Column:
     """True where the stored line total is off by more than ``tolerance``."""
-    gap = F.abs(money(F.col("line_total")) - line_total_by_formula())
-    return gap > F.lit(tolerance).cast("decimal(18,4)")
+    return line_total_gap() > F.lit(float(tolerance))
 
 
 def _item_columns() -> dict[str, Column]:
     return {
-        "line_total_recalc": line_total_by_formula().cast("double"),
+        "line_total_recalc": line_total_by_formula(),
         "total_mismatch": line_total_differs(),
     }
 
@@ -96,7 +107,8 @@ def _order_reject() -> Column:
     return (F.when(F.col("order_id").isNull(), "missing order_id")
             .when(F.col("customer_id").isNull(), "missing customer_id")
             .when(F.col("total").isNull(), "total is no amount")
-            .when(F.col("total") < 0, "negative total"))
+            .when(F.col("total") < 0, "negative total")
+            .when(too_large(F.col("total")), "total too large to add up"))
 
 
 def _customer_reject() -> Column:
@@ -112,7 +124,9 @@ def _product_reject() -> Column:
 def _item_reject() -> Column:
     return (F.when(F.col("item_id").isNull(), "missing item_id")
             .when(F.col("order_id").isNull(), "missing order_id")
-            .when(~F.coalesce(F.col("quantity") > 0, F.lit(False)), "quantity not positive"))
+            .when(~F.coalesce(F.col("quantity") > 0, F.lit(False)), "quantity not positive")
+            .when(too_large(F.col("line_total")), "line total too large to add up")
+            .when(too_large(F.col("discount"), RATE), "discount too large to add up"))
 
 
 CLEANERS = {
@@ -136,7 +150,7 @@ def parsed(table: str, raw: DataFrame) -> DataFrame:
         column = F.col(name)
         if name in entity.normalise:
             column = entity.normalise[name](column)
-        columns[name] = parse_double(column, RATE_LIMIT) if name == "discount" else parse(column, kind)
+        columns[name] = parse(column, kind)
     return raw.withColumns(columns)
 
 
@@ -183,19 +197,3 @@ def silver(table: str, raw: DataFrame, processing_date: str | None,
     rows = latest_by_key(rows, keys, entity.newest).withColumns(entity.derive())
     audit = {"processed_at": instant(clock), "job_date": day, "date_partition": day}
     return rows.withColumns(audit).select(*schemas.SILVER_TYPES[table])
-
-
-def silver_orders(raw: DataFrame, processing_date: str | None, clock: datetime | None = None) -> DataFrame:
-    return silver("orders", raw, processing_date, clock)
-
-
-def silver_customers(raw: DataFrame, processing_date: str | None, clock: datetime | None = None) -> DataFrame:
-    return silver("customers", raw, processing_date, clock)
-
-
-def silver_products(raw: DataFrame, processing_date: str | None, clock: datetime | None = None) -> DataFrame:
-    return silver("products", raw, processing_date, clock)
-
-
-def silver_order_items(raw: DataFrame, processing_date: str | None, clock: datetime | None = None) -> DataFrame:
-    return silver("order_items", raw, processing_date, clock)

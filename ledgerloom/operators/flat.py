@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.functions.exact import money, parse_double, ratio, rounded
+from ledgerloom.functions.exact import TOTAL, money, parse_double, ratio, rounded, too_large
 from ledgerloom.functions.text import strip, text_or_empty, title_words
 from ledgerloom.operators.dedup import first_by_key, latest_by_key
 
@@ -67,8 +67,15 @@ def _not_cancelled(orders: DataFrame) -> DataFrame:
     return orders.filter(~F.col("status").eqNullSafe("cancelled"))
 
 
-def _total() -> Column:
-    return F.coalesce(money(parse_double(F.col("total"))), F.lit(0).cast("decimal(18,4)"))
+def _amounts() -> dict[str, Column]:
+    """Sums of the order totals: those that decimals hold, and the others as double."""
+    value = parse_double(F.col("total"))
+    return {"exact": F.coalesce(F.sum(money(value)), F.lit(0).cast(TOTAL)),
+            "large": F.sum(F.when(too_large(value), value))}
+
+
+def _revenue(exact: Column, large: Column) -> Column:
+    return rounded(exact, 2) + F.coalesce(large, F.lit(0.0))
 
 
 def flat_daily_revenue(orders: DataFrame) -> DataFrame:
@@ -76,12 +83,12 @@ def flat_daily_revenue(orders: DataFrame) -> DataFrame:
     daily = (_not_cancelled(orders)
              .groupBy(F.substring(text_or_empty(F.col("created_at")), 1, 10).alias("order_date"),
                       F.coalesce("channel", F.lit("unknown")).alias("channel"))
-             .agg(F.count(F.lit(1)).alias("total_orders"),
-                  F.round(F.sum(_total()), 2).alias("gross")))
+             .agg(F.count(F.lit(1)).alias("total_orders"), *(sums.alias(name) for name, sums in _amounts().items())))
+    mean = rounded(ratio(F.round("exact", 2), F.col("total_orders")), 2)
     return daily.select("order_date", "channel", "total_orders",
-                        F.col("gross").cast("double").alias("gross_revenue"),
+                        _revenue(F.col("exact"), F.col("large")).alias("gross_revenue"),
                         F.lit(0).cast("bigint").alias("total_units"),
-                        rounded(ratio(F.col("gross"), F.col("total_orders")), 2).alias("aov"))
+                        (mean + F.coalesce(F.col("large") / F.col("total_orders"), F.lit(0.0))).alias("aov"))
 
 
 def flat_geo_revenue(orders: DataFrame, customers: DataFrame,
@@ -93,10 +100,10 @@ def flat_geo_revenue(orders: DataFrame, customers: DataFrame,
     lookup = latest_by_key(customers.select("customer_id", "country", *arrival),
                            ["customer_id"], list(arrival)).select("customer_id", "country")
     per_customer = (_not_cancelled(orders).groupBy("customer_id")
-                    .agg(F.count(F.lit(1)).alias("orders"), F.sum(_total()).alias("amount")))
+                    .agg(F.count(F.lit(1)).alias("orders"), *(sums.alias(name) for name, sums in _amounts().items())))
     return (per_customer.join(lookup, "customer_id", "left")
             .groupBy(F.coalesce("country", F.lit("Unknown")).alias("country"))
-            .agg(F.sum("orders").alias("orders"), rounded(F.sum("amount"), 2).alias("revenue")))
+            .agg(F.sum("orders").alias("orders"), _revenue(F.sum("exact"), F.sum("large")).alias("revenue")))
 
 
 def flat_order_funnel(orders: DataFrame) -> DataFrame:

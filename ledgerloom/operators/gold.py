@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions.exact import money, rate, ratio, rounded
 from ledgerloom.operators.clean import instant
-from ledgerloom.operators.rank import ONE_TASK_ROWS, global_rank
+from ledgerloom.operators.rank import global_rank, quantiles
+from ledgerloom.sources.staging import stage
 
-# Accuracy of the quartile sketch: the rank error is 1 / accuracy of the row count.
-QUARTILE_ACCURACY = 10_000
+# Least sum of the three scores per segment.
+SEGMENTS = {"Champions": 10, "Loyal Customers": 8, "Potential Loyalists": 6, "At Risk": 4}
+REST = "Lost"
 
 
 def _not_cancelled(orders: DataFrame) -> DataFrame:
@@ -56,7 +58,7 @@ def daily_revenue_summary(orders: DataFrame, order_items: DataFrame, processing_
         "gross_revenue": F.col("gross").cast("double"),
         "promo_revenue": F.col("promo").cast("double"),
         "aov": rounded(ratio(F.col("gross"), F.col("total_orders")), 2),
-        "promo_pct": rounded(ratio(F.col("promo") * 100, F.col("gross")), 1),
+        "promo_pct": rounded(ratio(F.col("promo") * 100, F.col("gross").try_cast("decimal(22,2)")), 1),
     })
     return _finish(daily, "daily_revenue_summary", processing_date, clock)
 
@@ -72,34 +74,28 @@ def _score(value: str, quartiles: str, low_is_good: bool) -> Column:
 
 
 def customer_rfm(orders: DataFrame, customers: DataFrame, processing_date: str,
-                 clock: datetime | None = None, accuracy: int = QUARTILE_ACCURACY) -> DataFrame:
+                 clock: datetime | None = None, folder: str | None = None) -> DataFrame:
     """Recency, frequency and monetary scores per customer, and the segment they add up to.
 
-    The quartiles come from one sketch aggregate used as a scalar subquery, so nothing passes
-    through the driver program and an empty input gives an empty table.
+    The quartiles are exact, so the scores are the same on any cluster. They are a scalar subquery, so nothing
+    passes through the driver program, and an empty input gives an empty table. ``folder`` is where tables are staged.
     """
     today, last = F.lit(processing_date).cast("date"), F.max("order_date")
-    # Both uses of this aggregate need the same functions in the same order, so that Spark runs
-    # its shuffle once and reuses it for the subquery.
-    per_customer = _not_cancelled(orders).groupBy("customer_id").agg(
+    per_customer = stage(_not_cancelled(orders).groupBy("customer_id").agg(
         F.count("order_id").alias("frequency"),
         rounded(F.sum(money(F.col("total"))), 2).alias("monetary"),
         last.alias("last_order_date"),
-        F.date_diff(today, last).alias("recency_days"))
-    points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    quartiles = per_customer.agg(F.struct(
-        *[F.percentile_approx(name, points, accuracy).alias(name)
-          for name in ("frequency", "monetary", "recency_days")]).alias("bounds"))
-    scored = (per_customer.withColumn("bounds", quartiles.scalar())
+        F.date_diff(today, last).alias("recency_days")), "per-customer", folder)
+    bounds = quantiles(per_customer, ["frequency", "monetary", "recency_days"], [0.25, 0.5, 0.75], folder)
+    segment = F.lit(REST)
+    for name, least in sorted(SEGMENTS.items(), key=lambda item: item[1]):
+        segment = F.when(F.col("rfm_score") >= least, name).otherwise(segment)
+    scored = (per_customer.withColumn("bounds", bounds.select(F.struct("*")).scalar())
               .withColumns({"r_score": _score("recency_days", "bounds.recency_days", True),
                             "f_score": _score("frequency", "bounds.frequency", False),
                             "m_score": _score("monetary", "bounds.monetary", False)})
               .withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
-              .withColumn("rfm_segment", F.when(F.col("rfm_score") >= 10, "Champions")
-                          .when(F.col("rfm_score") >= 8, "Loyal Customers")
-                          .when(F.col("rfm_score") >= 6, "Potential Loyalists")
-                          .when(F.col("rfm_score") >= 4, "At Risk")
-                          .otherwise("Lost")))
+              .withColumn("rfm_segment", segment))
     known = customers.select("customer_id", "country", "segment", "signup_date")
     return _finish(scored.join(known, "customer_id", "left"), "customer_rfm", processing_date, clock)
 
@@ -123,7 +119,7 @@ def product_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
 
 def product_performance(order_items: DataFrame, orders: DataFrame, products: DataFrame,
                         processing_date: str, clock: datetime | None = None,
-                        one_task_rows: int = ONE_TASK_ROWS, folder: str | None = None) -> DataFrame:
+                        folder: str | None = None) -> DataFrame:
     """Sales per product with its attributes and its rank by revenue and by units.
 
     Products without sales are absent; sold products the product table lacks have null attributes.
@@ -131,8 +127,9 @@ def product_performance(order_items: DataFrame, orders: DataFrame, products: Dat
     attributes = products.select("product_id", "name", "category", "price", "cost", "margin_pct",
                                  "rating", "review_count", "is_low_stock")
     sold = product_sales(order_items, orders).join(attributes, "product_id", "left")
-    ranked = global_rank(sold, {"rank_by_revenue": "revenue", "rank_by_units": "units_sold"},
-                         ["product_id"], one_task_rows, folder)
+    ranked = global_rank(sold, {"rank_by_revenue": "revenue", "rank_by_units": "units_sold"}, folder)
+    # the table's ranks are int; products are far fewer
+    ranked = ranked.withColumns({name: F.col(name).cast("int") for name in ("rank_by_revenue", "rank_by_units")})
     return _finish(ranked, "product_performance", processing_date, clock)
 
 

@@ -1,80 +1,76 @@
-"""Rank over a whole table without sorting it in one task."""
+"""Ranks and quantiles over a whole table without sorting it in one task.
+
+Rows are range partitioned by value into slices. What a slice needs to know of the others is how
+many rows lie before it, which is one row per slice.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.staging import stage
 
-# A table of at most this many rows is ranked by a plain window in one task.
-ONE_TASK_ROWS = 200_000
-SALTS = 64
-
 
-def _salt(key: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(SALTS))
+def _before(slices: DataFrame, rows: str) -> DataFrame:
+    """Add ``_before``, the rows of all earlier slices, to one row per slice."""
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return slices.withColumn("_before", F.coalesce(F.sum(rows).over(earlier), F.lit(0)))
 
 
-def value_ranks(df: DataFrame, by: str, out: str, key: Sequence[str],
-                folder: str | None = None) -> DataFrame:
-    """(value, salt, rank) for ``rank()`` by ``by`` descending, nulls last.
+def _value_ranks(df: DataFrame, by: str, out: str, folder: str | None) -> DataFrame:
+    """``_row`` and the ``rank()`` of each row by ``by`` descending, nulls last, as bigint.
 
-    A rank is 1 + the rows with a higher value. Rows are first counted per value and salt, so
-    ties collapse before the shuffle. The counts are range partitioned and staged together with
-    their slice number. A rank is then the total of the slices before, plus the counts above the
-    value in its own slice.
+    Slices are cut by value and then by a hash of the row, so a value shared by a third of the rows goes
+    to many slices. Within a slice a rank is the slice's offset plus the rank there. A value that spans slices has its rank
+    in the first of them: the smallest of the ranks that the slices it begins or ends would give it.
     """
-    counts = df.groupBy(F.col(by).alias("_value"), _salt(key).alias("_salt")).agg(
-        F.count(F.lit(1)).alias("_rows"))
-    slices = stage(counts.repartitionByRange(F.col("_value").desc_nulls_last())
-                   .withColumn("_slice", F.spark_partition_id()), f"slices-{out}", folder)
-
-    # One row per range partition: bounded by the number of shuffle partitions.
-    totals = slices.groupBy("_slice").agg(F.sum("_rows").alias("_total"))
-    before = totals.select("_slice", F.coalesce(
-        F.sum("_total").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_before"))
-
-    down_to_here = (Window.partitionBy("_slice").orderBy(F.col("_value").desc_nulls_last())
-                    .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    same_value = Window.partitionBy("_slice", "_value")
-    above = F.sum("_rows").over(down_to_here) - F.sum("_rows").over(same_value)
-    return (slices.withColumn("_above", above).join(F.broadcast(before), "_slice")
-            .select("_value", "_salt", (F.col("_before") + F.col("_above") + 1).cast("int").alias(out)))
-
-
-def ranked_in_slices(df: DataFrame, ranks: dict[str, str], key: Sequence[str],
-                     folder: str | None = None) -> DataFrame:
-    """Add the rank columns by value counts; no task holds more than a slice of the values.
-
-    Ranks go back to the rows by value and salt, so a value shared by a third of the rows is
-    spread over ``SALTS`` join keys; ``key`` names the columns that tell rows apart. ``df`` is
-    read several times and must give the same rows each time: pass a table or a staged frame.
+    place = F.col("_value").desc_nulls_last()
+    rows = (df.select("_row", F.col(by).alias("_value")).repartitionByRange(place, F.xxhash64("_row"))
+            .withColumn("_slice", F.spark_partition_id()))
+    inside = F.rank().over(Window.partitionBy("_slice").orderBy(place)).cast("bigint")
+    rows = stage(rows.withColumn("_inside", inside), f"slices-{out}", folder)
+    slices = _before(rows.groupBy("_slice").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max("_inside").alias("_last"), F.max("_value").alias("_first_value"),
+        F.when(F.count(F.lit(1)) == F.count("_value"), F.min("_value")).alias("_last_value")), "_rows")
+    ends = (slices.select(F.col("_first_value").alias("_end"), (F.col("_before") + 1).alias("_rank"))
+            .unionByName(slices.select(F.col("_last_value").alias("_end"), (F.col("_before") + F.col("_last")).alias("_rank")))
+            .groupBy("_end").agg(F.min("_rank").alias("_rank")))
+    offsets = slices.join(ends, F.col("_first_value").eqNullSafe(F.col("_end"))).select(
+        "_slice", "_before", "_first_value", "_rank")
+    rank = F.when(F.col("_value").eqNullSafe(F.col("_first_value")), F.col("_rank")).otherwise(F.col("_before") + F.col("_inside"))
+    return rows.join(offsets, "_slice").select("_row", rank.alias(out))
+
+
+def global_rank(df: DataFrame, ranks: dict[str, str], folder: str | None = None) -> DataFrame:
+    """Add one bigint rank column per ``{output column: value column}``, highest value first.
+
+    ``df`` is staged with a number per row. Only that and the value are sorted; ranks come back by the
+    number, for which the whole rows are shuffled once. ``folder`` is where tables are staged.
     """
-    result = df.withColumn("_salt", _salt(key))
+    result = rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "rank-input", folder)
     for out, by in ranks.items():
-        found = value_ranks(df, by, out, key, folder)
-        same = result[by].eqNullSafe(found["_value"]) & (result["_salt"] == found["_salt"])
-        result = result.join(found, same, "left").drop(found["_value"]).drop(found["_salt"])
-    return result.drop("_salt")
-
-
-def ranked_in_one_task(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
-    windows = {out: Window.orderBy(F.col(by).desc_nulls_last()) for out, by in ranks.items()}
-    return df.withColumns({out: F.rank().over(window).cast("int") for out, window in windows.items()})
+        result = result.join(_value_ranks(rows, by, out, folder), "_row")
+    return result.drop("_row")
 
 
-def global_rank(df: DataFrame, ranks: dict[str, str], key: Sequence[str],
-                one_task_rows: int = ONE_TASK_ROWS, folder: str | None = None) -> DataFrame:
-    """Add one int rank column per ``{output column: value column}``, highest value first.
+def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float], folder: str | None = None) -> DataFrame:
+    """One row with an array per column: the smallest values that at least each part of the rows does not exceed.
 
-    The rows are staged first. Their count then decides whether a single sort is cheap enough;
-    beyond ``one_task_rows`` the ranks are computed in slices. ``folder`` is where tables are staged.
+    Nulls are left out; a column without values gives nulls. Exact, so the same on any cluster. Rows are counted per value,
+    and only the values are sorted, in slices.
     """
-    staged = stage(df, "rank-input", folder)
-    if staged.count() <= one_task_rows:
-        return ranked_in_one_task(staged, ranks)
-    return ranked_in_slices(staged, ranks, key, folder)
+    result = None
+    for name in columns:
+        counts = (df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+                  .repartitionByRange("_value").withColumn("_slice", F.spark_partition_id()))
+        counts = stage(counts, f"quantiles-{name}", folder)
+        before = _before(counts.groupBy("_slice").agg(F.sum("_rows").alias("_total")), "_total").select("_slice", "_before")
+        upto = F.sum("_rows").over(Window.partitionBy("_slice").orderBy("_value")) + F.col("_before")
+        total = counts.agg(F.sum("_rows")).scalar()
+        found = counts.join(before, "_slice").withColumn("_upto", upto).agg(F.array(*(
+            F.min(F.when(F.col("_upto") >= F.ceil(total * F.lit(point)), F.col("_value"))) for point in points)).alias(name))
+        result = found if result is None else result.select("*", found.select(name).scalar().alias(name))
+    return result

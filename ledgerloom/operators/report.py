@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.exact import money, ratio, rounded
+from ledgerloom.functions.exact import ratio, rounded, total
 
 
 def report_channels(daily: DataFrame) -> DataFrame:
     return (daily.groupBy("channel")
             .agg(F.sum("total_orders").alias("orders"),
-                 F.sum(money(F.col("gross_revenue"))).cast("double").alias("revenue"))
+                 F.sum(total(F.col("gross_revenue"))).cast("double").alias("revenue"))
             .orderBy(F.desc_nulls_last("revenue"), "channel"))
 
 
@@ -35,7 +35,7 @@ def report_summary(daily: DataFrame, geo: DataFrame) -> DataFrame:
     """One row over everything; ``countries`` is the number of rows of the country table."""
     countries = geo.agg(F.count(F.lit(1))).scalar()
     totals = daily.agg(F.sum("total_orders").alias("total_orders"),
-                       F.sum(money(F.col("gross_revenue"))).alias("amount"),
+                       F.sum(total(F.col("gross_revenue"))).alias("amount"),
                        F.count_distinct("channel").alias("channels"))
     return totals.select("total_orders", F.col("amount").cast("double").alias("total_revenue"),
                          rounded(ratio(F.col("amount"), F.col("total_orders")), 2).alias("avg_order_value"),

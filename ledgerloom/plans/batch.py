@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import flat, gold, report
@@ -82,7 +83,7 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, day: date |
                            "rating", "review_count", "is_low_stock")
         built = {
             "daily_revenue_summary": gold.daily_revenue_summary(orders, items, processing_date, clock),
-            "customer_rfm": gold.customer_rfm(orders, customers, processing_date, clock),
+            "customer_rfm": gold.customer_rfm(orders, customers, processing_date, clock, work),
             "product_performance": gold.product_performance(items, orders, products, processing_date, clock,
                                                             folder=work),
             "geo_revenue": gold.geo_revenue(orders, customers, processing_date, clock),
@@ -117,7 +118,10 @@ def run_flat_gold(spark: SparkSession, silver_root: str, gold_root: str, day: da
     }
     counts = {table: tables.write_flat_csv(rows, f"{gold_root}/flat_gold/{table}/dt={day}")
               for table, rows in built.items()}
-    return tables.run_summary(spark, "flat_gold", {**counts, "orders_processed": orders.count()})
+    # every order is in the funnel once
+    funnel = tables.read_flat_gold(spark, gold_root, "order_funnel", day) if counts["order_funnel"] else None
+    processed = funnel.agg(F.sum("order_count")).first()[0] if funnel is not None else 0
+    return tables.run_summary(spark, "flat_gold", {**counts, "orders_processed": int(processed)})
 
 
 def run_report(spark: SparkSession, gold_root: str, day: date | str) -> dict[str, DataFrame]:

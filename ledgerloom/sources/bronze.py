@@ -17,16 +17,6 @@ FORMATS = ("csv", "json", "parquet")
 DATE_IN_PATH = r"/dt=(\d{4})[/-](\d{2})[/-](\d{2})/"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when the files give fewer tasks than cores.
-
-    Gzip text and Parquet files of one row group cannot be split. A scan with enough tasks, as any
-    large one has, is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *scan.columns)
-
-
 def read_csv(spark: SparkSession, path: str, schema: str | None = None,
              recursive: bool = False, names: str = "*") -> DataFrame:
     """CSV with a header row, all columns text unless a schema is given.
@@ -67,10 +57,11 @@ def read_raw(spark: SparkSession, path: str, table: str, file_format: str = "csv
              recursive: bool = False) -> DataFrame:
     """Raw rows of one entity as text columns.
 
-    ``file_format`` is one of the accepted formats, or "any" to read each file by its extension.
+    ``file_format`` is one of the accepted formats, whose files alone are read, or "any" to read each file by its
+    extension. Files of other extensions are left alone.
     """
     if file_format in FORMATS:
-        return _read_format(spark, path, table, file_format, recursive, "*")
+        return _read_format(spark, path, table, file_format, recursive, f"*.{file_format}")
     if file_format != "any":
         raise ValueError(f"unsupported format {file_format!r}, expected one of {FORMATS} or 'any'")
     declared = list(schemas.ENTITY_TYPES[table])

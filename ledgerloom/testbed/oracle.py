@@ -302,6 +302,14 @@ def _recent(days: int) -> str:
     return f"order_date >= {TODAY} - {days}"
 
 
+# Table and status of the files that the events name, told from the order's key.
+FILE_EVENTS = """
+select case o_orderkey % 7 when 0 then null when 1 then 'returns' when 3 then 'customers' when 4 then 'products' else 'orders' end as table_name,
+  case o_orderkey % 7 when 0 then 'unrecognised key' when 1 then 'unknown table' when 2 then 'unsupported extension'
+    else 'accepted' end as status,
+  cast(o_orderkey % 4096 * 1024 + o_custkey as bigint) as size_bytes
+from orders"""
+
 BODIES = {
     **{f"silver_{name}": _silver(name) for name in schemas.ENTITIES},
     **{f"quarantine_{name}": f"select * from (select *, {REJECT[name]} as reject_reason from typed_{name}) "
@@ -395,13 +403,18 @@ select item_id, quantity, unit_price, discount, line_total, line_total_recalc
 from silver_order_items where {LINE_GAP}""",
     "global_rank": """
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity,
-  cast(rank() over (order by l_extendedprice desc nulls last) as integer) as rank_by_price,
-  cast(rank() over (order by l_quantity desc nulls last) as integer) as rank_by_quantity
+  rank() over (order by l_extendedprice desc nulls last) as rank_by_price,
+  rank() over (order by l_quantity desc nulls last) as rank_by_quantity
 from lineitem""",
     "bronze_round_trip": f"select *, {_day_of(SPREAD_KEYS['orders'])} as date_partition from raw_orders",
     "ingest_manifest": "\nunion all ".join(
         f"select distinct '{name}' as table_name, {_day_of(SPREAD_KEYS[name])} as ingest_date, '.csv' as ext, "
         f"'accepted' as status, cast(0 as bigint) as empty_files from raw_{name}" for name in schemas.ENTITIES),
+    "ingest_summary": f"""
+select table_name, status, count(*) as files, cast(sum(size_bytes) as bigint) as bytes from ({FILE_EVENTS}) group by 1, 2""",
+    "ingest_totals": f"""
+select count(*) as total_records, count(*) filter (where status = 'accepted') as processed_count,
+  count(*) filter (where status <> 'accepted') as skipped_count from ({FILE_EVENTS})""",
     "backfill_range": "\nunion all ".join(
         f"select '{name}' as table_name, date_partition, count(*) as row_count from by_day_{name} "
         "group by date_partition" for name in schemas.ENTITIES),

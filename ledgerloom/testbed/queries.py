@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import analytics, clean, flat, gold, quality, report
-from ledgerloom.operators.rank import ranked_in_slices
+from ledgerloom.operators.rank import global_rank
 from ledgerloom.plans import batch
 from ledgerloom.session import pin_time_zone
 from ledgerloom.sources import bronze, manifest, tables
@@ -117,11 +117,10 @@ def _dq_line_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order line ranked by price and by quantity, by the way that sorts in slices."""
+    """Every order line ranked by price and by quantity."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    return ranked_in_slices(lines, {"rank_by_price": "l_extendedprice", "rank_by_quantity": "l_quantity"},
-                        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return global_rank(lines, {"rank_by_price": "l_extendedprice", "rank_by_quantity": "l_quantity"})
 
 
 def _land_by_day(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -170,11 +169,12 @@ def _catalog_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "catalog")
     name = "daily_revenue_summary"
     tables.write_gold(_daily(spark, sf_dir), root, name)
-    tables.create_database(spark, "retail_gold", "Business tables", f"{root}/gold")
-    tables.create_table(spark, "retail_gold", name, schemas.GOLD_TYPES[name],
+    database = f"retail_gold_{root.rsplit('-', 1)[-1]}"  # of this run alone
+    tables.create_database(spark, database, "Business tables", f"{root}/gold")
+    tables.create_table(spark, database, name, schemas.GOLD_TYPES[name],
                         schemas.GOLD_LAYOUT[name][0], f"{root}/gold/{name}")
     columns = [column for column in schemas.GOLD_TYPES[name] if column != "updated_at"]
-    return spark.table(f"retail_gold.{name}").select(*columns)
+    return spark.table(f"{database}.{name}").select(*columns)
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +189,28 @@ def _ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count_if(F.col("size_bytes") == 0).alias("empty_files")))
 
 
+# Keys of files as events name them, one per order, with all kinds that occur.
+EVENT_KEYS = """
+case o_orderkey % 7 when 0 then concat('inbox/', cast(o_orderkey as string), '.csv')
+  when 1 then concat('bronze/returns/dt=', replace(cast(o_orderdate as string), '-', '/'), '/', cast(o_orderkey as string), '.csv')
+  when 2 then concat('bronze/orders/dt=', cast(o_orderdate as string), '/notes+', cast(o_orderkey as string), '.txt')
+  when 3 then concat('bronze/customers/dt%3D', cast(o_orderdate as string), '/a%20b.json')
+  when 4 then concat('bronze/products/dt=', cast(o_orderdate as string), '/part-', cast(o_orderkey as string), '.parquet')
+  else concat('bronze/orders/dt=', cast(o_orderdate as string), '/part-', cast(o_orderkey as string), '.csv') end"""
+EVENT_BYTES = "cast(o_orderkey % 4096 * 1024 + o_custkey as bigint)"
+
+
+def _file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "orders").selectExpr(f"{EVENT_KEYS} as key", f"{EVENT_BYTES} as size_bytes")
+    return manifest.classify_events(events, "key")
+
+
 def _ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest.ingest_summary(_manifest(spark, sf_dir))
+    return manifest.ingest_summary(_file_events(spark, sf_dir))
+
+
+def _ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.ingest_totals(_file_events(spark, sf_dir))
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> str:
@@ -258,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "bronze_round_trip": _bronze_round_trip,
     "ingest_manifest": _ingest_manifest,
     "ingest_summary": _ingest_summary,
+    "ingest_totals": _ingest_totals,
     "backfill_range": _backfill_range,
     "run_summary": _run_summary,
     "run_flat_summary": _run_flat_summary,

@@ -38,7 +38,8 @@ def test_silver_schemas(spark):
     ({"total": None}, "total is no amount"),
     ({"total": "n/a"}, "total is no amount"),
     ({"total": "NaN"}, "total is no amount"),
-    ({"total": "1e300"}, "total is no amount"),
+    ({"total": "1e300"}, "total too large to add up"),
+    ({"total": "20000000000000.00"}, None),
     ({"total": "-0.01"}, "negative total"),
     ({"total": "0"}, None),
     ({"created_at": "yesterday", "subtotal": "x", "status": None}, None),
@@ -49,6 +50,17 @@ def test_order_filter_and_reason(spark, change, reason):
     assert (len(kept), [row["reject_reason"] for row in dropped]) == ((1, []) if reason is None else (0, [reason]))
 
 
+def test_large_and_tiny_amounts_keep_their_value(spark):
+    row = dicts(silver(spark, "order_items", {"quantity": "2000000000", "unit_price": "9e9", "discount": "0", "line_total": "1.8e17"}))[0]
+    assert row["line_total_recalc"] == 1.8e19 and row["total_mismatch"] is True
+    row = dicts(silver(spark, "order_items", {"quantity": "100000", "unit_price": "1.00001", "discount": "0", "line_total": "100001"}))[0]
+    assert row["line_total_recalc"] == 100001.0 and row["total_mismatch"] is False
+    (item,) = dicts(clean.quarantine("order_items", raw(spark, "order_items", {"line_total": "1e18"})))
+    assert item["line_total"] == 1e18 and item["reject_reason"] == "line total too large to add up"
+    row = dicts(silver(spark, "products", {"price": "30000000000000", "cost": "15000000000000"}))[0]
+    assert row["price"] == 3e13 and row["margin_pct"] == 50.0
+
+
 def test_bad_values_become_null_and_stay(spark):
     row = dicts(silver(spark, "orders", {"created_at": "yesterday", "subtotal": "x", "promo_code": None}))[0]
     assert (row["created_at"], row["order_date"], row["order_hour"], row["subtotal"]) == (None,) * 4

@@ -3,7 +3,6 @@ from collections import defaultdict
 from datetime import date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
-import pytest
 
 from helpers import by, dicts, raw, rows
 from ledgerloom.operators import gold
@@ -95,8 +94,7 @@ def test_rfm_order_after_the_snapshot_has_negative_recency(spark):
     assert got["recency_days"] == -2
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
-def test_product_performance(spark, one_task_rows):
+def test_product_performance(spark):
     o = orders(spark, {"order_id": "a", "created_at": "2024-11-01"}, {"order_id": "b", "created_at": "2024-11-05"},
                {"order_id": "c", "status": "Cancelled"})
     i = items(spark, {"item_id": "1", "order_id": "a", "line_total": "5.00", "discount": "0.1"},
@@ -105,7 +103,7 @@ def test_product_performance(spark, one_task_rows):
               {"item_id": "4", "order_id": "b", "product_id": "p2", "line_total": "15.00", "quantity": "1"},
               {"item_id": "5", "order_id": "b", "product_id": None, "line_total": "1.00"},
               {"item_id": "6", "order_id": "c", "product_id": "p3"})
-    got = by(gold.product_performance(i, o, products(spark, {}, {"product_id": "p3"}), DAY, CLOCK, one_task_rows),
+    got = by(gold.product_performance(i, o, products(spark, {}, {"product_id": "p3"}), DAY, CLOCK),
              "product_id")
     assert set(got) == {"p1", "p2", None}
     one = got["p1"]
@@ -176,7 +174,7 @@ def test_against_brute_force_with_hot_keys(spark):
         key: (len(ids), float(amount), count, float(_cents(amount / count)), float(_cents(amount / len(ids))))
         for key, (ids, amount, count) in daily.items()}
 
-    performance = by(gold.product_performance(i, o, products(spark, {}), DAY, one_task_rows=0), "product_id")
+    performance = by(gold.product_performance(i, o, products(spark, {}), DAY), "product_id")
     assert {key: (row["units_sold"], row["revenue"], row["order_count"], row["rank_by_revenue"])
             for key, row in performance.items()} == {
         key: (units, float(amount), len(ids), 1 + sum(other[1] > amount for other in sold.values()))

@@ -38,3 +38,23 @@ def test_summary(spark):
 def test_violating_rows(spark):
     orders = typed("orders", raw(spark, "orders", {}, {"order_id": "bad", "total": "1.00"}))
     assert rows(quality.violations(orders, quality.total_below_subtotal()), "order_id") == [("bad",)]
+
+
+def test_a_hot_order_is_split(spark):
+    """A third of the items on one order: adaptive execution splits its partition of the join."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        items = spark.range(0, 200_000, 1, 8).selectExpr(
+            "cast(id as string) item_id", "cast(case when id % 3 = 0 then 7 else id end as string) order_id", "uuid() filler")
+        orders = spark.range(0, 100_000, 1, 4).selectExpr("cast(id as string) order_id")
+        found = quality.orphans(items, orders, "order_id")
+        assert found.count() == sum(1 for i in range(100_000, 200_000) if i % 3)
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from helpers import rows
-from ledgerloom.operators.rank import global_rank, ranked_in_one_task, ranked_in_slices
-from ledgerloom.sources.staging import stage
+from ledgerloom.operators.rank import global_rank, quantiles
 
 RANKS = {"by_v": "v", "by_u": "u"}
 
@@ -14,22 +15,43 @@ def frame(spark, n):
         "id * 7 % 13 u")
 
 
+def plain(df):
+    return df.withColumns({out: F.rank().over(Window.orderBy(F.col(by).desc_nulls_last())).cast("bigint") for out, by in RANKS.items()})
+
+
 @pytest.mark.parametrize("n", [0, 1, 5000])
 def test_slices_equal_a_plain_window(spark, n):
-    df = stage(frame(spark, n), "test")
-    assert rows(ranked_in_slices(df, RANKS, ["id"])) == rows(ranked_in_one_task(df, RANKS))
+    found = global_rank(frame(spark, n), RANKS)
+    assert found.columns == ["id", "v", "u", "by_v", "by_u"] and dict(found.dtypes)["by_v"] == "bigint"
+    assert rows(found) == rows(plain(frame(spark, n)))
+
+
+def test_one_value_over_all_slices_and_rows_alike(spark):
+    df = spark.range(900).selectExpr("nullif(id % 5, 2) id", "case when id = 7 then 2d else 1d end v", "cast(null as int) u")
+    assert rows(global_rank(df, RANKS)) == rows(plain(df))
+
+
+def test_no_window_over_rows_without_partition(spark):
+    text = global_rank(frame(spark, 3000), RANKS)._jdf.queryExecution().executedPlan().toString()
+    # one row per slice is the only thing brought together
+    for line in text.splitlines():
+        assert "SinglePartition" not in line or "ENSURE_REQUIREMENTS" in line
+    single = [line for line in text.splitlines() if "Window [sum(_rows" in line.replace("#", " ")]
+    assert all("_slice" in line for line in single)
 
 
-def test_size_decides_the_way(spark):
-    df = frame(spark, 300)
-    small, large = global_rank(df, RANKS, ["id"]), global_rank(df, RANKS, ["id"], one_task_rows=10)
-    assert rows(small) == rows(large)
-    assert small.columns == large.columns == ["id", "v", "u", "by_v", "by_u"]
+@pytest.mark.parametrize("parts", [8, 64])
+def test_quantiles_are_exact_on_any_cluster(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = quantiles(frame(spark, 5003), ["v", "u"], [0.25, 0.5, 0.75]).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for name in ("v", "u"):
+        values = sorted(row[0] for row in frame(spark, 5003).where(f"{name} is not null").select(name).collect())
+        assert found[name] == [values[-(-len(values) * quarter // 4) - 1] for quarter in (1, 2, 3)]
 
 
-def test_no_task_sorts_all_rows(spark):
-    df = stage(frame(spark, 3000), "test")
-    text = ranked_in_slices(df, RANKS, ["id"])._jdf.queryExecution().executedPlan().toString()
-    # The one-row-per-slice totals are the only thing brought together.
-    single = [line for line in text.splitlines() if "SinglePartition" in line]
-    assert len(single) == len(RANKS)
+def test_quantiles_of_nothing(spark):
+    assert quantiles(frame(spark, 0), ["v"], [0.5]).first()["v"] == [None]

@@ -1,4 +1,3 @@
-import gzip
 import os
 from datetime import date
 
@@ -68,13 +67,12 @@ def test_file_order(spark, root):
     assert [row[0] for row in got] == ["a1", "a2", "b1", "b2"]
 
 
-def test_spread_only_where_files_give_too_few_tasks(spark, root):
-    with gzip.open(f"{root}/x.csv.gz", "wt") as file:
-        file.write("k\n" + "\n".join(map(str, range(100))))
-    scan = bronze.read_csv(spark, f"{root}/x.csv.gz")
-    assert bronze.spread(scan).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert bronze.spread(wide) is wide
+def test_files_of_other_kinds_are_left_alone(spark, root):
+    bronze.land_csv(raw(spark, "orders", {}, {"order_id": "o2"}), root, "orders", "2024-11-01")
+    put(root, "bronze/orders/dt=2024/11/01/notes.txt", "a,b\n1,2\n")
+    put(root, "bronze/orders/dt=2024/11/01/more.json", '{"order_id": "o3"}\n')
+    assert bronze.read_day(spark, root, "orders", "2024-11-01").count() == 2
+    assert bronze.read_day(spark, root, "orders", "2024-11-01", "any").count() == 3
 
 
 def test_json_files_hold_a_number_of_rows(spark, root):
@@ -83,26 +81,26 @@ def test_json_files_hold_a_number_of_rows(spark, root):
 
 
 def test_manifest(spark, root):
-    for key in ("bronze/orders/dt=2024/11/01/orders.csv", "bronze/unknown_table/dt=2024/11/01/data.csv",
-                "some/random/path.csv", "bronze/products/dt=2024/01/15/products.json",
+    for key in ("bronze/orders/dt=2024/11/01/may.csv", "bronze/returns/dt=2024/11/01/june.csv",
+                "inbox/list.csv", "bronze/products/dt=2024/02/20/catalogue.json",
                 "bronze/orders/dt=2024/11/01/notes.txt", "bronze/orders/dt=2024-11-02/a b+c.parquet",
                 "bronze/orders/dt=2024/11/01/noext"):
-        put(root, key, "x" * 1024)
+        put(root, key, "x" * 3000)
     got = by(manifest.file_manifest(spark, root), "filename")
     found = {key: (row["table_name"], row["ingest_date"], row["ext"], row["status"]) for key, row in got.items()}
     assert found == {
-        "orders.csv": ("orders", "2024-11-01", ".csv", "accepted"),
-        "data.csv": ("unknown_table", "2024-11-01", ".csv", "unknown table"),
+        "may.csv": ("orders", "2024-11-01", ".csv", "accepted"),
+        "june.csv": ("returns", "2024-11-01", ".csv", "unknown table"),
         None: (None, None, None, "unrecognised key"),
-        "products.json": ("products", "2024-01-15", ".json", "accepted"),
+        "catalogue.json": ("products", "2024-02-20", ".json", "accepted"),
         "notes.txt": ("orders", "2024-11-01", ".txt", "unsupported extension"),
         "a b+c.parquet": ("orders", "2024-11-02", ".parquet", "accepted"),
         "noext": ("orders", "2024-11-01", "", "unsupported extension")}
-    assert (got["orders.csv"]["size_bytes"], got["orders.csv"]["size_mb"]) == (1024, 0.001)
-    assert got["orders.csv"]["last_modified"] is not None
+    assert (got["may.csv"]["size_bytes"], got["may.csv"]["size_mb"]) == (3000, 0.003)
+    assert got["may.csv"]["last_modified"] is not None
     summary = manifest.ingest_summary(manifest.file_manifest(spark, root))
     assert rows(summary.filter("table_name = 'orders'")) == [
-        ("orders", "accepted", 2, 2048), ("orders", "unsupported extension", 2, 2048)]
+        ("orders", "accepted", 2, 6000), ("orders", "unsupported extension", 2, 6000)]
     assert rows(manifest.ingest_totals(manifest.file_manifest(spark, root))) == [(7, 3, 4)]
 
 
