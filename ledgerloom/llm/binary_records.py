@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm._frames import Workspace
-from ledgerloom.llm._tokenizer import Encoder
+from ledgerloom.llm._tokenizer import shared_encoder
 
 END_ID = 0
 MASK_SHIFT = 0xA282EAD8  # added to the rotated checksum
@@ -71,7 +71,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, by_id: bool = Tr
     that of the attempt that counted.
     """
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = shared_encoder(tokenizer), TaskContext.get().partitionId()
         end = np.array([END_ID], f"<u{encoder.width}").tobytes()
         store, root = file_system(folder)
         name, offset, out = f"part-{part:06d}-{uuid.uuid4().hex}.records", 0, None

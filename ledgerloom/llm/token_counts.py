@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm._frames import Workspace
-from ledgerloom.llm._tokenizer import Encoder, tokenizer_version
+from ledgerloom.llm._tokenizer import shared_encoder, tokenizer_version
 from ledgerloom.llm._words import as_bytes
 
 LIMIT = 1024
@@ -44,7 +44,7 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
 def _encoded(texts: DataFrame, path: str) -> DataFrame:
     """Counts of texts that lie by digest; repeats in a partition are encoded once."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = Encoder(path, counts_only=True), set()
+        encoder, seen = shared_encoder(path, counts_only=True), set()
         for batch in batches:
             rows = [(content, encoder(text.decode("utf-8", "replace")))
                     for content, text in dict(zip(*(batch.column(name).to_pylist() for name in ("content", "text")), strict=True)).items()

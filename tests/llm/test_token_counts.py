@@ -40,7 +40,7 @@ def test_blanks_and_special_strings_in_every_place():
     parts = ["a", " ", "  ", "\n", "\t", " ", "<|endoftext|>", "'s", "é!", "12", "\x1c", "　"]
     whole, count = Tokenizer.from_file(PATH), Encoder(PATH, counts_only=True)
     packed = Encoder(PATH)
-    for one in parts:
+    for one in [*parts, "ž", "ß²", "٣", "\xad", "\xa0"]:
         for two in parts:
             for three in parts:
                 text = f"x{one}{two}{three}y {one}{two} z"
