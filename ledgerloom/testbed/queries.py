@@ -192,11 +192,11 @@ def _ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Keys of files as events name them, one per order, with all kinds that occur.
 EVENT_KEYS = """
 case o_orderkey % 7 when 0 then concat('inbox/', cast(o_orderkey as string), '.csv')
-  when 1 then concat('bronze/returns/dt=', replace(cast(o_orderdate as string), '-', '/'), '/', cast(o_orderkey as string), '.csv')
-  when 2 then concat('bronze/orders/dt=', cast(o_orderdate as string), '/notes+', cast(o_orderkey as string), '.txt')
-  when 3 then concat('bronze/customers/dt%3D', cast(o_orderdate as string), '/a%20b.json')
-  when 4 then concat('bronze/products/dt=', cast(o_orderdate as string), '/part-', cast(o_orderkey as string), '.parquet')
-  else concat('bronze/orders/dt=', cast(o_orderdate as string), '/part-', cast(o_orderkey as string), '.csv') end"""
+  when 1 then concat('bronze/returns/dt=', replace(cast(cast(o_orderdate as date) as string), '-', '/'), '/', cast(o_orderkey as string), '.csv')
+  when 2 then concat('bronze/orders/dt=', cast(cast(o_orderdate as date) as string), '/notes+', cast(o_orderkey as string), '.txt')
+  when 3 then concat('bronze/customers/dt%3D', cast(cast(o_orderdate as date) as string), '/a%20b.json')
+  when 4 then concat('bronze/products/dt=', cast(cast(o_orderdate as date) as string), '/part-', cast(o_orderkey as string), '.parquet')
+  else concat('bronze/orders/dt=', cast(cast(o_orderdate as date) as string), '/part-', cast(o_orderkey as string), '.csv') end"""
 EVENT_BYTES = "cast(o_orderkey % 4096 * 1024 + o_custkey as bigint)"
 
 
