@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom import schemas
-from ledgerloom.operators.clean import quarantine, silver
+from ledgerloom.operators.clean import REJECT, quarantine, silver
 from ledgerloom.operators.dedup import latest_by_key
+from ledgerloom.sources.staging import folder_exists
 
 BROKEN = "_corrupt_record"
 FILES_PER_BATCH = 1000
@@ -43,7 +44,10 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 def batch_writer(target: str, processing_date: str,
                  clock: datetime | None = None) -> Callable[[DataFrame, int], None]:
-    """Per micro-batch: clean rows, rejected rows and counts, each under its batch number."""
+    """Per micro-batch: clean rows, rejected rows and counts, each under its batch number.
+
+    Rejected rows include the lines that could not be read, as ``line``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -51,7 +55,10 @@ def batch_writer(target: str, processing_date: str,
             readable = batch.filter(F.col(BROKEN).isNull())
             clean = silver("orders", readable.drop(BROKEN), processing_date, clock)
             _write_batch(clean, f"{target}/versions", batch_id)
-            _write_batch(quarantine("orders", readable), f"{target}/rejected", batch_id)
+            broken = batch.filter(F.col(BROKEN).isNotNull()).select(
+                F.lit("unreadable line").alias(REJECT), F.col(BROKEN).alias("line"))
+            _write_batch(quarantine("orders", readable).unionByName(broken, allowMissingColumns=True),
+                         f"{target}/rejected", batch_id)
             _write_batch(batch.agg(F.count(F.lit(1)).alias("received"),
                                    F.count_if(F.col(BROKEN).isNotNull()).alias("failed"),
                                    F.count_if(F.col(BROKEN).isNull()).alias("sent")),
@@ -74,11 +81,30 @@ def stream_silver_orders(spark: SparkSession, source: str, target: str, checkpoi
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _streamed(spark: SparkSession, target: str) -> DataFrame:
+    """The latest version per order with its batch: the newest merged table and the batches after it."""
+    types = schemas.ddl({**schemas.SILVER_TYPES["orders"], "batch_id": "bigint"})
+    versions = spark.read.schema(types).parquet(f"{target}/versions")
+    if folder_exists(spark, f"{target}/current"):
+        merged = spark.read.schema(f"{types}, upto bigint").parquet(f"{target}/current")
+        upto = merged.agg(F.max("upto")).scalar()
+        versions = versions.filter(F.col("batch_id") > upto).unionByName(merged.filter(F.col("upto") == upto).drop("upto"))
+    return latest_by_key(versions, ["order_id"], ["updated_at", "batch_id"])
+
+
 def read_streamed_orders(spark: SparkSession, target: str) -> DataFrame:
     """The latest version per order over all batches."""
-    types = {**schemas.SILVER_TYPES["orders"], "batch_id": "bigint"}
-    versions = spark.read.schema(schemas.ddl(types)).parquet(f"{target}/versions")
-    return latest_by_key(versions, ["order_id"], ["updated_at", "batch_id"]).drop("batch_id")
+    return _streamed(spark, target).drop("batch_id")
+
+
+def merge_batches(spark: SparkSession, target: str) -> None:
+    """Fold all batches so far into one table of current orders; later reads take only newer batches beside it.
+
+    Run it between two runs of the stream. A batch that is replayed after it was merged would be left out.
+    """
+    upto = spark.read.schema("batch_id bigint").parquet(f"{target}/versions").agg(F.max("batch_id")).first()[0]
+    if upto is not None:
+        _streamed(spark, target).write.mode("overwrite").parquet(f"{target}/current/upto={upto}")
 
 
 def read_batch_counts(spark: SparkSession, target: str) -> DataFrame:

@@ -43,7 +43,20 @@ def test_stream_equals_batch_over_replays_restarts_and_broken_lines(spark, root)
     kept = rows(stream.read_streamed_orders(spark, f"{root}/target"))
     assert kept == rows(silver("orders", first.unionByName(later), DAY, CLOCK))
     assert {row[0]: row[2] for row in kept} == {"o1": "shipped", "o3": "shipped"}
-    assert rows(spark.read.parquet(f"{root}/target/rejected"), "order_id", "reject_reason")[0] == ("o2", "negative total")
+    rejected = spark.read.parquet(f"{root}/target/rejected")
+    assert rows(rejected.filter("line is null"), "order_id", "reject_reason")[0] == ("o2", "negative total")
+
+    lines = rows(spark.read.parquet(f"{root}/target/rejected").filter("line is not null"), "order_id", "reject_reason", "line")
+    assert lines == [(None, "unreadable line", '{"order_id": "half')]
+
+    # Merged batches read alike, also with newer ones beside them.
+    stream.merge_batches(spark, f"{root}/target")
+    assert rows(stream.read_streamed_orders(spark, f"{root}/target")) == kept
+    newest = raw(spark, "orders", {"order_id": "o3", "status": "delivered", "updated_at": "2024-12-24"})
+    land_json(newest, f"{root}/events")
+    run(spark, root)
+    stream.merge_batches(spark, f"{root}/target")
+    assert {row[0]: row[2] for row in rows(stream.read_streamed_orders(spark, f"{root}/target"))} == {"o1": "shipped", "o3": "delivered"}
 
     # Nothing new: nothing changes.
     before = counts(spark, root)
