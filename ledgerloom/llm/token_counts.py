@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm._frames import Workspace
 from ledgerloom.llm._tokenizer import shared_encoder, tokenizer_version
 from ledgerloom.llm._words import as_bytes
+from ledgerloom.sources.staging import folder_exists
 
 LIMIT = 1024
 RECENT = 200_000  # digests a task remembers to pass on each text once
@@ -55,11 +56,6 @@ def _encoded(texts: DataFrame, path: str) -> DataFrame:
     return texts.mapInArrow(over, "content binary, n_tokens int")
 
 
-def _exists(docs: DataFrame, path: str) -> bool:
-    folder = docs.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(docs.sparkSession._jsc.hadoopConfiguration()).exists(folder)
-
-
 def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limit: int = LIMIT) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every document.
 
@@ -70,7 +66,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     work = Workspace(docs.sparkSession, "token_counts")
     cache, version = cache or f"{work.folder}/cache", tokenizer_version(tokenizer)
     texts = _distinct_texts(docs)
-    if _exists(docs, cache):
+    if folder_exists(docs.sparkSession, cache):
         stored = docs.sparkSession.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version)
         misses = texts.join(stored, "content", "left_anti").repartition("content")
     else:
