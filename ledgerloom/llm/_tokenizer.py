@@ -19,7 +19,7 @@ from pathlib import Path
 import numpy as np
 import regex
 
-CACHE_PARTS, CACHE_PIECES = 300_000, 700_000  # remembered by a worker; a cache starts anew when full
+CACHE_PARTS, CACHE_PIECES = 150_000, 350_000  # remembered by a worker; a cache starts anew when full
 _BLANKS = re.compile(r"\s\s")
 # The pattern of byte-level BPE, and the characters it uses for bytes.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
