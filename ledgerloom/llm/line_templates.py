@@ -117,5 +117,6 @@ def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([row[0] for row in found], pa.int64()), pa.array([row[1] for row in found], pa.int64()),
                  pa.array([row[2] for row in found], pa.string())], ["doc_id", "n_lines", "n_dropped", "text"])
-    return rows.join(drops, "doc", "left").select("doc_id", "text", "lines").mapInArrow(
+    # a merge join whatever the size: what is dropped grows with the documents
+    return rows.join(drops.hint("merge"), "doc", "left").select("doc_id", "text", "lines").mapInArrow(
         over, "doc_id bigint, n_lines bigint, n_dropped bigint, text string")
