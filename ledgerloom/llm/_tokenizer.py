@@ -19,7 +19,7 @@ from pathlib import Path
 import numpy as np
 import regex
 
-CACHE_PARTS, CACHE_PIECES = 150_000, 350_000  # remembered by a worker; a cache starts anew when full
+CACHE_PARTS, CACHE_PIECES = 200_000, 700_000  # remembered by a worker
 _BLANKS = re.compile(r"\s\s")
 # The pattern of byte-level BPE, and the characters it uses for bytes.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -43,12 +43,18 @@ class _Parts(dict):
 
     def __init__(self, encode, lead: str, most: int):
         super().__init__()
-        self._encode, self._lead, self._most = encode, lead, most
+        self._encode, self._lead, self._most, self._left_out = encode, lead, most, 0
 
     def __missing__(self, part: str):
-        if len(self) >= self._most:
+        value = self._encode(self._lead + part)
+        if len(self) < self._most:
+            self[part] = value
+            return value
+        # frequent parts came early and stay; after many others the cache starts anew, as texts may have changed
+        self._left_out += 1
+        if self._left_out > 8 * self._most:
             self.clear()
-        value = self[part] = self._encode(self._lead + part)
+            self._left_out = 0
         return value
 
 
