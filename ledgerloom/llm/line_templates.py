@@ -4,6 +4,7 @@ A line falls, by its number of tokens and its leading tokens, into a leaf of a t
 digits count as variable there. Within a leaf a token is fixed at its place if enough documents have it there, and
 variable otherwise, whatever the order in which lines come. A line's template is its fixed tokens with a mark in the
 variable places; with too few fixed tokens it has none. Templates of enough documents recur and their lines are dropped.
+A line with more digits than a template allows recurs if enough documents have it word for word, digits included.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ LEADING = 2  # tokens of the path to a leaf
 MIN_DOCUMENTS = 10
 MIN_FIXED = 0.6  # part of a line's tokens that a template must fix
 VARIABLE = "<*>"
+MARK = VARIABLE.encode()
 _DIGITS = re.compile(rb"[^ \t\n\v\f\r]*[0-9][^ \t\n\v\f\r]*")
 
 LINES = "leaf bigint, line bigint, doc bigint"
@@ -35,7 +37,7 @@ def _signed(value: int) -> int:
 
 def masked(line: bytes) -> list[bytes]:
     """Tokens of a line, those with digits as variable."""
-    return _DIGITS.sub(VARIABLE.encode(), line).split()
+    return _DIGITS.sub(MARK, line).split()
 
 
 def leaf_of(tokens: list[bytes]) -> int:
@@ -46,31 +48,44 @@ def line_hash(tokens: list[bytes]) -> int:
     return _signed(xxhash.xxh3_64_intdigest(b" ".join(tokens)))
 
 
-def _lines(docs: DataFrame, texts: bool) -> DataFrame:
-    """Leaf and hash of every different masked line of a document, with its tokens if wanted."""
+def exact_hash(tokens: list[bytes]) -> int:
+    """Hash of a line word for word; apart from those of masked lines and leaves."""
+    return _signed(xxhash.xxh3_64_intdigest(b"\0exact\0" + b" ".join(tokens)))
+
+
+def _lines(docs: DataFrame, texts: bool, fixed: float) -> DataFrame:
+    """Leaf and hash of every different masked line of a document, with its tokens if wanted.
+
+    A line that no template can hold has a row of its own besides, with its exact hash as leaf and line and without tokens.
+    """
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc").to_pylist(), as_bytes(batch.column("text")), strict=True):
-                seen = {}
+                seen, exact = {}, set()
                 for line in text.split(b"\n"):
                     if tokens := masked(line):
                         seen[line_hash(tokens)] = tokens
+                        if len(tokens) - tokens.count(MARK) < fixed * len(tokens):
+                            exact.add(exact_hash(line.split()))
                 rows += [(leaf_of(tokens), line, doc, b" ".join(tokens) if texts else None) for line, tokens in seen.items()]
+                rows += [(line, line, doc, None) for line in exact]
             columns = [pa.array([row[at] for row in rows], pa.int64()) for at in range(3)]
             names = ["leaf", "line", "doc"]
             if texts:
-                columns.append(pa.array([row[3].decode("utf-8", "replace") for row in rows], pa.string()))
+                columns.append(pa.array([row[3] and row[3].decode("utf-8", "replace") for row in rows], pa.string()))
                 names.append("masked")
             yield pa.RecordBatch.from_arrays(columns, names)
     return docs.select("doc", "text").mapInArrow(over, TEXTS if texts else LINES)
 
 
 def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS, fixed: float = MIN_FIXED) -> DataFrame:
-    """``leaf, line, doc`` of the lines whose template recurs, for documents with ``doc`` and ``text``."""
-    counts = _lines(docs, False).select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    """``leaf, line, doc`` of the lines that recur, by template or word for word, for documents with ``doc`` and ``text``."""
+    counts = _lines(docs, False, fixed).select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
     leaves = work.stage(counts.where(F.col("n") >= least).select("leaf"), "leaves")
-    lines = work.stage(_lines(docs, True).join(leaves, "leaf", "left_semi"), "lines")
+    found = work.stage(_lines(docs, True, fixed).join(leaves, "leaf", "left_semi"), "lines")
+    # the leaf of a row without tokens is the line itself, so enough documents have it
+    exact, lines = found.where("masked is null").select("leaf", "line", "doc"), found.where("masked is not null")
     # hot lines count as one row from here on
     kinds = lines.groupBy("leaf", "line").agg(F.count_distinct("doc").alias("n"), F.any_value("masked").alias("masked"))
     kinds = work.stage(kinds, "kinds")
@@ -87,11 +102,11 @@ def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS
     members = lines.select("leaf", "line", "doc").join(templates, ["leaf", "line"])
     recurring = (members.select("template", "doc").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"))
                  .where(F.col("n") >= least).select("template"))
-    return members.join(recurring, "template", "left_semi").select("leaf", "line", "doc")
+    return members.join(recurring, "template", "left_semi").select("leaf", "line", "doc").unionByName(exact)
 
 
 def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed: float = MIN_FIXED) -> DataFrame:
-    """Every document without the lines whose template recurs: ``doc_id, n_lines, n_dropped, text``.
+    """Every document without the lines that recur: ``doc_id, n_lines, n_dropped, text``.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. ``n_lines`` counts lines with a token; blank lines stay. A
     null text stays null with 0 lines. Rows alike in id and text count as one document; other rows that repeat an id are
@@ -110,7 +125,7 @@ def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed:
                 for line in (text or b"").split(b"\n"):
                     tokens = masked(line)
                     count += bool(tokens)
-                    if not tokens or not gone or line_hash(tokens) not in gone:
+                    if not tokens or not gone or line_hash(tokens) not in gone and (MARK not in tokens or exact_hash(line.split()) not in gone):
                         kept.append(line)
                 whole = len((text or b"").split(b"\n"))
                 found.append((count, whole - len(kept), None if text is None else b"\n".join(kept).decode("utf-8", "replace")))

@@ -36,6 +36,15 @@ def test_edge_rows(docs):
     assert found(docs([]), least=2) == []
 
 
+def test_lines_of_digits_that_repeat_word_for_word_are_dropped(docs):
+    """Too many digits for a template, but the same digits in enough documents."""
+    own = [f"{name}x {name}y\nPage {at} of 99" for at, name in enumerate(["ann", "bob", "cid", "dee"])]
+    texts = [f"{text}\nPage 3 of 10\n2024-01-01  12:00 ERROR 42\t" for text in own] + ["2024-01-01 12:00 ERROR 43\nPage 3 of 11"]
+    want = [(at, 4, 2, text) for at, text in enumerate(own)] + [(4, 2, 0, texts[4])]
+    assert found(docs(texts), least=4) == sorted(want, key=str)
+    assert all(row[2] == 0 for row in found(docs(texts), least=5))
+
+
 def test_brute_force_over_documents(documents):
     """Lines that at least ten documents share word for word (digits aside) go; the rest of each text stays in order."""
     import re
