@@ -5,6 +5,8 @@ digits count as variable there. Within a leaf a token is fixed at its place if e
 variable otherwise, whatever the order in which lines come. A line's template is its fixed tokens with a mark in the
 variable places; with too few fixed tokens it has none. Templates of enough documents recur and their lines are dropped.
 A line with more digits than a template allows recurs if enough documents have it word for word, digits included.
+A long line recurs in fewer documents, as chance does not repeat it; near copies of one document, which share
+their lines, count once there.
 """
 
 from __future__ import annotations
@@ -12,22 +14,26 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm._frames import Workspace
-from ledgerloom.llm._words import as_bytes
+from ledgerloom.llm._words import as_bytes, shingle_sets
 
 LEADING = 2  # tokens of the path to a leaf
 MIN_DOCUMENTS = 10
 MIN_FIXED = 0.6  # part of a line's tokens that a template must fix
 VARIABLE = "<*>"
 MARK = VARIABLE.encode()
-_DIGITS = re.compile(rb"[^ \t\n\v\f\r]*[0-9][^ \t\n\v\f\r]*")
+LONG = ((20, 2), (10, 5))  # a line of so many tokens word for word recurs in so many unrelated documents
+SKETCH = 64  # least shingle hashes that stand for the rest of a document
+COPY = 0.25  # documents whose rests share that part of their shingles are near copies; unrelated ones mostly share under 0.1
+_DIGIT = re.compile(rb"[0-9]")
 
-LINES = "leaf bigint, line bigint, doc bigint"
+LINES = "leaf bigint, line bigint, doc bigint, least int"
 TEXTS = f"{LINES}, masked string"
 
 
@@ -37,7 +43,8 @@ def _signed(value: int) -> int:
 
 def masked(line: bytes) -> list[bytes]:
     """Tokens of a line, those with digits as variable."""
-    return _DIGITS.sub(MARK, line).split()
+    tokens = line.split()
+    return [MARK if _DIGIT.search(token) else token for token in tokens] if _DIGIT.search(line) else tokens
 
 
 def leaf_of(tokens: list[bytes]) -> int:
@@ -53,39 +60,118 @@ def exact_hash(tokens: list[bytes]) -> int:
     return _signed(xxhash.xxh3_64_intdigest(b"\0exact\0" + b" ".join(tokens)))
 
 
-def _lines(docs: DataFrame, texts: bool, fixed: float) -> DataFrame:
+def needed(size: int, least: int) -> int:
+    """Documents in which a line recurs that is the same in ``size`` tokens."""
+    return min(least, next((count for tokens, count in LONG if size >= tokens), least))
+
+
+def repeats_of(line: bytes, tokens: list[bytes], least: int, fixed: float) -> Iterator[tuple[int, int, int]]:
+    """Key, hash and least documents of a line as it is and with its digits masked, where templates of ``least`` do not decide."""
+    same = len(tokens) - tokens.count(MARK)
+    general, whole = needed(same, least), needed(len(tokens), least)
+    if same < fixed * len(tokens):
+        general = None
+    elif general < least:
+        yield exact_hash([b"", *tokens]), line_hash(tokens), general
+    if same < len(tokens) and (general is None or whole < general):
+        key = exact_hash(line.split())
+        yield key, key, whole
+
+
+def _lines(docs: DataFrame, texts: bool, least: int, fixed: float) -> DataFrame:
     """Leaf and hash of every different masked line of a document, with its tokens if wanted.
 
-    A line that no template can hold has a row of its own besides, with its exact hash as leaf and line and without tokens.
+    What can recur without a template has rows of its own besides, with a key as leaf, its least number of
+    documents and no tokens.
     """
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc").to_pylist(), as_bytes(batch.column("text")), strict=True):
-                seen, exact = {}, set()
-                for line in text.split(b"\n"):
+                seen, own = {}, set()
+                for line in set(text.split(b"\n")):
                     if tokens := masked(line):
                         seen[line_hash(tokens)] = tokens
-                        if len(tokens) - tokens.count(MARK) < fixed * len(tokens):
-                            exact.add(exact_hash(line.split()))
-                rows += [(leaf_of(tokens), line, doc, b" ".join(tokens) if texts else None) for line, tokens in seen.items()]
-                rows += [(line, line, doc, None) for line in exact]
+                        own.update(repeats_of(line, tokens, least, fixed))
+                rows += [(leaf_of(tokens), line, doc, None, b" ".join(tokens) if texts else None) for line, tokens in seen.items()]
+                rows += [(key, line, doc, count, None) for key, line, count in own]
             columns = [pa.array([row[at] for row in rows], pa.int64()) for at in range(3)]
-            names = ["leaf", "line", "doc"]
+            columns.append(pa.array([row[3] for row in rows], pa.int32()))
+            names = ["leaf", "line", "doc", "least"]
             if texts:
-                columns.append(pa.array([row[3] and row[3].decode("utf-8", "replace") for row in rows], pa.string()))
+                columns.append(pa.array([row[4] and row[4].decode("utf-8", "replace") for row in rows], pa.string()))
                 names.append("masked")
             yield pa.RecordBatch.from_arrays(columns, names)
     return docs.select("doc", "text").mapInArrow(over, TEXTS if texts else LINES)
 
 
+def _rest_sketches(docs: DataFrame, held: DataFrame, least: int, fixed: float) -> DataFrame:
+    """``leaf, line, least, doc, sketch`` of the lines that ``held`` (``leaf, doc``) names; the sketch is that of the text without the line."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            texts = as_bytes(batch.column("text"))
+            for doc, text, keys, values in zip(batch.column("doc").to_pylist(), texts, batch.column("keys").to_pylist(),
+                                               shingle_sets(texts), strict=True):
+                wanted, forms = set(keys), {}
+                for line in set(text.split(b"\n")):
+                    if tokens := masked(line):
+                        for form in repeats_of(line, tokens, least, fixed):
+                            if form[0] in wanted:
+                                forms.setdefault(form, []).append(line)
+                for form, lines in forms.items():
+                    inside = np.concatenate(list(shingle_sets(lines)))
+                    rest = values[:SKETCH + len(inside)]
+                    rows.append((*form, doc, rest[~np.isin(rest, inside)][:SKETCH].view(np.int64)))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([row[at] for row in rows], kind) for at, kind in enumerate(kinds)],
+                                             ["leaf", "line", "least", "doc", "sketch"])
+    keys = held.groupBy("doc").agg(F.collect_set("leaf").alias("keys"))
+    # a merge join whatever the size, as the last one
+    return docs.select("doc", "text").join(keys.hint("merge"), "doc").mapInArrow(
+        over, "leaf bigint, line bigint, least int, doc bigint, sketch array<bigint>")
+
+
+def unrelated(sketches: list[np.ndarray]) -> int:
+    """Groups of documents by their sketches, near copies and copies of those in one."""
+    groups: list[list[np.ndarray]] = []
+    for own in sketches:
+        near = [group for group in groups if any(alike(own, other) for other in group)]
+        groups = [group for group in groups if all(group is not other for other in near)] + [[own, *(item for group in near for item in group)]]
+    return len(groups)
+
+
+def alike(left: np.ndarray, right: np.ndarray) -> bool:
+    both = np.union1d(left, right)[:SKETCH]
+    return np.isin(np.intersect1d(left, right), both).sum() >= COPY * len(both)
+
+
+def _unrelated_repeats(work: Workspace, docs: DataFrame, found: DataFrame, least: int, fixed: float) -> DataFrame:
+    """``leaf, line, doc`` of the rows without tokens in ``found`` whose line enough unrelated documents have."""
+    counts = found.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    held = work.stage(found.join(counts, "leaf"), "repeats")
+    # as many documents as a template needs count as they are
+    many, few = held.where((F.col("n") >= least) | (F.col("least") >= least)), held.where((F.col("n") < least) & (F.col("least") < least))
+    sketches = work.stage(_rest_sketches(docs, few.select("leaf", "doc").distinct(), least, fixed), "sketches")
+    groups = sketches.groupBy("leaf", "least").agg(F.collect_list("sketch").alias("sketches"))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            recurs = [unrelated([np.array(item, np.int64).view(np.uint64) for item in sketches]) >= count for sketches, count
+                      in zip(batch.column("sketches").to_pylist(), batch.column("least").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("leaf").filter(pa.array(recurs, pa.bool_()))], ["leaf"])
+    recurring = groups.mapInArrow(judged, "leaf bigint")
+    return many.select("leaf", "line", "doc").unionByName(few.join(recurring, "leaf", "left_semi").select("leaf", "line", "doc"))
+
+
 def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS, fixed: float = MIN_FIXED) -> DataFrame:
     """``leaf, line, doc`` of the lines that recur, by template or word for word, for documents with ``doc`` and ``text``."""
-    counts = _lines(docs, False, fixed).select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-    leaves = work.stage(counts.where(F.col("n") >= least).select("leaf"), "leaves")
-    found = work.stage(_lines(docs, True, fixed).join(leaves, "leaf", "left_semi"), "lines")
-    # the leaf of a row without tokens is the line itself, so enough documents have it
-    exact, lines = found.where("masked is null").select("leaf", "line", "doc"), found.where("masked is not null")
+    counts = (_lines(docs, False, least, fixed).select("leaf", "doc", "least").distinct().groupBy("leaf")
+              .agg(F.count(F.lit(1)).alias("n"), F.any_value("least").alias("least")))
+    leaves = work.stage(counts.where(F.col("n") >= F.coalesce("least", F.lit(least))).select("leaf"), "leaves")
+    found = work.stage(_lines(docs, True, least, fixed).join(leaves, "leaf", "left_semi"), "lines")
+    repeats = _unrelated_repeats(work, docs, found.where("masked is null").select("leaf", "line", "doc", "least"), least, fixed)
+    lines = found.where("masked is not null")
     # hot lines count as one row from here on
     kinds = lines.groupBy("leaf", "line").agg(F.count_distinct("doc").alias("n"), F.any_value("masked").alias("masked"))
     kinds = work.stage(kinds, "kinds")
@@ -102,7 +188,7 @@ def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS
     members = lines.select("leaf", "line", "doc").join(templates, ["leaf", "line"])
     recurring = (members.select("template", "doc").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"))
                  .where(F.col("n") >= least).select("template"))
-    return members.join(recurring, "template", "left_semi").select("leaf", "line", "doc").unionByName(exact)
+    return members.join(recurring, "template", "left_semi").select("leaf", "line", "doc").unionByName(repeats)
 
 
 def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed: float = MIN_FIXED) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 from ledgerloom.llm.line_templates import without_recurring_lines
 from llm.texts import long_text
 
@@ -45,6 +47,28 @@ def test_lines_of_digits_that_repeat_word_for_word_are_dropped(docs):
     assert all(row[2] == 0 for row in found(docs(texts), least=5))
 
 
+def test_long_lines_recur_in_few_unrelated_documents(docs):
+    """Planted lines of 50 words in 2, 3 and 9 documents, beside clean ones and near copies, which keep theirs."""
+    rng = random.Random(8)
+
+    def line(size):
+        return " ".join("".join(rng.choice("abcdefghijklm") for _ in range(7)) for _ in range(size))
+    planted = [(line(50), range(0, 2)), (line(50) + " 1 2 3", range(2, 5)), (line(50), range(5, 14))]
+    short = line(6)  # in nine documents, as chance has it
+    bodies = [f"{line(30)}\n{line(25)}" + (f"\n{short}" if at < 9 else "") for at in range(20)]
+    texts = list(bodies)
+    for passage, holders in planted:
+        for at in holders:
+            texts[at] += "\n" + passage
+    copied = line(40)
+    texts += [f"{copied}\n{line(3)}\n{line(60)}\n{part}" for part in ("end", "other end")]
+    texts[-1] = texts[-2].replace(" ", " q ", 1)  # near copies, one word apart
+    rows = {row[0]: row[1:] for row in found(docs(texts))}
+    for at in range(20):
+        assert rows[at] == (2 + (at < 9) + (at < 14), int(at < 14), bodies[at])
+    assert all(rows[at] == (4, 0, texts[at]) for at in (20, 21))
+
+
 def test_brute_force_over_documents(documents):
     """Lines that at least ten documents share word for word (digits aside) go; the rest of each text stays in order."""
     import re
