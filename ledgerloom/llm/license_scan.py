@@ -8,6 +8,7 @@ more words are unique. Coverage is the part of the template's words that is alig
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -111,13 +112,22 @@ def aligned(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def least_different(template: Template, coverage: float) -> int:
+    """Fewest different words of the template in any text that reaches the coverage.
+
+    Each word of the template that is not aligned takes away one different word at most.
+    """
+    return len(template.vocabulary) - (len(template.words) - math.ceil(coverage * len(template.words)))
+
+
 def regions(words: list[str], template: Template, coverage: float) -> Iterator[tuple[int, int]]:
     """Parts of the text in which some window holds enough different words of the template.
 
-    Every region that could reach the coverage is given: aligned words are words of the template.
+    Every region that could reach the coverage is given: aligned words are words of the template, and those that are
+    not aligned take away at most as many different ones.
     """
     hits = [at for at, word in enumerate(words) if word in template.vocabulary]
-    width, least = WINDOW * len(template.words) + 8, coverage * len(template.vocabulary)
+    width, least = WINDOW * len(template.words) + 8, max(1, least_different(template, coverage))
     inside: Counter[str] = Counter()
     first, begin, end = 0, None, None
     for at in hits:
@@ -164,7 +174,7 @@ def licenses_in(text: str, templates: list[Template], coverage: float = COVERAGE
     plain = lowered(text)
     words = WORD.findall(plain)
     present = set(words)
-    found = [match for template in templates if len(template.vocabulary & present) >= coverage * len(template.vocabulary)
+    found = [match for template in templates if len(template.vocabulary & present) >= least_different(template, coverage)
              for match in _notices(words, template, coverage)]
     kept: list[Match] = []
     for match in sorted(set(found), key=lambda m: (-m.matched, -m.coverage, m.start, m.end, m.name)):
