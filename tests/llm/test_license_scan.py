@@ -63,6 +63,14 @@ def test_edited_notices_at_exactly_the_coverage_are_found():
         assert reached
 
 
+def test_notices_that_differ_in_a_word_or_number_keep_their_names():
+    names = ["GPL-2.0-header", "LGPL-2.1-header", "AGPL-3.0-header", "GPL-3.0-header", "MPL-2.0-header", "BSD-text", "BSD-clauses",
+             "BSD-3-Clause-text", "CC0-1.0", "Unlicense"]
+    filler = "\n" + "other words of a file " * 50 + "\n"
+    found = licenses_in(filler.join(TEMPLATES[name] for name in names), KNOWN)
+    assert [(match.name, match.coverage) for match in found] == [(name, 1) for name in names]
+
+
 def test_notices_of_documents(docs):
     mit, apache = TEMPLATES["MIT"], TEMPLATES["Apache-2.0"]
     texts = [None, "", "the license of this work is the work", f"{apache}\n{long_text(20_000)}\n{mit}\n{mit}", mit, "under mit released license the", "é " + mit]
