@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from ledgerloom.llm.binary_records import binary_records
+from ledgerloom.llm.byte_bpe import round_trip_digest
 from ledgerloom.llm.decontaminate import benchmark_leaks
 from ledgerloom.llm.language_id import language_posteriors
 from ledgerloom.llm.license_scan import license_notices
@@ -18,7 +19,7 @@ from ledgerloom.llm.quality_rules import quality_rules
 from ledgerloom.llm.secret_scan import secret_digest
 from ledgerloom.llm.token_counts import token_counts
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,8 @@ QUERIES: dict[str, Query] = {
         table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")),
     "op10_token_counts": lambda spark, sf_dir: token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)),
+    "op12_byte_bpe": lambda spark, sf_dir: round_trip_digest(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN),
 }
 
 ORACLE: dict[str, str] = {}
