@@ -83,7 +83,7 @@ def _parts(text: bytes) -> Iterator[bytes]:
 def _long_text(text: bytes, classes: np.ndarray) -> np.ndarray:
     values = []
     for part in _parts(text):
-        if len(part) > SLICE:
+        if len(part.strip(BLANKS)) > SLICE:
             values.append(np.array([xxhash.xxh3_64_intdigest(part.strip(BLANKS))], np.uint64))
         else:
             values.append(_slice_hashes(part, classes)[0])

@@ -11,6 +11,7 @@ from ledgerloom.llm.binary_records import binary_records
 from ledgerloom.llm.byte_bpe import round_trip_digest
 from ledgerloom.llm.decontaminate import benchmark_leaks
 from ledgerloom.llm.language_id import language_posteriors
+from ledgerloom.llm.lexical_search import ranked_search
 from ledgerloom.llm.license_scan import license_notices
 from ledgerloom.llm.line_templates import without_recurring_lines
 from ledgerloom.llm.mixing import mix_report
@@ -47,6 +48,8 @@ QUERIES: dict[str, Query] = {
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)),
     "op12_byte_bpe": lambda spark, sf_dir: round_trip_digest(
         table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN),
+    "op13_ranked_search": lambda spark, sf_dir: ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
 }
 
 ORACLE: dict[str, str] = {}
