@@ -43,10 +43,6 @@ class Workspace:
         with _setting(self.spark, _CLEANUP, "true"):
             return stage(df, f"{label}-{self.tables}", self.folder)
 
-    def write(self, df: DataFrame, path: str, *partitions: str) -> None:
-        with _setting(self.spark, _CLEANUP, "true"):
-            df.write.partitionBy(*partitions).parquet(path)
-
     def append(self, df: DataFrame, path: str) -> None:
         with _setting(self.spark, _CLEANUP, "true"):
             df.write.mode("append").parquet(path)

@@ -1,18 +1,20 @@
-"""Ranked lexical search without random access (NRA) over an index sorted by impact.
-
-The index holds one row per term and document with the term's share of the score, in levels of falling share
-(one per power of two). All lists are read level by level from the highest share on. What has been read
-bounds the score of every document from below; what the lists can still give, the largest share
-left in each list, bounds it from above. A document whose upper bound is below the k-th best lower
-bound of an item is dropped; an item takes no new documents when an unread one could not reach that
-bound; it is finished when the bounds of all its documents that are left agree. Reading goes on until every item is finished,
-at the latest when the lists end.
+"""Ranked lexical search without random access (NRA) over lists sorted by impact.
+
+Spark counts terms per document once and adds up what the weights need. A task then takes its documents in shards of
+a bounded number of postings, sorts the list of each term by the share it adds to a score, and reads the
+lists of an item one after the other from the highest share on, all down to the same share in each round. What has been read bounds
+the score of every document from below; adding the largest shares that are left bounds it from above. An item
+takes no new documents when an unread one could not reach the k-th best lower bound so far, drops those whose
+upper bound is below it, and is finished in a shard when the bounds of all others agree, at the latest when the lists
+end. The best documents of a task go on from shard to shard, so later ones stop earlier; Spark merges the tasks'.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from heapq import nsmallest
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,10 @@ from ledgerloom.llm._frames import Workspace, map_arrow
 from ledgerloom.llm._words import as_bytes, token_hashes
 
 BEST = 20
-FILTER_BITS = 1 << 22  # of the filter that keeps terms of no item out of the index; its size never changes
-MASK = 62  # terms per bit mask
+FILTER_BITS = 1 << 22  # of the filter that keeps terms of no item out of the postings; its size never changes
+SHARD = 1 << 20  # postings whose lists a task holds at once
+PASS_TERMS = 1_000_000  # terms of items that a task holds; more are looked for in several passes over the postings
+STEP = 0.7  # every round reads the lists down to this part of the share of the round before
 
 # a term is a run of ASCII letters, digits and characters beyond ASCII; only A-Z are lower-cased
 _LOWER = bytes(byte + 32 if 65 <= byte <= 90 else byte if byte >= 128 or chr(byte).isalnum() else 32 for byte in range(256))
@@ -67,24 +71,124 @@ def _terms(rows: DataFrame, key: str, kept: np.ndarray | None = None) -> DataFra
     return map_arrow(whole, over, f"node long, {key} {rows.schema[key].dataType.simpleString()}, n long, terms array<long>, times array<int>")
 
 
-def _listed(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row per term, ``place`` being its place in the list."""
-    return rows.select(*columns, F.posexplode(F.arrays_zip("terms", "times")).alias("place", "one")).select(
-        *columns, "place", F.col("one.terms").alias("term"), F.col("one.times").cast("long").alias("times"))
-
-
-def _index(work: Workspace, texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """``level, term, node, doc_id, share`` of all terms of the items, written by level."""
-    count, total = texts.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(1))).first()
-    found = (texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-             .join(terms, "term"))
-    weights = work.stage(found.select("term", F.floor(1000 * F.log((F.lit(2.0) * count + 2) / (2 * F.col("df") + 1))).alias("weight")), "weights")
-    rows = _listed(texts, "node", "doc_id", "n").join(weights, "term").selectExpr(
-        "term", "node", "doc_id", f"weight * ((1000000000L * times) div (1000L * times + 12L * (75 + (25L * n * {count}L) div {total}L))) AS share")
-    levels = rows.where("share > 0").select(F.floor(F.log2("share")).cast("int").alias("level"), "*")
-    path = f"{work.folder}/index"
-    work.write(levels.hint("rebalance", "level"), path, "level")
-    return work.spark.read.schema(levels.schema).parquet(path)
+class Asked(NamedTuple):
+    """The items of one pass: their terms with weights, and per item the places of its terms among them and how often it holds each."""
+
+    terms: np.ndarray
+    weights: np.ndarray
+    items: list[tuple[int, np.ndarray, np.ndarray]]
+    documents: int
+    total: int
+
+
+class _Lists:
+    """The lists of a shard, each sorted by falling share."""
+
+    def __init__(self, asked: Asked, batches: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        self.ids = rows["doc_id"]
+        terms = rows["terms"].combine_chunks()
+        counts = np.diff(terms.offsets.to_numpy())
+        found = terms.flatten().to_numpy()
+        times = rows["times"].combine_chunks().flatten().to_numpy().astype(np.int64)
+        docs = np.repeat(np.arange(len(rows), dtype=np.int32), counts)
+        place = np.minimum(np.searchsorted(asked.terms, found), len(asked.terms) - 1)
+        m = 75 + (25 * rows["n"].to_numpy() * asked.documents) // asked.total
+        share = asked.weights[place] * ((1_000_000_000 * times) // (1000 * times + 12 * m[docs]))
+        kept = np.flatnonzero((asked.terms[place] == found) & (share > 0))
+        kept = kept[np.lexsort((-share[kept], place[kept]))]
+        self.docs, self.share = docs[kept], share[kept]
+        self.bounds = np.searchsorted(place[kept], np.arange(len(asked.terms) + 1))
+
+    def best(self, places: np.ndarray, times: np.ndarray, best: int, have: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Documents that can be among the ``best`` beside those with scores ``have``, and their scores."""
+        bound = have.min() if len(have) == best else 0
+        lists = [(self.docs[low:high], self.share[low:high] * count) for low, high, count in
+                 zip(self.bounds[places], self.bounds[places + 1], times, strict=True) if high > low]
+        tops = np.array([shares[0] for _, shares in lists], np.int64)
+        lower = np.zeros(len(self.ids), np.int64)
+        if tops.sum() == 0 or tops.sum() < bound:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        read, falling = [0] * len(lists), [-shares for _, shares in lists]
+        level = float(tops.max())
+        while True:
+            level *= STEP
+            left = np.zeros(len(lists), np.int64)
+            for at, (docs, shares) in enumerate(lists):
+                end = int(np.searchsorted(falling[at], -level, "right"))
+                if end > read[at]:
+                    lower[docs[read[at]:end]] += shares[read[at]:end]
+                    read[at] = end
+                if read[at] < len(shares):
+                    left[at] = shares[read[at]]
+            unread = left.sum()
+            scores = np.concatenate([have, lower[lower > 0]])
+            bound = np.partition(scores, len(scores) - best)[len(scores) - best] if len(scores) >= best else 0
+            if unread > 0 and unread >= bound:
+                continue
+            seen = np.zeros(len(lower), np.int64)
+            for at, (docs, _) in enumerate(lists):
+                if left[at]:
+                    seen[docs[:read[at]]] += left[at]
+            upper = lower + (unread - seen)
+            open_ = np.flatnonzero((lower > 0) & (upper >= bound))
+            if np.array_equal(upper[open_], lower[open_]):
+                return open_, lower[open_]
+
+
+def _search(texts: DataFrame, asked: Asked, best: int, id_type: str) -> DataFrame:
+    """``item, doc_id, score``: the best documents of every item in each task's part of the texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(asked)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, waiting, postings = shared.value, [], 0
+        found: list[list[tuple]] = [[] for _ in asked.items]
+
+        def shard() -> None:
+            lists = _Lists(asked, waiting)
+            for at, (_, places, times) in enumerate(asked.items):
+                have = found[at]
+                docs, scores = lists.best(places, times, best, np.array([-one[0] for one in have], np.int64))
+                if len(docs):
+                    ids = lists.ids.take(pa.array(docs)).to_pylist()
+                    new = ((-score, doc_id is None, 0 if doc_id is None else doc_id) for score, doc_id in zip(scores.tolist(), ids, strict=True))
+                    found[at] = nsmallest(best, [*have, *new])
+
+        for batch in batches:
+            waiting.append(batch)
+            postings += len(batch.column("terms").flatten())
+            if postings >= SHARD:
+                shard()
+                waiting, postings = [], 0
+        if waiting:
+            shard()
+        rows = [(item, None if null else doc_id, -score) for (item, _, _), have in zip(asked.items, found, strict=True) for score, null, doc_id in have]
+        for low in range(0, len(rows), 10_000):
+            columns = zip(*rows[low:low + 10_000], strict=True)
+            yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema)
+
+    schema = pa.schema([("item", pa.int64()), ("doc_id", _arrow_type(texts)), ("score", pa.int64())])
+    return texts.select("doc_id", "n", "terms", "times").mapInArrow(over, f"item long, doc_id {id_type}, score long")
+
+
+def _arrow_type(texts: DataFrame) -> pa.DataType:
+    return texts.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
+
+
+def _passes(asked: DataFrame, weights: DataFrame, documents: int, total: int) -> Iterator[Asked]:
+    """The items with the weights of their terms, at most PASS_TERMS terms and one item at a time."""
+    running = Window.orderBy("item").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = asked.groupBy("item").agg(F.count(F.lit(1)).alias("size"))
+    cuts = sizes.select("item", F.floor(F.sum("size").over(running) / PASS_TERMS).alias("pass"))
+    rows = asked.join(weights, "term").join(cuts, "item")
+    for (at,) in rows.select("pass").distinct().orderBy("pass").toLocalIterator():
+        part = rows.where(F.col("pass") == at).select("item", "term", "times", "weight").orderBy("item").toArrow()
+        item, term, times, weight = (part[name].to_numpy() for name in part.column_names)
+        terms, first, places = np.unique(term, return_index=True, return_inverse=True)
+        starts = np.flatnonzero(np.diff(item, prepend=item[:1] - 1))
+        items = [(int(item[low]), places[low:high], times[low:high]) for low, high in
+                 zip(starts, [*starts[1:], len(item)], strict=True)]
+        yield Asked(terms, weight[first], items, documents, total)
 
 
 def ranked_search(docs: DataFrame, items: DataFrame, best: int = BEST) -> DataFrame:
@@ -96,72 +200,18 @@ def ranked_search(docs: DataFrame, items: DataFrame, best: int = BEST) -> DataFr
     Other columns are ignored, whatever their names. Terms are compared by 64-bit hashes.
     """
     work = Workspace(docs.sparkSession, "search")
-    asked = work.stage(_listed(_terms(items, "item_id"), "node", "item_id").withColumnRenamed("node", "item"), "items")
+    asked = work.stage(_terms(items, "item_id").select(
+        F.col("node").alias("item"), "item_id", F.explode(F.arrays_zip("terms", "times")).alias("one")).select(
+        "item", "item_id", F.col("one.terms").alias("term"), F.col("one.times").cast("long").alias("times")), "items")
     terms = asked.select("term").distinct()
     texts = work.stage(_terms(docs.select("doc_id", "text"), "doc_id", _filter(terms)), "texts")
-    index = _index(work, texts, terms)
-    tops = work.stage(index.groupBy("term", "level").agg(F.max("share").alias("top"), F.count(F.lit(1)).alias("rows")), "tops")
-    sizes = dict(tops.groupBy("level").agg(F.sum("rows")).collect())  # one row per power of two
-    widest = asked.agg(F.max("place")).first()[0] or 0
-    masks = [f"mask{at}" for at in range(widest // MASK + 1)]
-
-    def bit(mask: int):
-        return F.expr(f"CASE WHEN place div {MASK} = {mask} THEN 1L << int(place % {MASK}) ELSE 0L END").alias(masks[mask])
-
-    ask = asked.select("item", "term", "place", "times", *(bit(at) for at in range(len(masks))))
-    hit = [(F.col("share") * F.col("times")).alias("lower"), *masks]
-    keys = ["item", "node", "doc_id"]
-    state = opened = waiting = None
-    finished, levels, read = [], sorted(sizes, reverse=True), 0
-    while levels:
-        # as much as has been read so far, in whole levels
-        low, rows = levels.pop(0), 0
-        high, rows = low, sizes[low]
-        while levels and rows < read:
-            low = levels.pop(0)
-            rows += sizes[low]
-        read += rows
-        part = index.where(F.col("level").between(low, high))
-        if state is None:
-            found = part.join(ask, "term").select(*keys, *hit)
-        else:
-            known = waiting.select(*keys, "lower", *masks)
-            lookups = known.join(opened.where("NOT open").select("item"), "item").select(*keys).join(
-                ask, "item").join(part.select("term", "node", "share"), ["term", "node"]).select(*keys, *hit)
-            fresh = part.join(ask.join(opened.where("open").select("item"), "item"), "term").select(*keys, *hit)
-            found = known.unionByName(lookups).unionByName(fresh)
-        # the largest shares that are left, of each term of an item and in all
-        left = tops.where(F.col("level") < low).groupBy("term").agg(F.max("top").alias("top"))
-        rest = work.stage(asked.join(left, "term", "left").withColumn("rest", F.coalesce(F.col("top") * F.col("times"), F.lit(0)))
-                          .groupBy("item").agg(F.sum("rest").alias("unread"), F.transform(
-                              F.array_sort(F.collect_list(F.struct("place", "rest"))), lambda one: one["rest"]).alias("rests")), "rests")
-        state = work.stage(found.groupBy(*keys).agg(F.sum("lower").alias("lower"), *(F.bit_or(mask).alias(mask) for mask in masks)), "state")
-        at_best = Window.partitionBy("item").orderBy(F.desc("lower"))
-        bounds = (state.select("item", "lower").withColumn("at", F.row_number().over(at_best)).where(F.col("at") <= best)
-                  .groupBy("item").agg(F.when(F.count(F.lit(1)) == best, F.min("lower")).otherwise(0).alias("bound")))
-        bounds = work.stage(rest.join(bounds, "item", "left").select(
-            "item", "unread", "rests", F.coalesce("bound", F.lit(0)).alias("bound"))
-            .withColumn("open", F.expr("unread > 0 AND unread >= bound")), "bounds")
-        seen = " + ".join(f"aggregate(slice(rests, {at * MASK + 1}, {MASK}), struct(0L AS sum, 0 AS at), "
-                          f"(have, one) -> struct(have.sum + CASE WHEN (shiftright({mask}, have.at) & 1L) = 1L THEN one ELSE 0L END AS sum, "
-                          f"have.at + 1 AS at)).sum" for at, mask in enumerate(masks))
-        if levels:
-            bounded = state.join(bounds, "item").withColumn("upper", F.col("lower") + F.col("unread") - F.expr(seen))
-            kept = bounded.where("upper >= bound")
-            waiting = work.stage(kept.select(*keys, "lower", *masks, (F.col("upper") > F.col("lower")).alias("apart")), "kept")
-            opened = work.stage(bounds.select("item", "open").join(
-                waiting.groupBy("item").agg(F.max("apart").alias("apart")), "item", "left")
-                .where("open OR coalesce(apart, false)"), "open")
-            finished.append(waiting.join(opened, "item", "left_anti").select(*keys, "lower"))
-            waiting = waiting.join(opened.select("item"), "item", "left_semi")
-            if opened.isEmpty():
-                break
-        else:
-            finished.append(state.select(*keys, "lower"))
-    if not finished:
-        return work.spark.createDataFrame([], f"item_id {items.schema['item_id'].dataType.simpleString()}, rank int, "
-                                              f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score long")
-    order = Window.partitionBy("item").orderBy(F.desc("lower"), F.asc_nulls_last("doc_id"), "node")
-    ranked = reduce(DataFrame.unionByName, finished).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
-    names = asked.select("item", "item_id").distinct()
-    return ranked.join(names, "item").select("item_id", "rank", "doc_id", F.col("lower").alias("score"))
+    documents, total = texts.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(1))).first()
+    holders = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(terms, "term")
+    weights = work.stage(holders.select(
+        "term", F.floor(1000 * F.log((F.lit(2.0) * documents + 2) / (2 * F.col("df") + 1))).alias("weight")), "weights")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    none = work.spark.createDataFrame([], f"item long, doc_id {id_type}, score long")
+    found = reduce(DataFrame.unionByName, (_search(texts, one, best, id_type) for one in _passes(asked, weights, documents, total)), none)
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    return ranked.join(asked.select("item", "item_id").distinct(), "item").select("item_id", "rank", "doc_id", "score")
