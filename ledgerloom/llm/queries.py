@@ -19,6 +19,7 @@ from ledgerloom.llm.ngram_join import ngram_join
 from ledgerloom.llm.quality_rules import quality_rules
 from ledgerloom.llm.secret_scan import secret_digest
 from ledgerloom.llm.token_counts import token_counts
+from ledgerloom.llm.whitening import whitened
 
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 
@@ -46,6 +47,7 @@ QUERIES: dict[str, Query] = {
         table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")),
     "op10_token_counts": lambda spark, sf_dir: token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)),
+    "op11_whitening": lambda spark, sf_dir: whitened(table(spark, sf_dir, "embeddings")),
     "op12_byte_bpe": lambda spark, sf_dir: round_trip_digest(
         table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN),
     "op13_ranked_search": lambda spark, sf_dir: ranked_search(
