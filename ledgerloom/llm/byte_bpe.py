@@ -16,19 +16,21 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import batched, chain
+from itertools import batched
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm._frames import map_arrow
+from ledgerloom.llm._words import as_bytes
 
-CACHE_PIECES, CACHE_LENGTH = 300_000, 64  # pieces a worker remembers, and the characters of the longest of them
+CACHE_PIECES, CACHE_LENGTH = 250_000, 64  # pieces a worker remembers per generation, and the characters of the longest of them
 CACHE_PAIRS = 1_000_000
 LONG_TEXT, PIECES = 1 << 20, 1 << 15  # longer texts are cut into so many pieces at a time
 _NEVER = 1 << 62
@@ -51,6 +53,25 @@ class _Bounded(dict):
         return value
 
 
+class _PieceIds(dict):
+    """The ids of pieces, packed; short ones are remembered, in two generations of which the older one is dropped."""
+
+    def __init__(self, function):
+        super().__init__()
+        self._function, self._older = function, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = self._older.get(piece)
+        if packed is None:
+            packed = array("i", self._function(piece.encode())).tobytes()
+        if len(piece) <= CACHE_LENGTH:
+            if len(self) >= CACHE_PIECES:
+                self._older = dict(self)
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 class Splitter:
     """The pieces of a text by a pattern, with the character classes that tiktoken's expressions have.
 
@@ -120,7 +141,7 @@ class Codec:
         self._most = max(map(len, self.ranks))
         self._halves, self._shorter, self._unmade = {}, {}, unmade
         self._fits = _Bounded(self._tolerates, CACHE_PAIRS)
-        self._ids = _Bounded(lambda piece: tuple(self.piece_ids(piece.encode())), CACHE_PIECES)
+        self._ids = _PieceIds(self.piece_ids)
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; none for a byte, or if merges by rank never make it."""
@@ -199,17 +220,10 @@ class Codec:
             if at == len(text):
                 return ids
 
-    def encode(self, text: str) -> array:
-        ids = array("i")
-        for pieces in self._split(text):
-            if max(map(len, pieces), default=0) <= CACHE_LENGTH:
-                ids.extend(chain.from_iterable(map(self._ids.__getitem__, pieces)))
-            else:
-                for piece in pieces:
-                    ids.extend(self._ids[piece] if len(piece) <= CACHE_LENGTH else self.piece_ids(piece.encode()))
-        return ids
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([b"".join(map(self._ids.__getitem__, pieces)) for pieces in self._split(text)]), np.int32)
 
-    def decode(self, ids) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -236,11 +250,9 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def over(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         codec = shared_codec(path, pattern, unmade)
-        ends, values = array("i", [0]), array("i")
-        for text in batch.column("text"):
-            values.extend(codec.encode((text.as_py() or b"").decode("utf-8", "replace")))
-            ends.append(len(values))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+        ids = [codec.encode(text.decode("utf-8", "replace")) for text in as_bytes(batch.column("text"))]
+        ends = np.cumsum([0, *map(len, ids)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -253,7 +265,9 @@ def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def over(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         codec = shared_codec(path, pattern, unmade)
-        texts = [codec.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in batch.column("ids")]
+        lists = batch.column("ids").fill_null([])
+        values, ends = lists.flatten().to_numpy().tolist(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
+        texts = [codec.decode(values[low:high]) for low, high in zip([0, *ends], ends, strict=False)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary())],
                                          ["doc_id", "ids", "bytes"])
 
