@@ -57,8 +57,9 @@ def rate(value: Column) -> Column:
 
 
 def too_large(value: Column, kind: str = MONEY) -> Column:
-    """True for a number that the decimals of sums cannot hold."""
-    return value.isNotNull() & value.try_cast(kind).isNull()
+    """True for a number that the decimals of sums cannot hold, told without a cast: doubles next to the bound do not round to it."""
+    size, digits = (int(part) for part in kind.removeprefix("decimal(").removesuffix(")").split(","))
+    return F.coalesce(F.abs(value) >= F.lit(float(10 ** (size - digits))), F.lit(False))
 
 
 def rounded(value: Column, digits: int) -> Column:

@@ -23,7 +23,7 @@ EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 LOW_STOCK_BELOW = 10
 LINE_TOTAL_TOLERANCE = "0.01"
 
-REJECT = "reject_reason"
+REJECT, RAW = "reject_reason", "raw"
 
 
 @dataclass(frozen=True)
@@ -35,11 +35,17 @@ class Entity:
     derive: Callable[[], dict[str, Column]]
     reject: Callable[[], Column]
     newest: list[str] = field(default_factory=list)
+    factors: Callable[[], dict[str, Column]] = dict
 
     @property
     def key(self) -> str:
         return schemas.KEYS[self.name]
 
+    def derived(self, rows: DataFrame) -> DataFrame:
+        """The rows with their derived columns; what several of them need is worked out once."""
+        factors = self.factors()
+        return rows.withColumns(factors).withColumns(self.derive()).drop(*factors)
+
 
 def _lower(text: Column) -> Column:
     return F.lower(F.trim(text))
@@ -91,15 +97,17 @@ def line_total_gap() -> Column:
     return F.coalesce(exact.cast("double"), F.abs(F.col("line_total") - line_total_by_formula()))
 
 
-def line_total_differs(tolerance: str = LINE_TOTAL_TOLERANCE) -> Column:
-    """True where the stored line total is off by more than ``tolerance``."""
-    return line_total_gap() > F.lit(float(tolerance))
+def _item_factors() -> dict[str, Column]:
+    return {"_exact": _line_total_exact()}
 
 
 def _item_columns() -> dict[str, Column]:
+    plain = F.round(F.col("quantity") * F.col("unit_price") * (1 - F.col("discount")), 2)
+    recalc = F.coalesce(F.col("_exact").cast("double"), plain)
+    gap = F.coalesce(F.abs(money(F.col("line_total")) - F.col("_exact")).cast("double"), F.abs(F.col("line_total") - recalc))
     return {
-        "line_total_recalc": line_total_by_formula(),
-        "total_mismatch": line_total_differs(),
+        "line_total_recalc": recalc,
+        "total_mismatch": gap > F.lit(float(LINE_TOTAL_TOLERANCE)),
     }
 
 
@@ -137,7 +145,7 @@ CLEANERS = {
         Entity("customers", {"email": _lower, "country": _upper, "segment": _capital},
                dict, _customer_reject),
         Entity("products", {"category": _capital, "sku": _upper}, _product_columns, _product_reject),
-        Entity("order_items", {}, _item_columns, _item_reject),
+        Entity("order_items", {}, _item_columns, _item_reject, factors=_item_factors),
     )
 }
 
@@ -156,7 +164,7 @@ def parsed(table: str, raw: DataFrame) -> DataFrame:
 
 def typed(table: str, raw: DataFrame) -> DataFrame:
     """``parsed`` with the derived columns; no row is dropped."""
-    return parsed(table, raw).withColumns(CLEANERS[table].derive())
+    return CLEANERS[table].derived(parsed(table, raw))
 
 
 def quarantine(table: str, raw: DataFrame, processing_date: str | None = None) -> DataFrame:
@@ -192,8 +200,34 @@ def silver(table: str, raw: DataFrame, processing_date: str | None,
     names, keys = list(schemas.ENTITY_TYPES[table]), [entity.key]
     if processing_date is None:
         names, keys = [*names, "date_partition"], ["date_partition", *keys]
-    rows = parsed(table, raw).filter(entity.reject().isNull()).select(*names)
+    rows = parsed(table, raw).withColumn(REJECT, entity.reject())
+    rows = latest_by_key(rows.select(*names, REJECT), keys, entity.newest, F.col(REJECT).isNull())
     # Derived columns follow from the others, so they are added to the rows that are kept.
-    rows = latest_by_key(rows, keys, entity.newest).withColumns(entity.derive())
-    audit = {"processed_at": instant(clock), "job_date": day, "date_partition": day}
-    return rows.withColumns(audit).select(*schemas.SILVER_TYPES[table])
+    return _audited(entity.derived(rows), day, clock).select(*schemas.SILVER_TYPES[table])
+
+
+def _audited(rows: DataFrame, day: Column, clock: datetime | None) -> DataFrame:
+    return rows.withColumns({"processed_at": instant(clock), "job_date": day, "date_partition": day})
+
+
+CLEAN, REJECTED = "clean", "rejected"
+
+
+def cleaned(table: str, raw: DataFrame, processing_date: str | None, clock: datetime | None = None) -> DataFrame:
+    """The rows of ``silver`` and those it rejects from one scan of the raw rows, told apart by ``kind``.
+
+    Rejected rows have a ``reject_reason``, and in ``raw`` the text of all their columns as it came; they are all
+    kept, also those alike in every column.
+    """
+    entity, texts = CLEANERS[table], list(schemas.ENTITY_TYPES[table])
+    day = F.col("date_partition") if processing_date is None else F.lit(processing_date)
+    rows = raw.withColumns({"date_partition": day, RAW: F.struct(*texts)})
+    rows = parsed(table, rows).withColumn(REJECT, entity.reject())
+    rejected = F.col(REJECT).isNotNull()
+    rows = rows.withColumns({RAW: F.when(rejected, F.col(RAW)), "_alone": F.when(rejected, F.monotonically_increasing_id())})
+    keys = ["date_partition", entity.key, "_alone"]
+    rows = latest_by_key(rows.select(*texts, "date_partition", REJECT, RAW, "_alone"), keys, entity.newest)
+    rows = _audited(entity.derived(rows), F.col("date_partition"), clock)
+    kind = F.when(F.col(REJECT).isNull(), CLEAN).otherwise(REJECTED).alias("kind")
+    names = [name for name in schemas.SILVER_TYPES[table] if name != "date_partition"]
+    return rows.select(*names, REJECT, RAW, kind, "date_partition")

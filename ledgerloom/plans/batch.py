@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.operators import flat, gold, report
-from ledgerloom.operators.clean import quarantine, silver
+from ledgerloom.operators.clean import CLEAN, REJECTED, cleaned
 from ledgerloom.sources import bronze, tables
 from ledgerloom.sources.staging import fresh_folder, remove_folder, stage
 
@@ -24,14 +24,11 @@ def yesterday(now: datetime | None = None) -> date:
 
 def _clean_all(spark: SparkSession, root: str, days: list[date | str], read: Callable[[str], DataFrame],
                processing_date: str | None, clock: datetime | None) -> DataFrame:
-    """Write the clean and the rejected rows of the four tables; gives the rows per table."""
-    clean, rejected = {}, {}
-    for table in schemas.ENTITIES:
-        raw = read(table)
-        clean[table] = tables.write_silver(silver(table, raw, processing_date, clock), root, table, days)
-        rejected[table] = tables.write_rejected(quarantine(table, raw, processing_date), root, table, days)
-    return (tables.run_summary(spark, "silver", clean)
-            .unionByName(tables.run_summary(spark, "rejected", rejected)))
+    """Write the clean and the rejected rows of the four tables, each from one scan; gives the rows per table."""
+    written = {table: tables.write_cleaned(cleaned(table, read(table), processing_date, clock), root, table, days)
+               for table in schemas.ENTITIES}
+    return (tables.run_summary(spark, "silver", {table: counts[CLEAN] for table, counts in written.items()})
+            .unionByName(tables.run_summary(spark, "rejected", {table: counts[REJECTED] for table, counts in written.items()})))
 
 
 def run_silver(spark: SparkSession, raw_root: str, silver_root: str, day: date | str | None = None,

@@ -5,14 +5,18 @@ A range of dates written by one job has ``dt=YYYY-MM-DD`` folders; readers accep
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
 from datetime import date, timedelta
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 
+PATH, START = "_path", "_start"  # of rows that a union took from several scans
 FORMATS = ("csv", "json", "parquet")
 DATE_IN_PATH = r"/dt=(\d{4})[/-](\d{2})[/-](\d{2})/"
 
@@ -31,13 +35,68 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None,
     return reader.csv(path)
 
 
+def headers(spark: SparkSession, path: str, recursive: bool = False, names: str = "*.csv") -> DataFrame:
+    """``file, columns`` of every text file that has a first line; no more of a file is read than its first rows.
+
+    A task takes the first row of a part of a file and stops; only the part that begins the file counts. Run it with
+    one part of a file per task, as ``_header_groups`` does.
+    """
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                begins = batch.column("start")[0].as_py() == 0
+                line = next(csv.reader([batch.column("value")[0].as_py().removeprefix("\ufeff")]), []) if begins else []
+                yield pa.RecordBatch.from_arrays([batch.column("file")[:begins], pa.array([line][:begins], pa.list_(pa.string()))],
+                                                 ["file", "columns"])
+                return  # the rest of the part is not read
+
+    lines = (spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", names).text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")))
+    return lines.mapInArrow(first, "file string, columns array<string>")
+
+
+def _header_groups(spark: SparkSession, path: str, recursive: bool, names: str) -> list[tuple[list[str], list[str]]]:
+    """Each different header with the files that have it."""
+    opening = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(opening)
+    spark.conf.set(opening, spark.conf.get("spark.sql.files.maxPartitionBytes"))  # so that no task gets parts of two files
+    try:
+        found = headers(spark, path, recursive, names).groupBy("columns").agg(F.collect_list("file").alias("files")).collect()
+    finally:
+        spark.conf.set(opening, before)
+    return sorted((list(row["columns"]), sorted(row["files"])) for row in found)
+
+
+def _read_csv(spark: SparkSession, path: str, table: str, recursive: bool, names: str) -> DataFrame:
+    """Raw rows of text files, each by the header of its own file: one scan per different header.
+
+    Columns beyond the declared ones are kept; a column that a file lacks is null there. Files of one header are
+    read by the path that found them; where headers differ, each scan gets the files it reads.
+    """
+    groups, declared = _header_groups(spark, path, recursive, names), list(schemas.ENTITY_TYPES[table])
+    parts = []
+    for header, files in groups:
+        # a blank or repeated name goes by its place
+        columns = [name if name and name not in header[:at] else f"_c{at}" for at, name in enumerate(header)]
+        reader = (spark.read.option("header", True).option("escape", '"').schema(schemas.ddl(dict.fromkeys(columns, "string")))
+                  .option("recursiveFileLookup", recursive).option("pathGlobFilter", names))
+        rows = reader.csv(path if len(groups) == 1 else files)
+        lacking = [name for name in declared if name not in columns]
+        parts.append(rows.withColumns({name: F.lit(None).cast("string") for name in lacking}))
+    if not parts:  # no file has a line
+        return spark.createDataFrame([], schemas.ddl(dict.fromkeys(declared, "string"))).withColumns(
+            {PATH: F.lit(None).cast("string"), START: F.lit(None).cast("bigint")})
+    if len(parts) == 1:
+        return parts[0]
+    placed = [rows.withColumns({PATH: F.col("_metadata.file_path"), START: F.col("_metadata.file_block_start")}) for rows in parts]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), placed)
+
+
 def _read_format(spark: SparkSession, path: str, table: str, file_format: str, recursive: bool,
                  names: str) -> DataFrame:
     """Raw rows of one format as text columns; ``names`` is a pattern for file names."""
     if file_format == "csv":
-        # The columns are those of the header, which may hold more than the declared ones.
-        header = read_csv(spark, path, None, recursive, names).columns
-        return read_csv(spark, path, schemas.ddl(dict.fromkeys(header, "string")), recursive, names)
+        return _read_csv(spark, path, table, recursive, names)
     reader = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", names)
     if file_format == "json":
         return reader.schema(schemas.raw_ddl(table)).json(path)
@@ -66,7 +125,7 @@ def read_raw(spark: SparkSession, path: str, table: str, file_format: str = "csv
         raise ValueError(f"unsupported format {file_format!r}, expected one of {FORMATS} or 'any'")
     declared = list(schemas.ENTITY_TYPES[table])
     parts = [_read_format(spark, path, table, kind, recursive, f"*.{kind}")
-             .select(*declared, F.col("_metadata.file_path").alias("_path"))
+             .transform(lambda rows: rows.select(*declared, file_path(rows).alias(PATH)))
              for kind in _formats_in(spark, path)]
     if not parts:
         raise ValueError(f"no file of an accepted format in {path}")
@@ -99,8 +158,8 @@ def date_from_path(path: Column) -> Column:
 
 
 def file_path(rows: DataFrame) -> Column:
-    """The file of each raw row; a union over formats carries it as a column."""
-    return F.col("_path") if "_path" in rows.columns else F.col("_metadata.file_path")
+    """The file of each raw row; a union over formats or headers carries it as a column."""
+    return F.col(PATH) if PATH in rows.columns else F.col("_metadata.file_path")
 
 
 def read_days(spark: SparkSession, root: str, table: str, start: date, end: date,
@@ -122,8 +181,8 @@ FILE_ORDER = ["_file", "_block", "_row"]
 
 def with_file_order(rows: DataFrame) -> DataFrame:
     """Add file path, block start and a row number that rises within a block."""
-    return rows.withColumns({"_file": F.col("_metadata.file_path"),
-                             "_block": F.col("_metadata.file_block_start"),
+    return rows.withColumns({"_file": file_path(rows),
+                             "_block": F.col(START) if START in rows.columns else F.col("_metadata.file_block_start"),
                              "_row": F.monotonically_increasing_id()})
 
 

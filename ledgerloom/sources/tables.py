@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
+from ledgerloom.operators.clean import CLEAN, RAW, REJECT, REJECTED
 from ledgerloom.operators.dedup import latest_by_key
 from ledgerloom.sources.bronze import read_csv, write_text
 from ledgerloom.sources.staging import remove_folder
@@ -25,35 +26,40 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def replace_days(df: DataFrame, path: str, days: Sequence[date | str]) -> int:
-    """Make ``df`` the content of the partitions of ``days``; gives the row count.
+def write_cleaned(df: DataFrame, root: str, table: str, days: Sequence[date | str]) -> dict[str, int]:
+    """Make the clean and rejected rows of ``cleaned`` the content of the partitions of ``days``, in one write.
 
-    Other dates stay. The rows are counted per date while they are written; the folder of a date
+    Gives the rows per kind. Other dates stay. The rows are counted per kind and date while they are written; the folder of a date
     that has none any more is removed, which an overwrite by partition alone would leave behind.
-    A rebalance by date gives each date few files of even size.
+    A rebalance by kind and date gives each few files of even size.
     """
-    seen = Observation()
-    per_day = [F.count_if(F.col("date_partition") == str(day)).alias(str(day)) for day in days]
-    rows = df.hint("rebalance", "date_partition") if len(per_day) > 1 else df
-    (rows.observe(seen, *per_day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date_partition").parquet(path))
-    for day, count in seen.get.items():
-        if count == 0:
-            remove_folder(df.sparkSession, f"{path}/date_partition={day}")
-    return sum(seen.get.values())
-
-
-def write_silver(df: DataFrame, root: str, table: str, days: Sequence[date | str]) -> int:
-    return replace_days(df, f"{root}/silver/{table}", days)
+    seen, path = Observation(), f"{root}/silver/{table}"
+    parts = [(kind, str(day)) for kind in (CLEAN, REJECTED) for day in days]
+    counts = [F.count_if((F.col("kind") == kind) & (F.col("date_partition") == day)).alias(f"{kind} {day}") for kind, day in parts]
+    rows = df.hint("rebalance", "kind", "date_partition") if len(days) > 1 else df
+    (rows.observe(seen, *counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("kind", "date_partition").parquet(path))
+    written = seen.get
+    for kind, day in parts:
+        if written[f"{kind} {day}"] == 0:
+            remove_folder(df.sparkSession, f"{path}/kind={kind}/date_partition={day}")
+    return {kind: sum(written[f"{kind} {day}"] for day in map(str, days)) for kind in (CLEAN, REJECTED)}
 
 
-def write_rejected(df: DataFrame, root: str, table: str, days: Sequence[date | str]) -> int:
-    return replace_days(df, f"{root}/rejected/{table}", days)
+def silver_path(root: str, table: str, kind: str = CLEAN) -> str:
+    return f"{root}/silver/{table}/kind={kind}"
 
 
 def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All rows of a clean table, over all processing dates."""
-    return spark.read.schema(schemas.ddl(schemas.SILVER_TYPES[table])).parquet(f"{root}/silver/{table}")
+    return spark.read.schema(schemas.ddl(schemas.SILVER_TYPES[table])).parquet(silver_path(root, table))
+
+
+def read_rejected(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All rejected rows of a table with their reason and the text they came with."""
+    texts = schemas.ddl({name: "string" for name in schemas.ENTITY_TYPES[table]}).replace("` string", "`: string")
+    types = {**schemas.SILVER_TYPES[table], REJECT: "string", RAW: f"struct<{texts}>"}
+    return spark.read.schema(schemas.ddl(types)).parquet(silver_path(root, table, REJECTED))
 
 
 def read_current(spark: SparkSession, root: str, table: str, columns: list[str]) -> DataFrame:
@@ -76,6 +82,10 @@ def write_gold(df: DataFrame, root: str, table: str) -> int:
     other tables may have any number of rows per partition; there a rebalance brings the rows of
     a partition together and splits those that grow too large.
     """
+    return _write_gold(df, root, table, "static")
+
+
+def _write_gold(df: DataFrame, root: str, table: str, overwrite: str) -> int:
     partition, order = schemas.GOLD_LAYOUT[table]
     if partition == "order_date":
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -83,11 +93,26 @@ def write_gold(df: DataFrame, root: str, table: str) -> int:
     else:
         rows = df.hint("rebalance", partition)
     rows, seen = counted(rows)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
      .partitionBy(partition).parquet(f"{root}/gold/{table}"))
     return seen.get["rows"]
 
 
+def replace_gold_dates(df: DataFrame, root: str, table: str, dates: DataFrame) -> int:
+    """Make ``df`` the content of the partitions of some order dates of a business table; gives the row count.
+
+    The folder of a date without rows is removed. ``df`` and ``dates`` are read twice, so they should be staged.
+    """
+    spark = df.sparkSession
+    emptied = dates.select("order_date").exceptAll(df.select("order_date").distinct()).select(
+        F.coalesce(F.col("order_date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    folders = [row[0] for row in emptied.collect()]  # dates of a calendar
+    rows = _write_gold(df, root, table, "dynamic")
+    for folder in folders:
+        remove_folder(spark, f"{root}/gold/{table}/order_date={folder}")
+    return rows
+
+
 def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
     types = schemas.GOLD_TYPES[table]
     return spark.read.schema(schemas.ddl(types)).parquet(f"{root}/gold/{table}").select(*types)
@@ -136,4 +161,4 @@ def create_catalog(spark: SparkSession, silver_root: str, gold_root: str,
         create_table(spark, gold_database, table, types, schemas.GOLD_LAYOUT[table][0],
                      f"{gold_root}/gold/{table}")
     create_table(spark, silver_database, "orders", schemas.SILVER_TYPES["orders"], "date_partition",
-                 f"{silver_root}/silver/orders")
+                 silver_path(silver_root, "orders"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ledgerloom import schemas
 from ledgerloom.testbed.bronze_views import SPREAD_DAYS, SPREAD_KEYS, raw_sql
-from ledgerloom.testbed.queries import DAY, MARKETS, NATIONS
+from ledgerloom.testbed.queries import DAY, MARKETS, MOVED, NATIONS
 
 TODAY = f"DATE '{DAY}'"
 
@@ -418,6 +418,21 @@ select count(*) as total_records, count(*) filter (where status = 'accepted') as
     "backfill_range": "\nunion all ".join(
         f"select '{name}' as table_name, date_partition, count(*) as row_count from by_day_{name} "
         "group by date_partition" for name in schemas.ENTITIES),
+    "mixed_headers_range": f"""
+select {', '.join(name for name in schemas.ENTITY_TYPES['orders'] if name != 'promo_code')},
+  case when cast(order_id as bigint) % 3 <> 2 then promo_code end as promo_code, order_date, order_hour,
+  is_promoted and cast(order_id as bigint) % 3 <> 2 as is_promoted, date_partition as job_date, date_partition from by_day_orders""",
+    "rejected_text": f"""
+select * from (select 'orders' as table_name, order_id as key, {REJECT['orders']} as reject_reason, total as amount, amount_text
+  from (select order_id, customer_id, total as amount_text, try_cast(total as double) as total from raw_orders))
+where reject_reason is not null
+union all
+select * from (select 'products' as table_name, product_id as key, {REJECT['products']} as reject_reason, price as amount, amount_text
+  from (select product_id, price as amount_text, try_cast(price as double) as price from raw_products))
+where reject_reason is not null""",
+    "gold_incremental": "select * exclude (date_partition) from (" + GOLD["gold_daily"].replace(
+        "silver_orders o", f"(select * replace (case when {MOVED} then order_date + 3 else order_date end as order_date) "
+                           "from silver_orders) o") + ")",
     "run_summary": "select * from table_counts",
     "run_flat_summary": "select * from flat_counts",
     "catalog_daily_revenue": "select * from gold_daily",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.operators import analytics, clean, flat, gold, quality, report
 from ledgerloom.operators.rank import global_rank
-from ledgerloom.plans import batch
+from ledgerloom.plans import batch, incremental
 from ledgerloom.session import pin_time_zone
 from ledgerloom.sources import bronze, manifest, tables
 from ledgerloom.sources.staging import fresh_folder
@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = AS_OF.isoformat()
 FIRST_DAY = AS_OF - timedelta(days=SPREAD_DAYS - 1)
+MOVED = "cast(order_id as bigint) % 20 = 7"  # orders that a late version moves to another date
 NATIONS = [f"NATION_{number}" for number in range(25)]
 MARKETS = ["Automobile", "Building", "Furniture", "Household", "Machinery"]
 
@@ -135,6 +136,39 @@ def _bronze_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.read_days(spark, root, "orders", FIRST_DAY, AS_OF)
 
 
+def _land_mixed_headers(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Raw orders by date in files of three layouts: as declared, reversed, and reversed with one column more and one less."""
+    rows = raw_by_day(spark, sf_dir, "orders")
+    names = list(schemas.ENTITY_TYPES["orders"])
+    layouts = [names, names[::-1], ["comment", *[name for name in names[::-1] if name != "promo_code"]]]
+    kind = F.expr("cast(order_id as bigint) % 3")
+    for at, layout in enumerate(layouts):
+        part = rows.filter(kind == at).withColumn("comment", F.lit("a, b")).select(*layout, F.col("date_partition").alias("dt"))
+        (bronze.write_text(part.hint("rebalance", "dt")).mode("append").partitionBy("dt").csv(f"{root}/bronze/orders"))
+
+
+def _mixed_headers_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean orders per date over a range whose files differ in their headers."""
+    root = fresh_folder(spark, "headers")
+    _land_mixed_headers(spark, sf_dir, root)
+    orders = clean.silver("orders", bronze.read_days(spark, root, "orders", FIRST_DAY, AS_OF), None)
+    return orders.drop("processed_at")
+
+
+def _rejected_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected orders and products of a run with the text they came with."""
+    root = fresh_folder(spark, "rejected")
+    parts = []
+    for name, amount in (("orders", "total"), ("products", "price")):
+        bronze.land_csv(raw(spark, sf_dir, name), root, name, AS_OF)
+        rows = clean.cleaned(name, bronze.read_day(spark, root, name, AS_OF), DAY)
+        tables.write_cleaned(rows, root, name, [AS_OF])
+        parts.append(tables.read_rejected(spark, root, name).select(
+            F.lit(name).alias("table_name"), F.col(schemas.KEYS[name]).alias("key"), "reject_reason",
+            F.col(amount).alias("amount"), F.col(f"raw.{amount}").alias("amount_text")))
+    return parts[0].unionByName(parts[1])
+
+
 def _backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "backfill")
     _land_by_day(spark, sf_dir, root)
@@ -148,6 +182,20 @@ def _backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written
 
 
+def _gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily revenue after a last day that brings new orders and later versions of old ones, some of them on another order date."""
+    root = fresh_folder(spark, "incremental")
+    _land_by_day(spark, sf_dir, root)
+    batch.run_range(spark, root, root, FIRST_DAY, AS_OF - timedelta(days=1))
+    incremental.rebuild_dates(spark, root, root, tables.read_silver(spark, root, "orders"), DAY)
+    moved = raw(spark, sf_dir, "orders").filter(MOVED).withColumns({
+        "created_at": F.expr("cast(date_add(cast(created_at as date), 3) as string)"),
+        "updated_at": F.expr("cast(cast(updated_at as timestamp) + interval 200 hours as string)")})
+    bronze.write_text(moved).mode("append").csv(f"{root}/bronze/orders/{bronze.day_folder(AS_OF)}")
+    incremental.refresh(spark, root, root, [AS_OF], lambda: batch.run_silver(spark, root, root, AS_OF), DAY)
+    return tables.read_gold(spark, root, "daily_revenue_summary").drop("updated_at", "date_partition")
+
+
 def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "run")
     for name in schemas.ENTITIES:
@@ -279,7 +327,10 @@ QUERIES: dict[str, Query] = {
     "ingest_manifest": _ingest_manifest,
     "ingest_summary": _ingest_summary,
     "ingest_totals": _ingest_totals,
+    "mixed_headers_range": _mixed_headers_range,
+    "rejected_text": _rejected_text,
     "backfill_range": _backfill_range,
+    "gold_incremental": _gold_incremental,
     "run_summary": _run_summary,
     "run_flat_summary": _run_flat_summary,
     "catalog_daily_revenue": _catalog_daily_revenue,

@@ -2,8 +2,9 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
-from helpers import raw, rows
+from helpers import plan, raw, rows
 from ledgerloom import schemas
+from ledgerloom.operators.clean import cleaned, quarantine, silver
 from ledgerloom.plans import batch
 from ledgerloom.sources import bronze, tables
 from pyspark.sql import functions as F
@@ -33,8 +34,30 @@ def test_run_silver_writes_one_date_and_can_be_repeated(spark, root):
     assert [row[0] for row in silver_rows(spark, root)] == ["o1", "o3"]
     batch.run_silver(spark, root, root, D1, CLOCK)
     assert [row for row in silver_rows(spark, root) if row[-1] == "2024-11-01"] == before
-    assert spark.read.parquet(f"{root}/rejected/orders").select("order_id", "reject_reason").collect() == [
-        ("o2", "negative total")]
+    assert tables.read_rejected(spark, root, "orders").select("order_id", "reject_reason", "raw.total", "raw.currency").collect() == [
+        ("o2", "negative total", "-1", "usd ")]
+
+
+@pytest.mark.parametrize("table", schemas.ENTITIES)
+def test_clean_and_rejected_rows_come_from_one_scan(spark, root, table):
+    changes = [{}, {schemas.KEYS[table]: None}, {schemas.KEYS[table]: None}, {}]
+    data = raw(spark, table, *changes)
+    bronze.land_csv(data, root, table, D1)
+    both = cleaned(table, bronze.read_day(spark, root, table, D1), str(D1), CLOCK)
+    assert plan(both).split("Initial Plan")[0].count("FileScan") == 1
+    assert rows(both.filter("kind = 'clean'"), *schemas.SILVER_TYPES[table]) == rows(silver(table, data, str(D1), CLOCK))
+    left_out = both.filter("kind = 'rejected'")
+    assert left_out.count() == 2  # alike in every column, both kept
+    names = [*schemas.ENTITY_TYPES[table], *schemas.DERIVED_TYPES[table], "reject_reason", "date_partition"]
+    assert rows(left_out, *names) == rows(quarantine(table, data, str(D1)), *names)
+    assert left_out.select("raw.*").distinct().count() == 1
+
+
+def test_rejected_rows_keep_the_text_that_did_not_parse(spark, root):
+    land(spark, root, D1, orders=[{"total": "12,50"}, {"total": "n/a", "order_id": "o2", "updated_at": "soon"}])
+    batch.run_silver(spark, root, root, D1, CLOCK)
+    assert rows(tables.read_rejected(spark, root, "orders"), "total", "raw.total", "raw.updated_at") == [
+        (None, "12,50", "2024-11-02 10:30:00"), (None, "n/a", "soon")]
 
 
 def test_a_date_left_without_rows_is_emptied(spark, root):
@@ -57,8 +80,8 @@ def test_range_equals_single_days(spark, root):
         batch.run_silver(spark, root, f"{root}/daily", day, CLOCK)
     for table in schemas.ENTITIES:
         assert silver_rows(spark, f"{root}/range", table) == silver_rows(spark, f"{root}/daily", table)
-    assert rows(spark.read.parquet(f"{root}/range/rejected/orders")) == rows(
-        spark.read.parquet(f"{root}/daily/rejected/orders"))
+    rejected = rows(tables.read_rejected(spark, f"{root}/range", "orders"))
+    assert rejected == rows(tables.read_rejected(spark, f"{root}/daily", "orders")) and len(rejected) == 3
     batch.run_range(spark, root, f"{root}/range", D2, D3, CLOCK)
     assert silver_rows(spark, f"{root}/range") == silver_rows(spark, f"{root}/daily")
 

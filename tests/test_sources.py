@@ -134,6 +134,41 @@ def test_header_names_the_columns(spark, root):
     assert rows(got, "item_id", "order_id", "note", "created_at") == [("i1", "o1", "hi", None)]
 
 
+def test_files_are_read_by_their_own_headers(spark, root):
+    put(root, "bronze/products/dt=2024/11/01/a.csv", "product_id,name,price\np1,one,1\np2,two,2\n")
+    put(root, "bronze/products/dt=2024/11/01/b.csv", '\ufeffprice,"product_id",name\n3,p3,three\n')
+    put(root, "bronze/products/dt=2024/11/02/c.csv", "name,colour,price,product_id,colour,\n" + "".join(f"n{i},red,{i},q{i},x,y\n" for i in range(3000)))
+    put(root, "bronze/products/dt=2024/11/02/d.csv", "")
+    put(root, "bronze/products/dt=2024/11/02/e.csv", "name,price,product_id\n")
+    got = bronze.read_days(spark, root, "products", DAY, date(2024, 11, 2))
+    assert rows(got.filter("product_id like 'p%'"), "product_id", "name", "price", "colour", "supplier", "date_partition") == [
+        ("p1", "one", "1", None, None, "2024-11-01"), ("p2", "two", "2", None, None, "2024-11-01"),
+        ("p3", "three", "3", None, None, "2024-11-01")]
+    later = got.filter("date_partition = '2024-11-02'")
+    assert later.count() == 3000 and later.filter("name = concat('n', price) and product_id = concat('q', price) and colour = 'red'").count() == 3000
+    found = bronze.headers(spark, f"{root}/bronze/products", recursive=True)
+    assert "c.csv" in str(found.collect())
+    # single days give the same rows, and the order of files is known for them too
+    single = [bronze.read_day(spark, root, "products", day) for day in (DAY, "2024-11-02")]
+    assert sum(day.count() for day in single) == got.count()
+    assert rows(bronze.read_all_days(spark, root, "products").filter("product_id = 'p3'"), "price", "_block") == [("3", 0)]
+    put(root, "bronze/orders/dt=2024/11/01/empty.csv", "")
+    assert bronze.read_days(spark, root, "orders", DAY, DAY).count() == 0
+
+
+def test_large_files_give_one_header_each(spark, root):
+    put(root, "bronze/orders/dt=2024/11/01/a.csv", "order_id,total\n" + "".join(f"o{i},{i}\n" for i in range(20000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000b")
+    try:
+        groups = bronze._header_groups(spark, f"{root}/bronze/orders/dt=2024/11/01", False, "*.csv")
+        assert [(header, len(files)) for header, files in groups] == [(["order_id", "total"], 1)]
+        got = bronze.read_day(spark, root, "orders", DAY)
+        assert tuple(got.selectExpr("count(*)", "sum(total)", "count(customer_id)").first()) == (20000, 199990000.0, 0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_doubled_quotes_and_backslashes(spark, root):
     put(root, "a.csv", 'k,n,s\n1,"thing ""x"", y",z\n2,"ends with \\",v\n')
     assert rows(bronze.read_csv(spark, f"{root}/a.csv")) == [("1", 'thing "x", y', "z"), ("2", "ends with \\", "v")]
