@@ -19,6 +19,8 @@ from pathlib import Path
 import numpy as np
 import regex
 
+from ledgerloom.llm._memory import remembered
+
 CACHE_PARTS, CACHE_PIECES = 200_000, 700_000  # remembered by a worker
 _BLANKS = re.compile(r"\s\s")
 # The pattern of byte-level BPE, and the characters it uses for bytes.
@@ -117,6 +119,7 @@ class Encoder:
         return (self._first[first] if first else b"") + b"".join(values)
 
 
+@remembered
 @lru_cache(maxsize=1)
 def shared_encoder(path: str, counts_only: bool = False) -> Encoder:
     """The encoder of a worker process, whose caches serve its tasks one after the other."""

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm._frames import map_arrow
+from ledgerloom.llm._memory import remembered
 from ledgerloom.llm._words import as_bytes
 
 CACHE_PIECES, CACHE_LENGTH = 250_000, 64  # pieces a worker remembers per generation, and the characters of the longest of them
@@ -227,6 +228,7 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+@remembered
 @lru_cache(maxsize=1)
 def shared_codec(path: str, pattern: str, unmade: frozenset[int]) -> Codec:
     """The codec of a worker process, whose memos serve its tasks one after the other."""
