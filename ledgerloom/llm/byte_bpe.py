@@ -31,8 +31,9 @@ from ledgerloom.llm._frames import map_arrow
 from ledgerloom.llm._memory import remembered
 from ledgerloom.llm._words import as_bytes
 
-CACHE_PIECES, CACHE_LENGTH = 250_000, 64  # pieces a worker remembers per generation, and the characters of the longest of them
-CACHE_PAIRS = 1_000_000
+CACHE_PIECES, CACHE_LENGTH = 125_000, 64  # pieces a worker remembers per generation, and the characters of the longest of them
+CACHE_PAIRS = 500_000
+ROWS = 500  # rows of a batch worked on at once
 LONG_TEXT, PIECES = 1 << 20, 1 << 15  # longer texts are cut into so many pieces at a time
 _NEVER = 1 << 62
 # one character of each class of the pattern, and a character before it with which it makes one piece
@@ -120,6 +121,11 @@ class Splitter:
                 yield [text[match.start():match.end()] for match in matches]
 
 
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+
+
 class Codec:
     """Ids of texts and bytes of ids by a file of ranks (a token in base 64 and its rank per line).
 
@@ -127,8 +133,7 @@ class Codec:
     """
 
     def __init__(self, path: str, pattern: str, unmade: frozenset[int] = frozenset()):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+        self.ranks = _ranks(path)
         missing = [byte for byte in range(256) if bytes([byte]) not in self.ranks]
         if missing:
             raise ValueError(f"the ranks lack the bytes {missing[:5]}")
@@ -235,6 +240,18 @@ def shared_codec(path: str, pattern: str, unmade: frozenset[int]) -> Codec:
     return Codec(path, pattern, unmade)
 
 
+@remembered
+@lru_cache(maxsize=1)
+def shared_tokens(path: str) -> dict[int, bytes]:
+    """The bytes of each id, which is all that decoding needs."""
+    return {rank: token for token, rank in _ranks(path).items()}
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for low in range(0, batch.num_rows, ROWS):
+        yield batch.slice(low, ROWS)
+
+
 @lru_cache(maxsize=8)
 def unmade_tokens(path: str) -> frozenset[int]:
     """Tokens of a file of ranks that no merges make; an error if a token ranks before its parts."""
@@ -252,26 +269,26 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def over(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         codec = shared_codec(path, pattern, unmade)
-        ids = [codec.encode(text.decode("utf-8", "replace")) for text in as_bytes(batch.column("text"))]
-        ends = np.cumsum([0, *map(len, ids)])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
+        for part in _parts(batch):
+            ids = [codec.encode(text.decode("utf-8", "replace")) for text in as_bytes(part.column("text"))]
+            ends = np.cumsum([0, *map(len, ids)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     return map_arrow(rows, over, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
-def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
+def decoded(rows: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, bytes``: the ids of every row and the bytes they stand for; null ids stand for none."""
-    unmade = unmade_tokens(path)
-
     def over(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        codec = shared_codec(path, pattern, unmade)
-        lists = batch.column("ids").fill_null([])
-        values, ends = lists.flatten().to_numpy().tolist(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
-        texts = [codec.decode(values[low:high]) for low, high in zip([0, *ends], ends, strict=False)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary())],
-                                         ["doc_id", "ids", "bytes"])
+        bytes_of = shared_tokens(path).__getitem__
+        for part in _parts(batch):
+            lists = part.column("ids").fill_null([])
+            values, ends = lists.flatten().to_numpy().tolist(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
+            texts = [b"".join(map(bytes_of, values[low:high])) for low, high in zip([0, *ends], ends, strict=False)]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.binary())],
+                                             ["doc_id", "ids", "bytes"])
 
     kept = rows.select("doc_id", "ids")
     return map_arrow(kept, over, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary")
@@ -279,7 +296,7 @@ def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def round_trip_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per row of ``docs`` its id, number of token ids, and SHA-256 of the ids in decimal and of the decoded bytes."""
-    return decoded(encoded(docs, path, pattern), path, pattern).select(
+    return decoded(encoded(docs, path, pattern), path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -78,7 +78,7 @@ def test_rows(spark, docs, library):
     ids = [None, 1, 1, *range(3, len(texts))]
     rows = sorted(encoded(docs(texts, ids), PATH, PATTERN).collect(), key=str)
     assert rows == sorted([(doc_id, library.encode_ordinary(text or "")) for doc_id, text in zip(ids, texts, strict=True)], key=str)
-    back = decoded(encoded(docs(texts, ids), PATH, PATTERN), PATH, PATTERN)
+    back = decoded(encoded(docs(texts, ids), PATH, PATTERN), PATH)
     assert sorted((bytes(row["bytes"]) for row in back.collect())) == sorted((text or "").encode() for text in texts)
     assert round_trip_digest(docs([]), PATH, PATTERN).count() == 0
 
