@@ -33,15 +33,53 @@ PRIOR_WEIGHT = 4.0  # pages that a wider prior counts as
 EVIDENCE_WEIGHT = 1.0  # added to every count of declared languages and suffixes
 MAX_LANGUAGES = 500  # rows of the model times buckets stay within what is broadcast
 
-_SKIPPED = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
-_TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]+)")
+_CLOSING = {name: re.compile(rb"</" + name + rb"\s*+>") for name in (b"script", b"style")}
+_HIDDEN = re.compile(rb"<(script|style)(?![0-9a-z_\x80-\xff])")
+_PAGE = re.compile(rb"<html(?![0-9a-z_\x80-\xff])")
+_LANG = re.compile(rb"\blang\s*+=\s*+(?:[\"']\s*+)?([a-z]+)")
+_NUMBER = re.compile(r"&#([0-9]{9,})")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def page_text(markup: str) -> str:
-    """Text of a page without markup, scripts, styles and comments."""
-    return html.unescape(_TAG.sub(" ", _SKIPPED.sub(" ", markup)))
+    """Text of a page without markup, scripts, styles and comments, in one pass forward.
+
+    A closing mark that is missing once is missing for all that follows, so no part is searched twice; what
+    opens without an end is text from the last ``<`` that has one on.
+    """
+    raw = markup.encode("utf-8", "replace")
+    low, parts, at, missing = raw.lower(), [], 0, set()
+    while (start := raw.find(b"<", at)) >= 0:
+        end = -1
+        if hidden := _HIDDEN.match(low, start):
+            if hidden[1] not in missing:
+                closing = _CLOSING[hidden[1]].search(low, hidden.end())
+                end = closing.end() if closing else -1
+                missing.update(() if closing else (hidden[1],))
+        elif raw.startswith(b"<!--", start) and b"--" not in missing:
+            end = raw.find(b"-->", start + 4) + 3
+            if end < 3:
+                end = -1
+                missing.add(b"--")
+        if end < 0:
+            end = raw.find(b">", start + 1) + 1
+        if end <= 0:
+            break
+        parts.append(raw[at:start])
+        at = end
+    parts.append(raw[at:])
+    # digits beyond those of the last code point say no more, and Python refuses to read thousands of them
+    return html.unescape(_NUMBER.sub(lambda found: "&#0" + found[1].lstrip("0")[:8], b" ".join(parts).decode("utf-8", "replace")))
+
+
+def declared_language(markup: str) -> str | None:
+    """Primary language that the page's first ``<html>`` declares."""
+    low = markup.encode("utf-8", "replace").lower()
+    if not (tag := _PAGE.search(low)):
+        return None
+    end = low.find(b">", tag.end())
+    found = _LANG.search(low, tag.end(), end if end >= 0 else len(low))
+    return found[1].decode() if found else None
 
 
 def address_of(url: str | None) -> tuple[str | None, str | None, str | None]:
@@ -112,9 +150,8 @@ def page_evidence(pages: DataFrame, languages: list[str], model: np.ndarray) ->
             for url, markup in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 found = ngram_buckets(page_text(markup or "").encode("utf-8", "replace"))
                 scores = TEMPER * shared.value[:, found].sum(axis=1)
-                declared = _DECLARED.search(markup or "")
                 blank = len(found) <= 1
-                rows.append((*address_of(url), declared[1].lower() if declared else None,
+                rows.append((*address_of(url), declared_language(markup or ""),
                              None if blank or not len(scores) else int(scores.argmax()), [0.0] * len(scores) if blank else scores.tolist()))
             kinds = [pa.string()] * 4 + [pa.int32(), pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays(
@@ -135,6 +172,7 @@ def language_posteriors(pages: DataFrame, docs: DataFrame) -> DataFrame:
     ``pages`` has ``page_id, url, html``; ``docs`` has ``text`` and ``lang`` and trains the text model. Ties go to the
     language first in order. A page without text, markup or address is judged by what is left; with
     nothing, by the languages of all pages. ``text_lang`` is null without text. Rows that repeat an id are judged one by one.
+    Pages are read whole, however long, in time that grows with their length; other columns are ignored.
     Without documents of known language ``lang`` and ``probability`` are null. An empty table gives no rows.
     """
     work = Workspace(pages.sparkSession, "languages")

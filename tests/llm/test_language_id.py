@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from ledgerloom.llm.language_id import address_of, language_posteriors, page_text
+from ledgerloom.llm.language_id import address_of, declared_language, language_posteriors, page_text
 from llm.texts import long_text
 
 
@@ -64,3 +66,35 @@ def test_parts_of_pages():
     assert address_of("https://User@WWW.Example.co.uk:8080/a?b#c") == ("www.example.co.uk", "co.uk", "uk")
     assert address_of(None) == address_of("no address") == (None, None, None)
     assert page_text("<p>a&amp;b<!-- <p>no --><style>x</style ><script>\nno</script>c").split() == ["a&b", "c"]
+
+
+def test_declared_language_is_that_of_the_first_page_tag():
+    assert declared_language('<!doctype html><HTML class=x xml:LANG = "De-AT">') == "de"
+    assert declared_language("<htmlx lang=fr><html lang=\"\"><p lang=en>") is None
+    assert declared_language("<html data=1 lang='  en") == "en"
+    assert declared_language("") is None
+
+
+@pytest.mark.parametrize("part", ["<html ", "<script>", "<style ", "<!--", "<", "</script ", "<!-- --", "<html lang= ", "&#", "9", " ", "<html lang='",
+                                  "<script></script "])
+def test_hostile_markup_takes_time_in_step_with_its_length(part):
+    page = part * (10_000_000 // len(part))
+    for markup in (page, "<html lang= " + page, "&#" + page + ";"):
+        start = time.process_time()
+        page_text(markup)
+        declared_language(markup)
+        assert time.process_time() - start < 4
+
+
+def test_references_take_time_in_step_with_their_number():
+    start = time.process_time()
+    assert page_text("&#65;" * 400_000) == "A" * 400_000
+    assert page_text("&#0000000000065" * 400_000) == "A" * 400_000
+    assert time.process_time() - start < 8
+
+
+def test_unclosed_and_nested_markup():
+    assert page_text("a<script>b<p>c").split() == ["a", "b", "c"]
+    assert page_text("a<!-- b<p>c").split() == ["a", "c"]
+    assert page_text("a<!-->b-->c<STYLE>x</Style >d<scripts>e < f").split() == ["a", "c", "d", "e", "<", "f"]
+    assert page_text("&#" + "9" * 9000 + ";&#0000065;&#x42;") == "\ufffdAB"
