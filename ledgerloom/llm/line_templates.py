@@ -5,8 +5,11 @@ digits count as variable there. Within a leaf a token is fixed at its place if e
 variable otherwise, whatever the order in which lines come. A line's template is its fixed tokens with a mark in the
 variable places; with too few fixed tokens it has none. Templates of enough documents recur and their lines are dropped.
 A line with more digits than a template allows recurs if enough documents have it word for word, digits included.
-A long line recurs in fewer documents, as chance does not repeat it; near copies of one document, which share
-their lines, count once there.
+A long line recurs in fewer documents, as chance does not repeat it.
+
+Copies of one document share their lines without saying anything about them, so documents count by family: texts that
+are alike, or that share 60 of 100 of their five-word shingles, are of one family, and so is what they have in common with others.
+Where few families hold a line, those that share a quarter of the rest of their texts count as one, too.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm._frames import Workspace
+from ledgerloom.llm._frames import Workspace, components
 from ledgerloom.llm._words import as_bytes, shingle_sets
 
 LEADING = 2  # tokens of the path to a leaf
@@ -31,6 +34,9 @@ MARK = VARIABLE.encode()
 LONG = ((20, 2), (10, 5))  # a line of so many tokens word for word recurs in so many unrelated documents
 SKETCH = 64  # least shingle hashes that stand for the rest of a document
 COPY = 0.25  # documents whose rests share that part of their shingles are near copies; unrelated ones mostly share under 0.1
+HASHES, BANDS = 64, 16  # least values that stand for a text's shingles; bands of which one must agree to compare two texts
+FAMILY = 0.6  # texts with that part of their shingles in common are of one family
+MIN_WORDS = 5  # texts of fewer words have no shingle and are families of their own
 _DIGIT = re.compile(rb"[0-9]")
 
 LINES = "leaf bigint, line bigint, doc bigint, least int"
@@ -105,6 +111,61 @@ def _lines(docs: DataFrame, texts: bool, least: int, fixed: float) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(over, TEXTS if texts else LINES)
 
 
+_FACTORS = np.random.default_rng(20240607).integers(1, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+_AT_ONCE = 4096  # shingles times HASHES numbers are held at once
+
+
+def signature(values: np.ndarray) -> bytes:
+    """The least value of a text's shingles under each of HASHES multipliers, 32 bits each."""
+    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
+    for low in range(0, len(values), _AT_ONCE):
+        np.minimum(least, (values[low:low + _AT_ONCE, None] * _FACTORS).min(axis=0), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32).tobytes()
+
+
+def _signatures(docs: DataFrame) -> DataFrame:
+    """``node, signature`` of every row with MIN_WORDS words."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = as_bytes(batch.column("text"))
+            wordy = [len(text.split(None, MIN_WORDS)) >= MIN_WORDS for text in texts]
+            found = [signature(values) if enough else None for values, enough in zip(shingle_sets(texts), wordy, strict=True)]
+            rows = pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "signature"])
+            yield rows.filter(pa.array(wordy, pa.bool_()))
+    return docs.select("node", "text").mapInArrow(over, "node bigint, signature binary")
+
+
+def _agreeing(pairs: DataFrame) -> DataFrame:
+    """``a, b`` of the pairs of nodes whose signatures agree in FAMILY of their places."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint32).reshape(-1, HASHES) for name in ("left", "right"))
+            alike = np.equal(*both).mean(axis=1) >= FAMILY
+            yield batch.select(["a", "b"]).filter(pa.array(alike))
+    return pairs.select("a", "b", "left", "right").mapInArrow(over, "a bigint, b bigint")
+
+
+def families(work: Workspace, docs: DataFrame) -> DataFrame:
+    """``doc, family`` of documents with ``doc`` and ``text``: exact copies, and texts linked by signatures that agree.
+
+    In every bucket of a band only the links to the bucket's first text are looked at, so no bucket's pairs are listed.
+    """
+    rows = docs.select("doc", "text", F.xxhash64("text").alias("node"))
+    named = work.stage(_signatures(rows).groupBy("node").agg(F.any_value("signature").alias("signature")), "signatures")
+    width = 4 * HASHES // BANDS
+    bands = F.explode(F.array(*(F.xxhash64(F.lit(band), F.substring("signature", 1 + band * width, width)) for band in range(BANDS))))
+    buckets = named.select("node", bands.alias("bucket"))
+    first = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("bucket", "a")
+    pairs = buckets.join(first, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    pairs = (pairs.join(named.select(F.col("node").alias("a"), F.col("signature").alias("left")), "a")
+             .join(named.select(F.col("node").alias("b"), F.col("signature").alias("right")), "b"))
+    labels = components(work, _agreeing(pairs))
+    # texts of few words stay one by one
+    own = F.when(F.size(F.split(F.trim(F.regexp_replace("text", "[ \\t\\n\\x0B\\f\\r]+", " ")), " ", MIN_WORDS)) >= MIN_WORDS, F.col("node"))
+    rows = rows.select("doc", own.alias("node"))
+    return work.stage(rows.join(labels, "node", "left").select("doc", F.coalesce("label", "node", "doc").alias("family")).distinct(), "families")
+
+
 def _rest_sketches(docs: DataFrame, held: DataFrame, least: int, fixed: float) -> DataFrame:
     """``leaf, line, least, doc, sketch`` of the lines that ``held`` (``leaf, doc``) names; the sketch is that of the text without the line."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,13 +207,15 @@ def alike(left: np.ndarray, right: np.ndarray) -> bool:
     return np.isin(np.intersect1d(left, right), both).sum() >= COPY * len(both)
 
 
-def _unrelated_repeats(work: Workspace, docs: DataFrame, found: DataFrame, least: int, fixed: float) -> DataFrame:
-    """``leaf, line, doc`` of the rows without tokens in ``found`` whose line enough unrelated documents have."""
-    counts = found.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-    held = work.stage(found.join(counts, "leaf"), "repeats")
-    # as many documents as a template needs count as they are
-    many, few = held.where((F.col("n") >= least) | (F.col("least") >= least)), held.where((F.col("n") < least) & (F.col("least") < least))
-    sketches = work.stage(_rest_sketches(docs, few.select("leaf", "doc").distinct(), least, fixed), "sketches")
+def _unrelated_repeats(work: Workspace, docs: DataFrame, held: DataFrame, least: int, fixed: float) -> DataFrame:
+    """``leaf, line, doc`` of the rows in ``held`` (``leaf, line, doc, least, family``) whose line enough unrelated documents have."""
+    counts = held.select("leaf", "family").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    held = work.stage(held.join(counts, "leaf").where("n >= least"), "repeats")
+    # as many families as a template needs count as they are
+    many, few = held.where(F.col("n") >= least), held.where(F.col("n") < least)
+    # one document stands for its family, so no line has as many sketches as a template needs documents
+    holders = few.groupBy("leaf", "family").agg(F.min("doc").alias("doc")).select("leaf", "doc")
+    sketches = work.stage(_rest_sketches(docs, holders, least, fixed), "sketches")
     groups = sketches.groupBy("leaf", "least").agg(F.collect_list("sketch").alias("sketches"))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,14 +229,18 @@ def _unrelated_repeats(work: Workspace, docs: DataFrame, found: DataFrame, least
 
 def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS, fixed: float = MIN_FIXED) -> DataFrame:
     """``leaf, line, doc`` of the lines that recur, by template or word for word, for documents with ``doc`` and ``text``."""
+    # no more families than documents, so what too few documents hold is out
     counts = (_lines(docs, False, least, fixed).select("leaf", "doc", "least").distinct().groupBy("leaf")
               .agg(F.count(F.lit(1)).alias("n"), F.any_value("least").alias("least")))
     leaves = work.stage(counts.where(F.col("n") >= F.coalesce("least", F.lit(least))).select("leaf"), "leaves")
     found = work.stage(_lines(docs, True, least, fixed).join(leaves, "leaf", "left_semi"), "lines")
-    repeats = _unrelated_repeats(work, docs, found.where("masked is null").select("leaf", "line", "doc", "least"), least, fixed)
-    lines = found.where("masked is not null")
+    held = work.stage(found.select("leaf", "line", "doc", "least", F.col("masked").isNotNull().alias("whole"))
+                      .join(families(work, docs), "doc"), "held")
+    repeats = _unrelated_repeats(work, docs, held.where("not whole").drop("whole"), least, fixed)
+    lines = held.where("whole")
     # hot lines count as one row from here on
-    kinds = lines.groupBy("leaf", "line").agg(F.count_distinct("doc").alias("n"), F.any_value("masked").alias("masked"))
+    kinds = (lines.select("leaf", "line", "family").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
+             .join(found.where("masked is not null").groupBy("leaf", "line").agg(F.any_value("masked").alias("masked")), ["leaf", "line"]))
     kinds = work.stage(kinds, "kinds")
     places = kinds.select("leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     support = places.groupBy("leaf", "at", "token").agg(F.sum("n").alias("support"))
@@ -185,8 +252,8 @@ def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS
     templates = (marked.where(known >= fixed * F.size("tokens"))
                  .select("leaf", "line", F.xxhash64("leaf", F.array_join(tokens, " ")).alias("template")))
     templates = work.stage(templates, "templates")
-    members = lines.select("leaf", "line", "doc").join(templates, ["leaf", "line"])
-    recurring = (members.select("template", "doc").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"))
+    members = lines.select("leaf", "line", "doc", "family").join(templates, ["leaf", "line"])
+    recurring = (members.select("template", "family").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"))
                  .where(F.col("n") >= least).select("template"))
     return members.join(recurring, "template", "left_semi").select("leaf", "line", "doc").unionByName(repeats)
 
@@ -196,7 +263,8 @@ def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed:
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. ``n_lines`` counts lines with a token; blank lines stay. A
     null text stays null with 0 lines. Rows alike in id and text count as one document; other rows that repeat an id are
-    documents of their own. An empty table gives no rows.
+    documents of their own. Copies and near copies of a text of five words and more count as one document however many they are, so they
+    keep lines that only they share. Texts are read whole, however long. An empty table gives no rows.
     """
     work = Workspace(docs.sparkSession, "lines")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("doc"))

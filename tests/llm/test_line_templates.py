@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from ledgerloom.llm.line_templates import without_recurring_lines
 from llm.texts import long_text
 
@@ -69,6 +71,23 @@ def test_long_lines_recur_in_few_unrelated_documents(docs):
     assert all(rows[at] == (4, 0, texts[at]) for at in (20, 21))
 
 
+@pytest.mark.parametrize("copies", [2, 9, 10, 12, 1000])
+def test_copies_keep_their_lines(docs, copies):
+    """Exact copies, and near copies that differ in a word, beside lines that recur in unrelated documents."""
+    rng = random.Random(copies)
+
+    def words(size):
+        return " ".join("".join(rng.choice("abcdefghijklm") for _ in range(7)) for _ in range(size))
+    exact, body, short = (f"{words(12)}\n{words(24)}\n{words(8)}" for _ in range(3))
+    common = words(25)
+    texts = [exact] * copies + [f"{body} {words(1)}" for _ in range(copies)] + [f"{words(40)}\n{common}" for _ in range(12)]
+    texts += [f"{common}\n{short}"] * copies
+    rows = {row[0]: row[1:] for row in found(docs(texts))}
+    assert all(rows[at] == (3, 0, texts[at]) for at in range(2 * copies))
+    assert all(rows[at] == (2, 1, texts[at].split("\n")[0]) for at in range(2 * copies, 2 * copies + 12))
+    assert all(rows[at] == (4, 1, short) for at in range(2 * copies + 12, len(texts)))
+
+
 def test_brute_force_over_documents(documents):
     """Lines that at least ten documents share word for word (digits aside) go; the rest of each text stays in order."""
     import re
