@@ -6,6 +6,7 @@ A range of dates written by one job has ``dt=YYYY-MM-DD`` folders; readers accep
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator, Sequence
 from datetime import date, timedelta
 from functools import reduce
@@ -35,7 +36,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None,
     return reader.csv(path)
 
 
-def headers(spark: SparkSession, path: str, recursive: bool = False, names: str = "*.csv") -> DataFrame:
+def headers(spark: SparkSession, path: str | list[str], recursive: bool = False, names: str = "*.csv") -> DataFrame:
     """``file, columns`` of every text file that has a first line; no more of a file is read than its first rows.
 
     A task takes the first row of a part of a file and stops; only the part that begins the file counts. Run it with
@@ -55,7 +56,7 @@ def headers(spark: SparkSession, path: str, recursive: bool = False, names: str
     return lines.mapInArrow(first, "file string, columns array<string>")
 
 
-def _header_groups(spark: SparkSession, path: str, recursive: bool, names: str) -> list[tuple[list[str], list[str]]]:
+def _header_groups(spark: SparkSession, path: str | list[str], recursive: bool, names: str) -> list[tuple[list[str], list[str]]]:
     """Each different header with the files that have it."""
     opening = "spark.sql.files.openCostInBytes"
     before = spark.conf.get(opening)
@@ -67,7 +68,7 @@ def _header_groups(spark: SparkSession, path: str, recursive: bool, names: str)
     return sorted((list(row["columns"]), sorted(row["files"])) for row in found)
 
 
-def _read_csv(spark: SparkSession, path: str, table: str, recursive: bool, names: str) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str | list[str], table: str, recursive: bool, names: str) -> DataFrame:
     """Raw rows of text files, each by the header of its own file: one scan per different header.
 
     Columns beyond the declared ones are kept; a column that a file lacks is null there. Files of one header are
@@ -92,15 +93,15 @@ def _read_csv(spark: SparkSession, path: str, table: str, recursive: bool, names
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), placed)
 
 
-def _read_format(spark: SparkSession, path: str, table: str, file_format: str, recursive: bool,
+def _read_format(spark: SparkSession, path: str | list[str], table: str, file_format: str, recursive: bool,
                  names: str) -> DataFrame:
-    """Raw rows of one format as text columns; ``names`` is a pattern for file names."""
+    """Raw rows of one format as text columns, of one path or of some files; ``names`` is a pattern for file names."""
     if file_format == "csv":
         return _read_csv(spark, path, table, recursive, names)
     reader = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", names)
     if file_format == "json":
         return reader.schema(schemas.raw_ddl(table)).json(path)
-    stored = reader.parquet(path)
+    stored = reader.parquet(*([path] if isinstance(path, str) else path))
     return stored.withColumns({name: F.col(name).cast("string") for name in schemas.ENTITY_TYPES[table]})
 
 
@@ -135,6 +136,22 @@ def read_raw(spark: SparkSession, path: str, table: str, file_format: str = "csv
     return rows
 
 
+def read_files(spark: SparkSession, files: Sequence[str], table: str) -> DataFrame:
+    """The raw rows of the named files, each by its extension, with the ``date_partition`` of its path.
+
+    Nothing beside these files is listed or opened.
+    """
+    declared, parts = list(schemas.ENTITY_TYPES[table]), []
+    for kind in FORMATS:
+        # characters that a path pattern would take for its own
+        if own := [re.sub(r"([\\*?\[\]{}])", r"\\\1", file) for file in files if file.endswith(f".{kind}")]:
+            rows = _read_format(spark, own, table, kind, False, "*")
+            parts.append(rows.select(*declared, date_from_path(file_path(rows)).alias("date_partition")))
+    if not parts:
+        raise ValueError("no file of an accepted format given")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def day_folder(day: date | str) -> str:
     return f"dt={str(day).replace('-', '/')}"
 

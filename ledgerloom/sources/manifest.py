@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
+from ledgerloom.sources.staging import folder_exists
 
 KEY_PATTERN = r"(?:^|/)bronze/([^/]+)/(?:dt=)?(\d{4})[/-](\d{2})[/-](\d{2})/(.+)$"
 
@@ -57,6 +58,28 @@ def file_manifest(spark: SparkSession, root: str,
     return classify(files, "key", tables).withColumn("size_mb", F.round(F.col("size_bytes") / 1048576, 3))
 
 
+# Files of one path, size and time of change are the same file.
+FILE_STATE = ["key", "size_bytes", "last_modified"]
+STORED = ("key string, size_bytes bigint, last_modified timestamp, table_name string, ingest_date string, filename string, "
+          "ext string, status string, size_mb double")
+
+
+def stored(spark: SparkSession, store: str) -> DataFrame:
+    """The files that earlier runs recorded; none before the first."""
+    return spark.read.schema(STORED).parquet(store) if folder_exists(spark, store) else spark.createDataFrame([], STORED)
+
+
+def unread(files: DataFrame, known: DataFrame) -> DataFrame:
+    """The accepted files of a manifest that ``known`` lacks in their present state."""
+    return files.filter(F.col("status") == ACCEPTED).join(known.select(*FILE_STATE), FILE_STATE, "left_anti")
+
+
+def record(files: DataFrame, store: str) -> None:
+    """Add files to the stored manifest."""
+    files.select("key", "size_bytes", "last_modified", "table_name", "ingest_date", "filename", "ext", "status",
+                 "size_mb").write.mode("append").parquet(store)
+
+
 def ingest_summary(manifest: DataFrame) -> DataFrame:
     """Files and bytes per table and status."""
     return (manifest.groupBy("table_name", "status")

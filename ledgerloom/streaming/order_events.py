@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom import schemas
 from ledgerloom.operators.clean import REJECT, quarantine, silver
 from ledgerloom.operators.dedup import latest_by_key
-from ledgerloom.sources.staging import folder_exists
+from ledgerloom.sources.staging import folder_exists, remove_folder
 
 BROKEN = "_corrupt_record"
 FILES_PER_BATCH = 1000
@@ -81,14 +81,30 @@ def stream_silver_orders(spark: SparkSession, source: str, target: str, checkpoi
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+_MERGES = "generation bigint, upto bigint"
+
+
+def _generation(spark: SparkSession, target: str) -> int | None:
+    """The newest merge that was committed; one that broke off has no row in ``merges``."""
+    if not folder_exists(spark, f"{target}/merges"):
+        return None
+    return spark.read.schema(_MERGES).parquet(f"{target}/merges").agg(F.max("generation")).first()[0]
+
+
+def _merged_path(target: str, generation: int) -> str:
+    return f"{target}/current/generation={generation}"
+
+
 def _streamed(spark: SparkSession, target: str) -> DataFrame:
-    """The latest version per order with its batch: the newest merged table and the batches after it."""
+    """The latest version per order with its batch: the newest merged table and all batches that lie beside it.
+
+    A batch that is also in the merged table changes nothing, as the latest of the same versions is the same.
+    """
     types = schemas.ddl({**schemas.SILVER_TYPES["orders"], "batch_id": "bigint"})
     versions = spark.read.schema(types).parquet(f"{target}/versions")
-    if folder_exists(spark, f"{target}/current"):
-        merged = spark.read.schema(f"{types}, upto bigint").parquet(f"{target}/current")
-        upto = merged.agg(F.max("upto")).scalar()
-        versions = versions.filter(F.col("batch_id") > upto).unionByName(merged.filter(F.col("upto") == upto).drop("upto"))
+    generation = _generation(spark, target)
+    if generation is not None:
+        versions = versions.unionByName(spark.read.schema(types).parquet(_merged_path(target, generation)))
     return latest_by_key(versions, ["order_id"], ["updated_at", "batch_id"])
 
 
@@ -98,13 +114,29 @@ def read_streamed_orders(spark: SparkSession, target: str) -> DataFrame:
 
 
 def merge_batches(spark: SparkSession, target: str) -> None:
-    """Fold all batches so far into one table of current orders; later reads take only newer batches beside it.
+    """Fold all batches so far into one table of current orders and remove them, so the store holds one version per order.
 
-    Run it between two runs of the stream. A batch that is replayed after it was merged would be left out.
+    Run it between two runs of the stream. The table counts from the moment its row in ``merges`` is written; before that,
+    readers see the earlier table and all batches, and the next merge begins anew. Batches are removed after that; one that is left, or
+    that the stream replays later, is read beside the table and folded in again. The table of the merge before stays for its readers.
     """
-    upto = spark.read.schema("batch_id bigint").parquet(f"{target}/versions").agg(F.max("batch_id")).first()[0]
-    if upto is not None:
-        _streamed(spark, target).write.mode("overwrite").parquet(f"{target}/current/upto={upto}")
+    batches = [row[0] for row in spark.read.schema("batch_id bigint").parquet(f"{target}/versions")
+               .select("batch_id").distinct().collect()]  # one number per batch since the last merge
+    if not batches:
+        return
+    before = _generation(spark, target)
+    generation = 0 if before is None else before + 1
+    _streamed(spark, target).hint("rebalance").write.mode("overwrite").parquet(_merged_path(target, generation))
+    commit_merge(spark, target, generation, max(batches))
+    for batch in batches:
+        remove_folder(spark, f"{target}/versions/batch_id={batch}")
+    if generation > 1:
+        remove_folder(spark, _merged_path(target, generation - 2))
+
+
+def commit_merge(spark: SparkSession, target: str, generation: int, upto: int) -> None:
+    """Make a merged table the one to read: one row in one file, there or not."""
+    spark.createDataFrame([(generation, upto)], _MERGES).coalesce(1).write.mode("append").parquet(f"{target}/merges")
 
 
 def read_batch_counts(spark: SparkSession, target: str) -> DataFrame:

@@ -418,6 +418,9 @@ select count(*) as total_records, count(*) filter (where status = 'accepted') as
     "backfill_range": "\nunion all ".join(
         f"select '{name}' as table_name, date_partition, count(*) as row_count from by_day_{name} "
         "group by date_partition" for name in schemas.ENTITIES),
+    "ingest_new_files": f"""
+select {', '.join(schemas.ENTITY_TYPES['orders'])}, order_date, order_hour, is_promoted,
+  date_partition as job_date, date_partition from by_day_orders""",
     "mixed_headers_range": f"""
 select {', '.join(name for name in schemas.ENTITY_TYPES['orders'] if name != 'promo_code')},
   case when cast(order_id as bigint) % 3 <> 2 then promo_code end as promo_code, order_date, order_hour,
@@ -437,6 +440,7 @@ where reject_reason is not null""",
     "run_flat_summary": "select * from flat_counts",
     "catalog_daily_revenue": "select * from gold_daily",
     "stream_silver_orders": _silver("orders"),
+    "stream_merged_orders": _silver("orders"),
     "stream_batch_counts": "select count(*) as received, cast(0 as bigint) as failed, count(*) as sent from raw_orders",
     "stream_bronze_orders": "select * from raw_orders",
 }

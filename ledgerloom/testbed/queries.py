@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.operators import analytics, clean, flat, gold, quality, report
 from ledgerloom.operators.rank import global_rank
-from ledgerloom.plans import batch, incremental
+from ledgerloom.plans import batch, incremental, ingest
 from ledgerloom.session import pin_time_zone
 from ledgerloom.sources import bronze, manifest, tables
 from ledgerloom.sources.staging import fresh_folder
@@ -237,6 +237,19 @@ def _ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count_if(F.col("size_bytes") == 0).alias("empty_files")))
 
 
+def _ingest_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean orders after two runs by the manifest: all dates but the last, then the last beside files that are not accepted."""
+    root = fresh_folder(spark, "ingest")
+    rows = raw_by_day(spark, sf_dir, "orders")
+    for part in (rows.filter(F.col("date_partition") < DAY), rows.filter(F.col("date_partition") == DAY)):
+        bronze.land_csv_days(part, root, "orders", "date_partition")
+        bronze.land_csv_days(part, root, "returns", "date_partition")
+        (part.select("order_id", F.col("date_partition").alias("dt")).hint("rebalance", "dt")
+         .write.mode("append").partitionBy("dt").text(f"{root}/bronze/orders"))
+        ingest.ingest(spark, root, root, f"{root}/manifest")
+    return tables.read_silver(spark, root, "orders").drop("processed_at")
+
+
 # Keys of files as events name them, one per order, with all kinds that occur.
 EVENT_KEYS = """
 case o_orderkey % 7 when 0 then concat('inbox/', cast(o_orderkey as string), '.csv')
@@ -281,6 +294,18 @@ def _stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("received").alias("received"), F.sum("failed").alias("failed"), F.sum("sent").alias("sent"))
 
 
+def _stream_merged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders streamed in two runs with a merge after each, and all events of the first run delivered again before the second."""
+    root = fresh_folder(spark, "merged")
+    orders = raw(spark, sf_dir, "orders")
+    later = F.expr("cast(order_id as bigint) % 2 = 1")
+    for part in (orders.filter(~later), orders.filter(~later).unionByName(orders.filter(later))):
+        bronze.land_json(part, f"{root}/events")
+        order_events.stream_silver_orders(spark, f"{root}/events", f"{root}/target", f"{root}/checkpoint", DAY).awaitTermination()
+        order_events.merge_batches(spark, f"{root}/target")
+    return order_events.read_streamed_orders(spark, f"{root}/target").drop("processed_at")
+
+
 def _stream_bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "stream")
     bronze.land_json(raw(spark, sf_dir, "orders"), f"{root}/events")
@@ -327,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "ingest_manifest": _ingest_manifest,
     "ingest_summary": _ingest_summary,
     "ingest_totals": _ingest_totals,
+    "ingest_new_files": _ingest_new_files,
     "mixed_headers_range": _mixed_headers_range,
     "rejected_text": _rejected_text,
     "backfill_range": _backfill_range,
@@ -335,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "run_flat_summary": _run_flat_summary,
     "catalog_daily_revenue": _catalog_daily_revenue,
     "stream_silver_orders": _stream_silver_orders,
+    "stream_merged_orders": _stream_merged_orders,
     "stream_batch_counts": _stream_batch_counts,
     "stream_bronze_orders": _stream_bronze_orders,
 }

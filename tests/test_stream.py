@@ -89,3 +89,46 @@ def test_raw_copy_keeps_broken_lines(spark, root):
     got = spark.read.parquet(f"{root}/bronze")
     assert rows(got, "order_id", "total", "_corrupt_record") == [(None, None, "no json"), ("o1", "12.5", None)]
     assert "ingest_date" in got.columns
+
+
+def test_a_merge_survives_replays_and_crashes(spark, root, monkeypatch):
+    def batch(*changes):
+        return raw(spark, "orders", *changes).selectExpr("*", "cast(null as string) _corrupt_record")
+    target = f"{root}/target"
+    write = stream.batch_writer(target, DAY, CLOCK)
+    first = batch({"status": "pending"}, {"order_id": "o2"})
+    write(first, 0)
+    write(batch({"status": "shipped", "updated_at": "2024-11-09"}), 1)
+    want = rows(stream.read_streamed_orders(spark, target))
+    assert {row[0]: row[2] for row in want} == {"o1": "shipped", "o2": "shipped"}
+
+    # Broken off before the commit: nothing is lost, and the next merge is complete.
+    def crash(*_):
+        raise OSError("lost")
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "commit_merge", crash)
+        try:
+            stream.merge_batches(spark, target)
+        except OSError:
+            pass
+    assert rows(stream.read_streamed_orders(spark, target)) == want
+    # Broken off between the commit and the removal of batches.
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "remove_folder", crash)
+        try:
+            stream.merge_batches(spark, target)
+        except OSError:
+            pass
+    assert rows(stream.read_streamed_orders(spark, target)) == want
+    stream.merge_batches(spark, target)
+    assert rows(stream.read_streamed_orders(spark, target)) == want
+    assert [name for name in os.listdir(f"{target}/versions") if name.startswith("batch_id")] == []
+
+    # A merged batch is replayed: alike, it changes nothing; with a newer version, that counts.
+    write(first, 0)
+    assert rows(stream.read_streamed_orders(spark, target)) == want
+    write(batch({"status": "delivered", "updated_at": "2024-12-24"}), 0)
+    for _ in range(4):
+        stream.merge_batches(spark, target)
+        assert {row[0]: row[2] for row in rows(stream.read_streamed_orders(spark, target))} == {"o1": "delivered", "o2": "shipped"}
+    assert len(os.listdir(f"{target}/current")) <= 3
