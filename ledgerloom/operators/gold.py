@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions.exact import money, rate, ratio, rounded
 from ledgerloom.operators.clean import instant
-from ledgerloom.operators.rank import global_rank, quantiles
+from ledgerloom.operators.rank import global_rank, quantiles, sketched_quantiles
 from ledgerloom.sources.staging import stage
 
 # Least sum of the three scores per segment.
@@ -74,11 +74,12 @@ def _score(value: str, quartiles: str, low_is_good: bool) -> Column:
 
 
 def customer_rfm(orders: DataFrame, customers: DataFrame, processing_date: str,
-                 clock: datetime | None = None, folder: str | None = None) -> DataFrame:
+                 clock: datetime | None = None, folder: str | None = None, sketched: bool = False) -> DataFrame:
     """Recency, frequency and monetary scores per customer, and the segment they add up to.
 
     The quartiles are exact, so the scores are the same on any cluster. They are a scalar subquery, so nothing
     passes through the driver program, and an empty input gives an empty table. ``folder`` is where tables are staged.
+    With ``sketched`` quartiles come from one aggregate of sketches instead, within their rank error.
     """
     today, last = F.lit(processing_date).cast("date"), F.max("order_date")
     per_customer = stage(_not_cancelled(orders).groupBy("customer_id").agg(
@@ -86,7 +87,8 @@ def customer_rfm(orders: DataFrame, customers: DataFrame, processing_date: str,
         rounded(F.sum(money(F.col("total"))), 2).alias("monetary"),
         last.alias("last_order_date"),
         F.date_diff(today, last).alias("recency_days")), "per-customer", folder)
-    bounds = quantiles(per_customer, ["frequency", "monetary", "recency_days"], [0.25, 0.5, 0.75], folder)
+    values, points = ["frequency", "monetary", "recency_days"], [0.25, 0.5, 0.75]
+    bounds = sketched_quantiles(per_customer, values, points) if sketched else quantiles(per_customer, values, points, folder)
     segment = F.lit(REST)
     for name, least in sorted(SEGMENTS.items(), key=lambda item: item[1]):
         segment = F.when(F.col("rfm_score") >= least, name).otherwise(segment)

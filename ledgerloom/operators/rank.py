@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.sources.staging import stage
 
+SKETCH_SIZE = 200
+
 
 def _before(slices: DataFrame, rows: str) -> DataFrame:
     """Add ``_before``, the rows of all earlier slices, to one row per slice."""
@@ -74,3 +76,17 @@ def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float], fo
             F.min(F.when(F.col("_upto") >= F.ceil(total * F.lit(point)), F.col("_value"))) for point in points)).alias(name))
         result = found if result is None else result.select("*", found.select(name).scalar().alias(name))
     return result
+
+
+def sketched_quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float], size: int = SKETCH_SIZE) -> DataFrame:
+    """Like ``quantiles``, of doubles and within a rank error, from one sketch per column in one aggregate.
+
+    Sketches of a fixed size are combined before the shuffle, so values are neither shuffled nor sorted. With the given size ranks
+    are mostly off by less than 0.02, whatever the number of rows; which value is taken may change from run to run.
+    """
+    wanted = F.array(*map(F.lit, points))
+    sketches = df.agg(*(F.kll_sketch_agg_double(F.col(name).cast("double"), size).alias(name) for name in columns),
+                      *(F.count(name).alias(f"_n_{at}") for at, name in enumerate(columns)))
+    none = F.array_repeat(F.lit(None).cast("double"), len(points))
+    return sketches.select(*(F.when(F.col(f"_n_{at}") > 0, F.kll_sketch_get_quantile_double(name, wanted)).otherwise(none).alias(name)
+                             for at, name in enumerate(columns)))

@@ -317,6 +317,14 @@ BODIES = {
     "gold_daily_revenue": "select * from gold_daily",
     "gold_customer_rfm": "select * from gold_rfm",
     "gold_product_performance": "select * from gold_products",
+    "rfm_sketched_quartiles": """
+select score, part, true as within from (values ('frequency'), ('monetary'), ('recency_days')) scores(score),
+  (values (cast(0.25 as double)), (cast(0.5 as double)), (cast(0.75 as double))) parts(part)
+where exists (select 1 from gold_rfm)""",
+    "unique_customers": """
+select c.country, count(distinct o.customer_id) as exact, true as within
+from silver_orders o left join silver_customers c on o.customer_id = c.customer_id
+where o.status <> 'cancelled' and o.customer_id is not null group by c.country""",
     "gold_geo_revenue": "select * from gold_geo",
     "gold_order_funnel": "select * from gold_funnel",
     **{f"flat_clean_{name}": f"select * from flat_{name}" for name in schemas.ENTITIES},

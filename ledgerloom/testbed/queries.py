@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.operators import analytics, clean, flat, gold, quality, report
-from ledgerloom.operators.rank import global_rank
+from ledgerloom.operators import analytics, clean, distinct, flat, gold, quality, report
+from ledgerloom.operators.rank import global_rank, sketched_quantiles
 from ledgerloom.plans import batch, incremental, ingest
 from ledgerloom.session import pin_time_zone
 from ledgerloom.sources import bronze, manifest, tables
@@ -49,6 +49,32 @@ def _rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.customer_rfm(_silver(spark, sf_dir, "orders"), _silver(spark, sf_dir, "customers"), DAY)
 
 
+def _rfm_sketched_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the quartiles of a sketch over the customer scores lie within a rank error of 0.05, from the ranks of all rows."""
+    names, points = ["frequency", "monetary", "recency_days"], [0.25, 0.5, 0.75]
+    scores = _rfm(spark, sf_dir).select(*names)
+    found = sketched_quantiles(scores, names, points).select(F.struct("*").alias("found"))
+    checks = []
+    for name in names:
+        for at, point in enumerate(points):
+            value = F.col(f"found.{name}")[at]
+            below, upto = (F.avg(F.when(test, 1.0).otherwise(0.0)) for test in (F.col(name) < value, F.col(name) <= value))
+            checks.append(F.struct(F.lit(name).alias("score"), F.lit(point).alias("part"),
+                                   ((below <= point + 0.05) & (upto >= point - 0.05)).alias("within")))
+    # one row of nine bounds
+    return scores.withColumn("found", found.scalar()).agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
+def _unique_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether distinct customers per country over all days, merged from sketches per day, come within 5 % of the exact count."""
+    orders, customers = _silver(spark, sf_dir, "orders"), _silver(spark, sf_dir, "customers")
+    merged = distinct.unique_customers(distinct.customer_sketches(orders, customers), "country")
+    exact = (orders.filter("status <> 'cancelled' and customer_id is not null").select("customer_id").distinct()
+             .join(customers.select("customer_id", "country"), "customer_id", "left").groupBy("country").agg(F.count(F.lit(1)).alias("exact")))
+    return (exact.join(merged.withColumnRenamed("country", "merged_country"), F.col("country").eqNullSafe(F.col("merged_country")), "left")
+            .select("country", "exact", (F.abs(F.col("unique_customers") - F.col("exact")) <= F.col("exact") * 0.05).alias("within")))
+
+
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.product_performance(_silver(spark, sf_dir, "order_items"), _silver(spark, sf_dir, "orders"),
                                     _silver(spark, sf_dir, "products"), DAY)
@@ -319,6 +345,8 @@ QUERIES: dict[str, Query] = {
     **{f"quarantine_{name}": _quarantine_query(name) for name in schemas.ENTITIES},
     "gold_daily_revenue": _gold_query(_daily, "daily_revenue_summary"),
     "gold_customer_rfm": _gold_query(_rfm, "customer_rfm"),
+    "rfm_sketched_quartiles": _rfm_sketched_quartiles,
+    "unique_customers": _unique_customers,
     "gold_product_performance": _gold_query(_performance, "product_performance"),
     "gold_geo_revenue": _gold_query(_geo, "geo_revenue"),
     "gold_order_funnel": _gold_query(_funnel, "order_status_funnel"),

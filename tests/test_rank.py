@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import rows
-from ledgerloom.operators.rank import global_rank, quantiles
+from ledgerloom.operators.rank import global_rank, quantiles, sketched_quantiles
 
 RANKS = {"by_v": "v", "by_u": "u"}
 
@@ -55,3 +55,17 @@ def test_quantiles_are_exact_on_any_cluster(spark, parts):
 
 def test_quantiles_of_nothing(spark):
     assert quantiles(frame(spark, 0), ["v"], [0.5]).first()["v"] == [None]
+
+
+@pytest.mark.parametrize("parts", [8, 64])
+def test_sketched_quantiles_keep_their_rank_error(spark, parts):
+    values = spark.range(100_003).selectExpr("cast(pmod(xxhash64(id), 9000) as double) v", "if(id % 3 = 0, 7, id) w", "cast(null as int) u")
+    found = sketched_quantiles(values.repartition(parts), ["v", "w", "u"], [0.25, 0.5, 0.75]).first()
+    for name in ("v", "w"):
+        rows_of = sorted(row[0] for row in values.select(name).collect())
+        for part, value in zip((0.25, 0.5, 0.75), found[name], strict=True):
+            assert sum(x < value for x in rows_of) / len(rows_of) <= part + 0.05
+            assert sum(x <= value for x in rows_of) / len(rows_of) >= part - 0.05
+    assert found["u"] == [None] * 3
+    plan = sketched_quantiles(values, ["v", "w"], [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Sort" not in plan
