@@ -1,7 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-An item of m characters may occur with up to k = m // 16 edits. Cut into k + 1 pieces, at least one
-piece of such an occurrence is unchanged. All pieces are found by one automaton in a pass over each
+An item of m characters may occur with up to k = m // 16 edits, one under 32 characters with none and as whole words
+only. Cut into k + 1 pieces, at least one piece of such an occurrence is unchanged. All pieces are found by one automaton in a pass over each
 text; around every hit the whole item is compared by Myers' bit-parallel edit distance.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm._frames import Workspace
 
 CHARS_PER_EDIT = 16
-MIN_CHARS = 32  # a shorter item is no evidence of a leak
+MIN_CHARS = 32  # a shorter item is looked for as it is, in whole words
 PASS_CHARS = 4_000_000  # characters of items that one pass over the documents looks for
 BLANK = " \t\n\v\f\r"
 _BLANK_TABLE = {ord(blank): " " for blank in BLANK}
@@ -50,9 +50,20 @@ def positions(text: str) -> list[int]:
     return places
 
 
+def budget_of(item: str) -> int:
+    """Edits with which the item may occur."""
+    return len(item) // CHARS_PER_EDIT if len(item) >= MIN_CHARS else 0
+
+
+def in_whole_words(text: str, start: int, end: int) -> bool:
+    """Whether a part of the text neither begins nor ends within a word."""
+    inside = (text[at - 1:at + 1] for at in (start, end) if 0 < at < len(text))
+    return not any(pair.isalnum() for pair in inside)
+
+
 def pieces(item: str) -> list[tuple[int, str]]:
     """The item cut into its edit budget plus one pieces, each with its place."""
-    count = len(item) // CHARS_PER_EDIT + 1
+    count = budget_of(item) + 1
     bounds = [len(item) * i // count for i in range(count + 1)]
     return [(low, item[low:high]) for low, high in zip(bounds, bounds[1:], strict=False)]
 
@@ -111,8 +122,12 @@ def leaks_in(text: str, items: list[tuple[int, str]], automaton: ahocorasick.Aut
     for last, (length, places) in automaton.iter(plain):
         for index, at in places:
             item = items[index][1]
-            budget = len(item) // CHARS_PER_EDIT
+            budget = budget_of(item)
             start = last + 1 - length - at
+            if len(item) < MIN_CHARS:
+                if index not in best and in_whole_words(plain, start, last + 1):
+                    best[index] = (0, start, last + 1)
+                continue
             zone = start // (budget + 1)
             if zone in tried.setdefault(index, set()) or index in best and not best[index][0]:
                 continue
@@ -132,15 +147,15 @@ def leaks_in(text: str, items: list[tuple[int, str]], automaton: ahocorasick.Aut
 
 
 def item_passes(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items in normal form, as many at once as PASS_CHARS allows; short ones are left out."""
-    sized = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(F.length("text") >= MIN_CHARS)
+    """Items in normal form, as many at once as PASS_CHARS allows; null and blank ones are left out."""
+    sized = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where(F.length("text") > 0)
     total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = max(1, math.ceil(total / PASS_CHARS))
     for number in range(passes):
         part = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number)
         items = sorted(((row["item_id"], normalised(row["text"])) for row in part.toLocalIterator()),
                        key=lambda item: (item[0] is not None, item[0] or 0, item[1]))
-        if items := [item for item in items if len(item[1]) >= MIN_CHARS]:
+        if items := [item for item in items if item[1]]:
             yield items
 
 
@@ -164,7 +179,7 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Texts are compared in lower case (A-Z) with blanks collapsed. ``distance`` is that of the item's best match,
     the first of equals; ``start`` and ``end`` are its code points in the text. ``docs`` has ``doc_id`` and
     ``text``, ``benchmark`` has ``item_id`` and ``text``. Null and empty texts hold nothing; items under MIN_CHARS
-    characters, null ones included, are no evidence. Repeated items and rows are all reported; a null doc_id stays null.
+    characters are found in whole words and without edits only, with distance 0; null and blank items are in no document. Repeated items and rows are all reported; a null doc_id stays null.
     An empty table on either side gives no rows. A benchmark beyond PASS_CHARS is looked for in several passes.
     """
     Workspace(docs.sparkSession, "leaks")

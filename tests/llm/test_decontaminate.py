@@ -81,11 +81,21 @@ def test_leaks_of_a_table(spark, docs):
     frame = docs(texts, [*range(8), None])
     items = benchmark(spark, [(1, ITEM), (1, ITEM), (2, None), (3, ""), (4, "clean"), (None, "z" * 40)])
     rows = sorted(((row["doc_id"], row["item_id"], row["distance"]) for row in benchmark_leaks(frame, items).collect()), key=str)
-    assert rows == sorted([(doc_id, 1, distance) for doc_id, distance in [(3, 0), (4, 0), (5, 1), (7, 0), (None, 0)] for _ in range(2)], key=str)
+    assert rows == sorted([(doc_id, 1, distance) for doc_id, distance in [(3, 0), (4, 0), (5, 1), (7, 0), (None, 0)] for _ in range(2)] + [(2, 4, 0)], key=str)
     spans = {row["doc_id"]: texts[row["doc_id"]][row["start"]:row["end"]] for row in benchmark_leaks(frame, items).where("doc_id is not null").collect()}
     assert spans[3] == ITEM.upper() and spans[4] == texts[4] and spans[5] == texts[5] and spans[7] == ITEM
     clean = without_leaks(frame, items)
-    assert clean.columns == frame.columns and sorted(row["doc_id"] for row in clean.collect()) == [0, 1, 2, 6]
+    assert clean.columns == frame.columns and sorted(row["doc_id"] for row in clean.collect()) == [0, 1, 6]
+
+
+def test_short_items_are_found_as_whole_words(spark, docs):
+    texts = ["one Short  item\nhere", "one short items", "a short itam", "ashort item", "short item", "(short item)", "it is 42", "it is 421", "x - 7 y", "é", "né"]
+    items = benchmark(spark, [(1, "Short item"), (2, "is 42"), (3, "- 7"), (4, "é"), (5, " \t"), (6, "short item " * 2), (6, "it " + "w" * 28)])
+    rows = sorted(tuple(row)[:3] for row in benchmark_leaks(docs(texts), items).collect())
+    assert rows == [(0, 1, 0), (4, 1, 0), (5, 1, 0), (6, 2, 0), (8, 3, 0), (9, 4, 0)]
+    spans = {row["doc_id"]: texts[row["doc_id"]][row["start"]:row["end"]] for row in benchmark_leaks(docs(texts), items).collect()}
+    assert spans[0] == "Short  item" and spans[5] == "short item"
+    assert [row["doc_id"] for row in without_leaks(docs(texts), items).orderBy("doc_id").collect()] == [1, 2, 3, 7, 10]
 
 
 def test_several_passes_give_the_same(spark, docs, monkeypatch):
