@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from ledgerloom.sources.bronze import read_csv, write_text
 from ledgerloom.sources.staging import remove_folder
 
 COUNT_TYPES = "layer string, table_name string, row_count bigint"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # folder of rows without a value to partition by
+PARTITIONS_AT_ONCE = 500
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -33,17 +36,23 @@ def write_cleaned(df: DataFrame, root: str, table: str, days: Sequence[date | st
     that has none any more is removed, which an overwrite by partition alone would leave behind.
     A rebalance by kind and date gives each few files of even size.
     """
+    written = _write_cleaned(df, root, table, days)
+    return {kind: sum(rows for (own, _), rows in written.items() if own == kind) for kind in (CLEAN, REJECTED)}
+
+
+def _write_cleaned(df: DataFrame, root: str, table: str, days: Sequence[date | str]) -> dict[tuple[str, str], int]:
+    """Rows written per kind and date."""
     seen, path = Observation(), f"{root}/silver/{table}"
     parts = [(kind, str(day)) for kind in (CLEAN, REJECTED) for day in days]
     counts = [F.count_if((F.col("kind") == kind) & (F.col("date_partition") == day)).alias(f"{kind} {day}") for kind, day in parts]
     rows = df.hint("rebalance", "kind", "date_partition") if len(days) > 1 else df
     (rows.observe(seen, *counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("kind", "date_partition").parquet(path))
-    written = seen.get
-    for kind, day in parts:
-        if written[f"{kind} {day}"] == 0:
+    written = {(kind, day): seen.get[f"{kind} {day}"] for kind, day in parts}
+    for (kind, day), count in written.items():
+        if count == 0:
             remove_folder(df.sparkSession, f"{path}/kind={kind}/date_partition={day}")
-    return {kind: sum(written[f"{kind} {day}"] for day in map(str, days)) for kind in (CLEAN, REJECTED)}
+    return written
 
 
 def silver_path(root: str, table: str, kind: str = CLEAN) -> str:
@@ -82,20 +91,22 @@ def write_gold(df: DataFrame, root: str, table: str) -> int:
     other tables may have any number of rows per partition; there a rebalance brings the rows of
     a partition together and splits those that grow too large.
     """
-    return _write_gold(df, root, table, "static")
+    return _write_gold(df, root, table, "static")[0]
 
 
-def _write_gold(df: DataFrame, root: str, table: str, overwrite: str) -> int:
+def _write_gold(df: DataFrame, root: str, table: str, overwrite: str) -> tuple[int, set[str]]:
+    """Rows written, and the values of the partitions they are in."""
     partition, order = schemas.GOLD_LAYOUT[table]
     if partition == "order_date":
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = df.repartition(tasks, partition).sortWithinPartitions(*order)
     else:
         rows = df.hint("rebalance", partition)
-    rows, seen = counted(rows)
+    seen, value = Observation(), F.coalesce(F.nullif(F.col(partition).cast("string"), F.lit("")), F.lit(NO_VALUE))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(value).alias("values"))  # dates or categories
     (rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
      .partitionBy(partition).parquet(f"{root}/gold/{table}"))
-    return seen.get["rows"]
+    return seen.get["rows"], set(seen.get["values"])
 
 
 def replace_gold_dates(df: DataFrame, root: str, table: str, dates: DataFrame) -> int:
@@ -105,9 +116,9 @@ def replace_gold_dates(df: DataFrame, root: str, table: str, dates: DataFrame) -
     """
     spark = df.sparkSession
     emptied = dates.select("order_date").exceptAll(df.select("order_date").distinct()).select(
-        F.coalesce(F.col("order_date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
+        F.coalesce(F.col("order_date").cast("string"), F.lit(NO_VALUE)))
     folders = [row[0] for row in emptied.collect()]  # dates of a calendar
-    rows = _write_gold(df, root, table, "dynamic")
+    rows, _ = _write_gold(df, root, table, "dynamic")
     for folder in folders:
         remove_folder(spark, f"{root}/gold/{table}/order_date={folder}")
     return rows
@@ -140,12 +151,67 @@ def read_flat_gold(spark: SparkSession, root: str, table: str, day: date | str)
 def create_table(spark: SparkSession, database: str, table: str, types: dict[str, str],
                  partition: str, location: str) -> None:
     """Drop and create an external Parquet table over written files and find its partitions."""
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+    declare_table(spark, database, table, types, partition, location)
+    spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+
+
+def declare_table(spark: SparkSession, database: str, table: str, types: dict[str, str], partition: str, location: str) -> None:
+    """An external Parquet table, where there is none of the name, that knows of no partition yet."""
     ordered = {name: kind for name, kind in types.items() if name != partition}
     ordered[partition] = types[partition]
-    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-    spark.sql(f"CREATE TABLE {database}.{table} ({schemas.ddl(ordered)}) USING parquet "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({schemas.ddl(ordered)}) USING parquet "
               f"PARTITIONED BY ({partition}) LOCATION '{location}'")
-    spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+
+
+def registered_partitions(spark: SparkSession, database: str, table: str) -> set[str]:
+    """Values of the partitions the catalog knows of; no file is listed."""
+    return {unquote(row[0].split("=", 1)[1]) for row in spark.sql(f"SHOW PARTITIONS {database}.{table}").collect()}
+
+
+def _alter(spark: SparkSession, database: str, table: str, partition: str, values: Iterable[str], action: str, joiner: str) -> None:
+    ordered = sorted(values)
+    for low in range(0, len(ordered), PARTITIONS_AT_ONCE):
+        texts = (value.replace("\\", "\\\\").replace("'", "\\'") for value in ordered[low:low + PARTITIONS_AT_ONCE])
+        specs = joiner.join(f"PARTITION ({partition}={'null' if text == NO_VALUE else chr(39) + text + chr(39)})" for text in texts)
+        spark.sql(f"ALTER TABLE {database}.{table} {action} {specs}")
+
+
+def add_partitions(spark: SparkSession, database: str, table: str, partition: str, values: Iterable[str]) -> None:
+    """Make the catalog know partitions; those it knows stay."""
+    _alter(spark, database, table, partition, values, "ADD IF NOT EXISTS", " ")
+
+
+def drop_partitions(spark: SparkSession, database: str, table: str, partition: str, values: Iterable[str]) -> None:
+    """Make the catalog forget partitions; files of an external table stay."""
+    _alter(spark, database, table, partition, values, "DROP IF EXISTS", ", ")
+
+
+def publish_gold(df: DataFrame, root: str, table: str, database: str) -> int:
+    """Replace a business table and its partitions in the catalog by what was written; gives the row count.
+
+    The partitions are known from the write itself, so the table's folder is never listed, however many dates it holds.
+    """
+    spark, partition = df.sparkSession, schemas.GOLD_LAYOUT[table][0]
+    rows, written = _write_gold(df, root, table, "static")
+    declare_table(spark, database, table, schemas.GOLD_TYPES[table], partition, f"{root}/gold/{table}")
+    known = registered_partitions(spark, database, table)
+    drop_partitions(spark, database, table, partition, known - written)
+    add_partitions(spark, database, table, partition, written - known)
+    spark.catalog.refreshTable(f"{database}.{table}")
+    return rows
+
+
+def publish_cleaned(df: DataFrame, root: str, table: str, days: Sequence[date | str], database: str) -> dict[str, int]:
+    """``write_cleaned`` with the dates that have clean rows made known to the catalog and those left without any taken from it."""
+    spark, partition = df.sparkSession, "date_partition"
+    written = _write_cleaned(df, root, table, days)
+    declare_table(spark, database, table, schemas.SILVER_TYPES[table], partition, silver_path(root, table))
+    clean = {day: rows for (kind, day), rows in written.items() if kind == CLEAN}
+    drop_partitions(spark, database, table, partition, [day for day, rows in clean.items() if not rows])
+    add_partitions(spark, database, table, partition, [day for day, rows in clean.items() if rows])
+    spark.catalog.refreshTable(f"{database}.{table}")
+    return {CLEAN: sum(clean.values()), REJECTED: sum(written.values()) - sum(clean.values())}
 
 
 def create_database(spark: SparkSession, name: str, comment: str, location: str) -> None:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ledgerloom import schemas
 from ledgerloom.operators.clean import REJECT, quarantine, silver
@@ -16,6 +18,10 @@ from ledgerloom.sources.staging import folder_exists, remove_folder
 
 BROKEN = "_corrupt_record"
 FILES_PER_BATCH = 1000
+ROWS_PER_FILE = 100_000
+SENT, FAILED = "sent", "failed"
+COUNTS = "received bigint, failed bigint, sent bigint, batch_id bigint"
+SINK_COUNTS = "batch_id bigint, received bigint, failed bigint, sent bigint"
 
 
 def read_events(spark: SparkSession, source: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -35,6 +41,62 @@ def stream_to_bronze(spark: SparkSession, source: str, target: str, checkpoint:
             .trigger(availableNow=True).start())
 
 
+class BatchCounts(StreamingQueryListener):
+    """Events received and failed per batch of one named stream, as they were observed on their way to its sink."""
+
+    def __init__(self, name: str):
+        self.name, self.run, self.batches, self.ended = name, None, {}, Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.name)
+        if event.progress.runId == self.run and seen is not None and seen["received"]:
+            self.batches[event.progress.batchId] = (seen["received"], seen["failed"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.run:
+            self.ended.set()
+
+
+def stream_to_json(spark: SparkSession, source: str, target: str, checkpoint: str, rows_per_file: int = ROWS_PER_FILE,
+                   files_per_batch: int = FILES_PER_BATCH, patience: float = 60.0) -> DataFrame:
+    """Copy events into JSON files of at most ``rows_per_file`` rows, each event once; gives the counts per batch of this run.
+
+    Events lie under ``state=sent``, lines that are no JSON under ``state=failed``, so nothing is lost. Counts are observed while the sink
+    writes and reach the driver as one row per batch with the progress of the stream; the files are not read for them. ``patience`` is how
+    many seconds the last progress may take to arrive once the stream has ended; it is an error if it does not. The stream runs until no
+    file is left and resumes later.
+    """
+    name = f"events_{uuid.uuid4().hex}"
+    counts, failed = BatchCounts(name), F.col(BROKEN).isNotNull()
+    events = (read_events(spark, source, files_per_batch).withColumn("state", F.when(failed, FAILED).otherwise(SENT))
+              .observe(name, F.count(F.lit(1)).alias("received"), F.count_if(failed).alias("failed")))
+    spark.streams.addListener(counts)
+    try:
+        (events.writeStream.format("json").queryName(name).partitionBy("state").option("path", target)
+         .option("maxRecordsPerFile", rows_per_file).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+        if not counts.ended.wait(patience):
+            raise TimeoutError("the stream's progress did not arrive")
+    finally:
+        spark.streams.removeListener(counts)
+    rows = [(batch, received, broken, received - broken) for batch, (received, broken) in sorted(counts.batches.items())]
+    return spark.createDataFrame(rows, SINK_COUNTS)
+
+
+def read_json_events(spark: SparkSession, target: str, state: str = SENT) -> DataFrame:
+    """Events that ``stream_to_json`` copied, or the lines that failed as ``_corrupt_record``; files of batches that broke off are not read."""
+    types = f"{schemas.raw_ddl('orders')}, {BROKEN} string, state string"
+    rows = spark.read.option("columnNameOfCorruptRecord", "_unread").schema(types).json(target).where(F.col("state") == state).drop("state")
+    return rows.select(BROKEN) if state == FAILED else rows.drop(BROKEN)
+
+
 def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Replace the partition of this batch, so a repeated batch leaves one copy."""
     (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -141,5 +203,4 @@ def commit_merge(spark: SparkSession, target: str, generation: int, upto: int) -
 
 def read_batch_counts(spark: SparkSession, target: str) -> DataFrame:
     """Events received, sent on and failed per batch."""
-    return spark.read.schema("received bigint, failed bigint, sent bigint, batch_id bigint").parquet(
-        f"{target}/counts")
+    return spark.read.schema(COUNTS).parquet(f"{target}/counts")

@@ -447,10 +447,23 @@ where reject_reason is not null""",
     "run_summary": "select * from table_counts",
     "run_flat_summary": "select * from flat_counts",
     "catalog_daily_revenue": "select * from gold_daily",
+    "catalog_pruned": "\nunion all ".join(
+        f"select '{name}' as table_name, count(*) as row_count, count(distinct {column}) as partitions_read from {view} where {asked}"
+        for name, column, view, asked in [
+            ("daily_revenue_summary", "order_date", "gold_daily", "order_date between date '1996-02-01' and date '1996-03-31'"),
+            ("customer_rfm", "1", "gold_rfm", "true"),
+            ("product_performance", "category", "gold_products", "category like 'P%'"),
+            ("geo_revenue", "order_date", "gold_geo", "order_date between date '1999-12-15' and date '2000-01-14'"),
+            ("order_status_funnel", "order_date", "gold_funnel", "order_date < date '1995-02-01'"),
+            ("orders", "date_partition", "by_day_orders", "date_partition >= '2001-07-26'")]),
     "stream_silver_orders": _silver("orders"),
     "stream_merged_orders": _silver("orders"),
     "stream_batch_counts": "select count(*) as received, cast(0 as bigint) as failed, count(*) as sent from raw_orders",
     "stream_bronze_orders": "select * from raw_orders",
+    "stream_json_counts": """
+select count(*) as received, count(*) filter (where cast(order_id as bigint) % 89 = 0) as failed,
+  count(*) filter (where cast(order_id as bigint) % 89 <> 0) as sent, sent as stored, failed as stored_lines from raw_orders""",
+    "stream_json_orders": "select * from raw_orders where cast(order_id as bigint) % 89 <> 0",
 }
 
 

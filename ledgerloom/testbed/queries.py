@@ -251,6 +251,39 @@ def _catalog_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.{name}").select(*columns)
 
 
+# What is asked of every table of the catalog: some of its partitions.
+ASKED = {
+    "daily_revenue_summary": "order_date between date '1996-02-01' and date '1996-03-31'",
+    "customer_rfm": f"date_partition = '{DAY}'",
+    "product_performance": "category like 'P%'",
+    "geo_revenue": "order_date between date '1999-12-15' and date '2000-01-14'",
+    "order_status_funnel": "order_date < date '1995-02-01'",
+    "orders": f"date_partition >= '{AS_OF - timedelta(days=6)}'",
+}
+
+
+def _catalog_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of some partitions of the six tables, queried by name, and the number of partition folders whose files were read for them."""
+    root = fresh_folder(spark, "published")
+    run = root.rsplit("-", 1)[-1]  # databases of this run alone
+    gold_base, silver_base = f"retail_gold_{run}", f"retail_silver_{run}"
+    tables.create_database(spark, gold_base, "Business tables", f"{root}/gold")
+    tables.create_database(spark, silver_base, "Clean tables", f"{root}/silver")
+    for name, built in {"daily_revenue_summary": _daily, "customer_rfm": _rfm, "product_performance": _performance,
+                        "geo_revenue": _geo, "order_status_funnel": _funnel}.items():
+        tables.publish_gold(built(spark, sf_dir), root, name, gold_base)
+    days = [AS_OF - timedelta(days=back) for back in range(SPREAD_DAYS)]
+    tables.publish_cleaned(clean.cleaned("orders", raw_by_day(spark, sf_dir, "orders"), None), root, "orders", days, silver_base)
+    result = None
+    for name, asked in ASKED.items():
+        rows = spark.table(f"{silver_base if name == 'orders' else gold_base}.{name}").where(asked)
+        folders = {path.rsplit("/", 2)[-2] for path in rows.inputFiles()}  # after pruning
+        counted = rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count", F.lit(len(folders)).cast("bigint").alias("partitions_read"))
+        result = counted if result is None else result.unionByName(counted)
+    return result
+
+
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "files")
     _land_by_day(spark, sf_dir, root)
@@ -340,6 +373,33 @@ def _stream_bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/bronze").select(*schemas.ENTITY_TYPES["orders"])
 
 
+BROKEN_LINE = "cast(order_id as bigint) % 89 = 0"  # orders whose line in the event files breaks off
+
+
+def _json_sink(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Counts and target of a stream into JSON files, from lines some of which break off."""
+    root = fresh_folder(spark, "sink")
+    orders = raw(spark, sf_dir, "orders")
+    line = F.to_json(F.struct(*orders.columns))
+    (orders.select(F.when(F.expr(BROKEN_LINE), F.substring(line, 1, 25)).otherwise(line).alias("value"))
+     .repartition(6).write.text(f"{root}/events"))
+    counts = order_events.stream_to_json(spark, f"{root}/events", f"{root}/json", f"{root}/checkpoint", 500, files_per_batch=2)
+    return counts, f"{root}/json"
+
+
+def _stream_json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events over all batches as the stream counted them, beside those in the files; the split into batches depends on the files."""
+    counts, target = _json_sink(spark, sf_dir)
+    stored = order_events.read_json_events(spark, target).agg(F.count(F.lit(1)).alias("stored"))
+    lines = order_events.read_json_events(spark, target, order_events.FAILED).agg(F.count(F.lit(1)).alias("stored_lines"))
+    totals = counts.agg(*(F.sum(name).alias(name) for name in ("received", "failed", "sent")))
+    return totals.select("*", stored.scalar().alias("stored"), lines.scalar().alias("stored_lines"))
+
+
+def _stream_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_events.read_json_events(spark, _json_sink(spark, sf_dir)[1])
+
+
 QUERIES: dict[str, Query] = {
     **{f"silver_{name}": _silver_query(name) for name in schemas.ENTITIES},
     **{f"quarantine_{name}": _quarantine_query(name) for name in schemas.ENTITIES},
@@ -388,10 +448,13 @@ QUERIES: dict[str, Query] = {
     "run_summary": _run_summary,
     "run_flat_summary": _run_flat_summary,
     "catalog_daily_revenue": _catalog_daily_revenue,
+    "catalog_pruned": _catalog_pruned,
     "stream_silver_orders": _stream_silver_orders,
     "stream_merged_orders": _stream_merged_orders,
     "stream_batch_counts": _stream_batch_counts,
     "stream_bronze_orders": _stream_bronze_orders,
+    "stream_json_counts": _stream_json_counts,
+    "stream_json_orders": _stream_json_orders,
 }
 
 

@@ -132,3 +132,24 @@ def test_a_merge_survives_replays_and_crashes(spark, root, monkeypatch):
         stream.merge_batches(spark, target)
         assert {row[0]: row[2] for row in rows(stream.read_streamed_orders(spark, target))} == {"o1": "delivered", "o2": "shipped"}
     assert len(os.listdir(f"{target}/current")) <= 3
+
+
+def test_json_sink_counts_failed_lines_over_restarts(spark, root):
+    os.makedirs(f"{root}/events")
+
+    def sink():
+        return {row["batch_id"]: tuple(row)[1:] for row in stream.stream_to_json(
+            spark, f"{root}/events", f"{root}/json", f"{root}/checkpoint", rows_per_file=2, files_per_batch=1).collect()}
+    for at in range(2):
+        with open(f"{root}/events/{at}.json", "w") as file:
+            file.write("".join(f'{{"order_id": "o{at}{line}", "total": 12.5}}\n' for line in range(5)) + "no json\n" * at)
+    first = sink()
+    assert sorted(first) == [0, 1] and sorted(first.values()) == [(5, 0, 5), (6, 1, 5)]
+    with open(f"{root}/events/2.json", "w") as file:
+        file.write('{"order_id"\n{"order_id": "o20"}\n')
+    assert sink() == {2: (2, 1, 1)} and sink() == {}
+    sent = stream.read_json_events(spark, f"{root}/json")
+    assert rows(sent, "order_id") == [(f"o{at}{line}",) for at in range(2) for line in range(5)] + [("o20",)]
+    assert rows(stream.read_json_events(spark, f"{root}/json", stream.FAILED)) == [("no json",), ('{"order_id"',)]
+    sizes = [row["count"] for row in sent.groupBy("_metadata.file_path").count().collect()]
+    assert max(sizes) <= 2 and len(sizes) == 7
