@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm._bits import key_filter, may_hold
 from ledgerloom.llm._frames import Workspace, components
 from ledgerloom.llm._words import as_bytes, shingle_sets
 
@@ -34,7 +35,8 @@ MARK = VARIABLE.encode()
 LONG = ((20, 2), (10, 5))  # a line of so many tokens word for word recurs in so many unrelated documents
 SKETCH = 64  # least shingle hashes that stand for the rest of a document
 COPY = 0.25  # documents whose rests share that part of their shingles are near copies; unrelated ones mostly share under 0.1
-HASHES, BANDS = 64, 16  # least values that stand for a text's shingles; bands of which one must agree to compare two texts
+PART_BITS = 6
+HASHES, BANDS = 1 << PART_BITS, 16  # least values that stand for a text's shingles; bands of which one must agree to compare two texts
 FAMILY = 0.6  # texts with that part of their shingles in common are of one family
 MIN_WORDS = 5  # texts of fewer words have no shingle and are families of their own
 _DIGIT = re.compile(rb"[0-9]")
@@ -84,43 +86,57 @@ def repeats_of(line: bytes, tokens: list[bytes], least: int, fixed: float) -> It
         yield key, key, whole
 
 
-def _lines(docs: DataFrame, texts: bool, least: int, fixed: float) -> DataFrame:
-    """Leaf and hash of every different masked line of a document, with its tokens if wanted.
+def _lines(docs: DataFrame, least: int, fixed: float, leaves: np.ndarray | None = None) -> DataFrame:
+    """Leaf and hash of every different masked line of a document; with a filter of ``leaves`` those it lets through, with their tokens.
 
     What can recur without a template has rows of its own besides, with a key as leaf, its least number of
     documents and no tokens.
     """
+    texts = leaves is not None
+    shared = docs.sparkSession.sparkContext.broadcast(leaves) if texts else None
+
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column("doc").to_pylist(), as_bytes(batch.column("text")), strict=True):
+            keys, found, sizes = [], [], []
+            for text in as_bytes(batch.column("text")):
                 seen, own = {}, set()
                 for line in set(text.split(b"\n")):
                     if tokens := masked(line):
                         seen[line_hash(tokens)] = tokens
                         own.update(repeats_of(line, tokens, least, fixed))
-                rows += [(leaf_of(tokens), line, doc, None, b" ".join(tokens) if texts else None) for line, tokens in seen.items()]
-                rows += [(key, line, doc, count, None) for key, line, count in own]
-            columns = [pa.array([row[at] for row in rows], pa.int64()) for at in range(3)]
-            columns.append(pa.array([row[3] for row in rows], pa.int32()))
-            names = ["leaf", "line", "doc", "least"]
+                keys += [leaf_of(tokens) for tokens in seen.values()]
+                found += [(line, None, tokens) for line, tokens in seen.items()]
+                keys += [key for key, _, _ in own]
+                found += [(line, count, None) for _, line, count in own]
+                sizes.append(len(seen) + len(own))
+            leaf, doc = np.array(keys, np.int64), np.repeat(batch.column("doc").to_numpy(), sizes)
             if texts:
-                columns.append(pa.array([row[4] and row[4].decode("utf-8", "replace") for row in rows], pa.string()))
-                names.append("masked")
-            yield pa.RecordBatch.from_arrays(columns, names)
+                passed = may_hold(shared.value, leaf)
+                leaf, doc, found = leaf[passed], doc[passed], [found[at] for at in np.flatnonzero(passed)]
+            columns = [pa.array(leaf), pa.array([row[0] for row in found], pa.int64()), pa.array(doc),
+                       pa.array([row[1] for row in found], pa.int32())]
+            if texts:
+                columns.append(pa.array([row[2] and b" ".join(row[2]).decode("utf-8", "replace") for row in found], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["leaf", "line", "doc", "least", "masked"][:len(columns)])
     return docs.select("doc", "text").mapInArrow(over, TEXTS if texts else LINES)
 
 
-_FACTORS = np.random.default_rng(20240607).integers(1, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-_AT_ONCE = 4096  # shingles times HASHES numbers are held at once
+# The order in which an empty part borrows from others.
+_LENDERS = np.stack([np.random.default_rng([20240607, place]).permutation(HASHES) for place in range(HASHES)])
+_BOUNDS = np.arange(HASHES, dtype=np.uint64) << np.uint64(64 - PART_BITS)
 
 
 def signature(values: np.ndarray) -> bytes:
-    """The least value of a text's shingles under each of HASHES multipliers, 32 bits each."""
-    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for low in range(0, len(values), _AT_ONCE):
-        np.minimum(least, (values[low:low + _AT_ONCE, None] * _FACTORS).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32).tobytes()
+    """The least of a text's sorted shingles in each of HASHES parts of their range, 32 bits each.
+
+    A part without one borrows from the first part that has one, in an order of its own, so two texts agree in a
+    place with the probability of what they share, also where they have few shingles.
+    """
+    first = np.searchsorted(values, _BOUNDS)
+    filled = np.diff(first, append=len(values)) > 0
+    lender = np.take_along_axis(_LENDERS, filled[_LENDERS].argmax(axis=1)[:, None], axis=1)[:, 0]
+    source = np.where(filled, np.arange(HASHES), lender)
+    return (values[first[source]] << np.uint64(PART_BITS) >> np.uint64(32)).astype(np.uint32).tobytes()
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
@@ -188,8 +204,13 @@ def _rest_sketches(docs: DataFrame, held: DataFrame, least: int, fixed: float) -
             yield pa.RecordBatch.from_arrays([pa.array([row[at] for row in rows], kind) for at, kind in enumerate(kinds)],
                                              ["leaf", "line", "least", "doc", "sketch"])
     keys = held.groupBy("doc").agg(F.collect_set("leaf").alias("keys"))
-    # a merge join whatever the size, as the last one
-    return docs.select("doc", "text").join(keys.hint("merge"), "doc").mapInArrow(
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(held.select("doc"), "doc"))
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(shared.value, batch.column("doc").to_numpy())))
+    # a merge join whatever the size, as the last one, for few texts but those wanted
+    return docs.select("doc", "text").mapInArrow(holding, "doc bigint, text string").join(keys.hint("merge"), "doc").mapInArrow(
         over, "leaf bigint, line bigint, least int, doc bigint, sketch array<bigint>")
 
 
@@ -230,10 +251,10 @@ def _unrelated_repeats(work: Workspace, docs: DataFrame, held: DataFrame, least:
 def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS, fixed: float = MIN_FIXED) -> DataFrame:
     """``leaf, line, doc`` of the lines that recur, by template or word for word, for documents with ``doc`` and ``text``."""
     # no more families than documents, so what too few documents hold is out
-    counts = (_lines(docs, False, least, fixed).select("leaf", "doc", "least").distinct().groupBy("leaf")
+    counts = (_lines(docs, least, fixed).select("leaf", "doc", "least").distinct().groupBy("leaf")
               .agg(F.count(F.lit(1)).alias("n"), F.any_value("least").alias("least")))
     leaves = work.stage(counts.where(F.col("n") >= F.coalesce("least", F.lit(least))).select("leaf"), "leaves")
-    found = work.stage(_lines(docs, True, least, fixed).join(leaves, "leaf", "left_semi"), "lines")
+    found = work.stage(_lines(docs, least, fixed, key_filter(leaves, "leaf")).join(leaves, "leaf", "left_semi"), "lines")
     held = work.stage(found.select("leaf", "line", "doc", "least", F.col("masked").isNotNull().alias("whole"))
                       .join(families(work, docs), "doc"), "held")
     repeats = _unrelated_repeats(work, docs, held.where("not whole").drop("whole"), least, fixed)
@@ -275,14 +296,18 @@ def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed:
             found = []
             texts = [value if value is None else value.encode("utf-8", "surrogatepass") for value in batch.column("text").to_pylist()]
             for text, dropped in zip(texts, batch.column("lines").to_pylist(), strict=True):
-                gone, kept, count = set(dropped or ()), [], 0
-                for line in (text or b"").split(b"\n"):
+                if not text or not dropped:
+                    found.append((sum(not line.isspace() for line in filter(None, (text or b"").split(b"\n"))), 0,
+                                  None if text is None else text.decode("utf-8", "replace")))
+                    continue
+                gone, kept, count = set(dropped), [], 0
+                lines = text.split(b"\n")
+                for line in lines:
                     tokens = masked(line)
                     count += bool(tokens)
-                    if not tokens or not gone or line_hash(tokens) not in gone and (MARK not in tokens or exact_hash(line.split()) not in gone):
+                    if not tokens or line_hash(tokens) not in gone and (MARK not in tokens or exact_hash(line.split()) not in gone):
                         kept.append(line)
-                whole = len((text or b"").split(b"\n"))
-                found.append((count, whole - len(kept), None if text is None else b"\n".join(kept).decode("utf-8", "replace")))
+                found.append((count, len(lines) - len(kept), b"\n".join(kept).decode("utf-8", "replace")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([row[0] for row in found], pa.int64()), pa.array([row[1] for row in found], pa.int64()),
                  pa.array([row[2] for row in found], pa.string())], ["doc_id", "n_lines", "n_dropped", "text"])

@@ -1,8 +1,11 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerloom.llm.line_templates import without_recurring_lines
+from ledgerloom.llm._bits import key_filter, may_hold
+from ledgerloom.llm.line_templates import signature, without_recurring_lines
 from llm.texts import long_text
 
 
@@ -117,3 +120,26 @@ def test_brute_force_over_documents(documents):
     want = sorted((key, sum(bool(masked(line)) for line in text.split("\n")), sum(tuple(masked(line)) in gone for line in text.split("\n")),
                    "\n".join(line for line in text.split("\n") if tuple(masked(line)) not in gone)) for key, text in texts.items())
     assert sorted(found(documents)) == want
+
+
+def test_signatures_agree_as_much_as_texts_share():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 40, 300, 20_000):
+        agreeing, jaccard = [], []
+        for share in (0.0, 0.5, 0.9, 1.0):
+            for _ in range(40):
+                common = rng.integers(0, 2**64, round(size * share), np.uint64)
+                pair = [np.unique(np.concatenate([common, rng.integers(0, 2**64, size - len(common), np.uint64)])) for _ in range(2)]
+                jaccard.append(len(common) / (2 * size - len(common)))
+                agreeing.append(np.equal(*(np.frombuffer(signature(values), np.uint32) for values in pair)).mean())
+        groups = np.array(agreeing).reshape(4, 40).mean(axis=1), np.array(jaccard).reshape(4, 40).mean(axis=1)
+        assert np.abs(groups[0] - groups[1]).max() < 0.12 and groups[0][-1] == 1
+
+
+def test_the_filter_holds_all_its_keys(spark):
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("key"))
+    bits = key_filter(keys, "key")
+    assert may_hold(bits, keys.toArrow()["key"].to_numpy()).all()
+    others = np.random.default_rng(1).integers(-2**63, 2**63, 200_000)
+    assert may_hold(bits, others).mean() < 1e-3 and len(may_hold(bits, others[:0])) == 0
+    assert not may_hold(key_filter(keys.limit(0), "key"), others).any()
