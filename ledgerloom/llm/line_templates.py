@@ -41,8 +41,9 @@ FAMILY = 0.6  # texts with that part of their shingles in common are of one fami
 MIN_WORDS = 5  # texts of fewer words have no shingle and are families of their own
 _DIGIT = re.compile(rb"[0-9]")
 
+BLANK = r" \t\n\x0B\f\r"  # in a character class
+
 LINES = "leaf bigint, line bigint, doc bigint, least int"
-TEXTS = f"{LINES}, masked string"
 
 
 def _signed(value: int) -> int:
@@ -86,39 +87,60 @@ def repeats_of(line: bytes, tokens: list[bytes], least: int, fixed: float) -> It
         yield key, key, whole
 
 
-def _lines(docs: DataFrame, least: int, fixed: float, leaves: np.ndarray | None = None) -> DataFrame:
-    """Leaf and hash of every different masked line of a document; with a filter of ``leaves`` those it lets through, with their tokens.
+def _lines(docs: DataFrame, least: int, fixed: float) -> DataFrame:
+    """Leaf and hash of every different masked line of a document.
 
-    What can recur without a template has rows of its own besides, with a key as leaf, its least number of
-    documents and no tokens.
+    What can recur without a template has rows of its own besides, with a key as leaf and its least number of documents.
     """
-    texts = leaves is not None
-    shared = docs.sparkSession.sparkContext.broadcast(leaves) if texts else None
-
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, found, sizes = [], [], []
+            leaf, line, count, sizes = [], [], [], []
             for text in as_bytes(batch.column("text")):
                 seen, own = {}, set()
-                for line in set(text.split(b"\n")):
-                    if tokens := masked(line):
+                for raw in set(text.split(b"\n")):
+                    if tokens := masked(raw):
                         seen[line_hash(tokens)] = tokens
-                        own.update(repeats_of(line, tokens, least, fixed))
-                keys += [leaf_of(tokens) for tokens in seen.values()]
-                found += [(line, None, tokens) for line, tokens in seen.items()]
-                keys += [key for key, _, _ in own]
-                found += [(line, count, None) for _, line, count in own]
+                        own.update(repeats_of(raw, tokens, least, fixed))
+                leaf += [leaf_of(tokens) for tokens in seen.values()]
+                line += seen
+                count += [None] * len(seen)
+                for key, value, needs in own:
+                    leaf.append(key)
+                    line.append(value)
+                    count.append(needs)
                 sizes.append(len(seen) + len(own))
-            leaf, doc = np.array(keys, np.int64), np.repeat(batch.column("doc").to_numpy(), sizes)
-            if texts:
-                passed = may_hold(shared.value, leaf)
-                leaf, doc, found = leaf[passed], doc[passed], [found[at] for at in np.flatnonzero(passed)]
-            columns = [pa.array(leaf), pa.array([row[0] for row in found], pa.int64()), pa.array(doc),
-                       pa.array([row[1] for row in found], pa.int32())]
-            if texts:
-                columns.append(pa.array([row[2] and b" ".join(row[2]).decode("utf-8", "replace") for row in found], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, ["leaf", "line", "doc", "least", "masked"][:len(columns)])
-    return docs.select("doc", "text").mapInArrow(over, TEXTS if texts else LINES)
+            doc = np.repeat(batch.column("doc").to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(doc), pa.array(count, pa.int32())],
+                                             ["leaf", "line", "doc", "least"])
+    return docs.select("doc", "text").mapInArrow(over, LINES)
+
+
+def _wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc, text`` of documents among which are all that ``wanted`` names; few others come with them."""
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(wanted.select("doc"), "doc"))
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(shared.value, batch.column("doc").to_numpy())))
+    return docs.select("doc", "text").mapInArrow(over, "doc bigint, text string")
+
+
+def _masked_texts(docs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """``leaf, line, masked`` of the masked lines in ``kinds``, each read from the one document ``doc`` named there."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, lines in zip(as_bytes(batch.column("text")), batch.column("lines").to_pylist(), strict=True):
+                wanted = set(lines)
+                for line in set(text.split(b"\n")):
+                    if (tokens := masked(line)) and (found := line_hash(tokens)) in wanted:
+                        wanted.discard(found)
+                        rows.append((leaf_of(tokens), found, b" ".join(tokens).decode("utf-8", "replace")))
+            yield pa.RecordBatch.from_arrays([pa.array([row[at] for row in rows], kind) for at, kind in
+                                              enumerate([pa.int64(), pa.int64(), pa.string()])], ["leaf", "line", "masked"])
+    lines = kinds.groupBy("doc").agg(F.collect_set("line").alias("lines"))
+    found = _wanted(docs, kinds).join(lines.hint("merge"), "doc").mapInArrow(over, "leaf bigint, line bigint, masked string")
+    return found.groupBy("leaf", "line").agg(F.any_value("masked").alias("masked"))  # rows alike in id and text give a line each
 
 
 # The order in which an empty part borrows from others.
@@ -177,7 +199,7 @@ def families(work: Workspace, docs: DataFrame) -> DataFrame:
              .join(named.select(F.col("node").alias("b"), F.col("signature").alias("right")), "b"))
     labels = components(work, _agreeing(pairs))
     # texts of few words stay one by one
-    own = F.when(F.size(F.split(F.trim(F.regexp_replace("text", "[ \\t\\n\\x0B\\f\\r]+", " ")), " ", MIN_WORDS)) >= MIN_WORDS, F.col("node"))
+    own = F.when(F.col("text").rlike(rf"\A[{BLANK}]*+(?:[^{BLANK}]++[{BLANK}]++){{{MIN_WORDS - 1}}}[^{BLANK}]"), F.col("node"))
     rows = rows.select("doc", own.alias("node"))
     return work.stage(rows.join(labels, "node", "left").select("doc", F.coalesce("label", "node", "doc").alias("family")).distinct(), "families")
 
@@ -204,13 +226,8 @@ def _rest_sketches(docs: DataFrame, held: DataFrame, least: int, fixed: float) -
             yield pa.RecordBatch.from_arrays([pa.array([row[at] for row in rows], kind) for at, kind in enumerate(kinds)],
                                              ["leaf", "line", "least", "doc", "sketch"])
     keys = held.groupBy("doc").agg(F.collect_set("leaf").alias("keys"))
-    shared = docs.sparkSession.sparkContext.broadcast(key_filter(held.select("doc"), "doc"))
-
-    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(may_hold(shared.value, batch.column("doc").to_numpy())))
-    # a merge join whatever the size, as the last one, for few texts but those wanted
-    return docs.select("doc", "text").mapInArrow(holding, "doc bigint, text string").join(keys.hint("merge"), "doc").mapInArrow(
+    # a merge join whatever the size, as the last one
+    return _wanted(docs, held).join(keys.hint("merge"), "doc").mapInArrow(
         over, "leaf bigint, line bigint, least int, doc bigint, sketch array<bigint>")
 
 
@@ -251,18 +268,18 @@ def _unrelated_repeats(work: Workspace, docs: DataFrame, held: DataFrame, least:
 def recurring_lines(work: Workspace, docs: DataFrame, least: int = MIN_DOCUMENTS, fixed: float = MIN_FIXED) -> DataFrame:
     """``leaf, line, doc`` of the lines that recur, by template or word for word, for documents with ``doc`` and ``text``."""
     # no more families than documents, so what too few documents hold is out
-    counts = (_lines(docs, least, fixed).select("leaf", "doc", "least").distinct().groupBy("leaf")
+    found = work.stage(_lines(docs, least, fixed), "lines")
+    counts = (found.select("leaf", "doc", "least").distinct().groupBy("leaf")
               .agg(F.count(F.lit(1)).alias("n"), F.any_value("least").alias("least")))
     leaves = work.stage(counts.where(F.col("n") >= F.coalesce("least", F.lit(least))).select("leaf"), "leaves")
-    found = work.stage(_lines(docs, least, fixed, key_filter(leaves, "leaf")).join(leaves, "leaf", "left_semi"), "lines")
-    held = work.stage(found.select("leaf", "line", "doc", "least", F.col("masked").isNotNull().alias("whole"))
+    held = work.stage(found.join(leaves, "leaf", "left_semi").withColumn("whole", F.col("least").isNull())
                       .join(families(work, docs), "doc"), "held")
     repeats = _unrelated_repeats(work, docs, held.where("not whole").drop("whole"), least, fixed)
     lines = held.where("whole")
     # hot lines count as one row from here on
-    kinds = (lines.select("leaf", "line", "family").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
-             .join(found.where("masked is not null").groupBy("leaf", "line").agg(F.any_value("masked").alias("masked")), ["leaf", "line"]))
-    kinds = work.stage(kinds, "kinds")
+    kinds = work.stage(lines.groupBy("leaf", "line", "family").agg(F.min("doc").alias("doc")).groupBy("leaf", "line").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc")), "kinds")
+    kinds = work.stage(kinds.join(_masked_texts(docs, kinds), ["leaf", "line"]), "texts")
     places = kinds.select("leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     support = places.groupBy("leaf", "at", "token").agg(F.sum("n").alias("support"))
     token = F.when((F.col("support") >= least) & (F.col("token") != VARIABLE), F.col("token"))
