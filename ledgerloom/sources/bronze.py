@@ -217,9 +217,12 @@ def land_csv(df: DataFrame, root: str, table: str, day: date | str) -> str:
 
 
 def land_csv_days(df: DataFrame, root: str, table: str, day_column: str) -> str:
-    """Write the raw rows of many dates as CSV in one job, one folder per date."""
+    """Write the raw rows of many dates as CSV in one job, one folder per date.
+
+    Each task writes the rows it holds, one file per date, so the rows are not shuffled on their way to the files.
+    """
     path = f"{root}/bronze/{table}"
-    rows = df.withColumnRenamed(day_column, "dt").hint("rebalance", "dt")
+    rows = df.withColumnRenamed(day_column, "dt")
     write_text(rows).option("partitionOverwriteMode", "dynamic").partitionBy("dt").csv(path)
     return path
 

@@ -34,7 +34,7 @@ def write_cleaned(df: DataFrame, root: str, table: str, days: Sequence[date | st
 
     Gives the rows per kind. Other dates stay. The rows are counted per kind and date while they are written; the folder of a date
     that has none any more is removed, which an overwrite by partition alone would leave behind.
-    A rebalance by kind and date gives each few files of even size.
+    The tasks that keep one row per key write their rows themselves, one file per kind and date, so no second shuffle follows.
     """
     written = _write_cleaned(df, root, table, days)
     return {kind: sum(rows for (own, _), rows in written.items() if own == kind) for kind in (CLEAN, REJECTED)}
@@ -45,8 +45,7 @@ def _write_cleaned(df: DataFrame, root: str, table: str, days: Sequence[date | s
     seen, path = Observation(), f"{root}/silver/{table}"
     parts = [(kind, str(day)) for kind in (CLEAN, REJECTED) for day in days]
     counts = [F.count_if((F.col("kind") == kind) & (F.col("date_partition") == day)).alias(f"{kind} {day}") for kind, day in parts]
-    rows = df.hint("rebalance", "kind", "date_partition") if len(days) > 1 else df
-    (rows.observe(seen, *counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.observe(seen, *counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("kind", "date_partition").parquet(path))
     written = {(kind, day): seen.get[f"{kind} {day}"] for kind, day in parts}
     for (kind, day), count in written.items():

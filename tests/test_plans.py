@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -165,3 +166,19 @@ def test_totals_agree_between_tables(spark):
     assert total("flat_daily_revenue", "gross_revenue") == total("flat_geo_revenue", "revenue")
     assert total("gold_order_funnel", "order_count") == run["silver_orders"](spark, sf).count()
     assert total("gold_daily_revenue", "gross_revenue") == total("gold_product_performance", "revenue")
+
+
+def test_cleaned_rows_of_many_days_are_written_by_the_tasks_that_keep_them(spark, root):
+    # no shuffle after one row per key is kept: a date's rows come in the files of the tasks that kept them
+    keys = [{"order_id": f"o{at}"} for at in range(40)]
+    days = raw(spark, "orders", *keys).withColumn("date_partition", F.when(F.col("order_id") < "o2", str(D1)).otherwise(str(D2)))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")  # so that the tasks that keep the rows stay apart
+    try:
+        counts = tables.write_cleaned(cleaned("orders", days, None, CLOCK), root, "orders", [D1, D2])
+    finally:
+        spark.conf.set(setting, "true")
+    assert counts == {"clean": 40, "rejected": 0}
+    files = [name for name in os.listdir(f"{root}/silver/orders/kind=clean/date_partition={D2}") if name.endswith(".parquet")]
+    assert len(files) > 1
+    assert rows(tables.read_silver(spark, root, "orders").groupBy("date_partition").count()) == [(str(D1), 12), (str(D2), 28)]

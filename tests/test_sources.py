@@ -6,6 +6,7 @@ import pytest
 from helpers import by, raw, rows
 from ledgerloom.sources import bronze, manifest, staging
 from ledgerloom.schemas import raw_ddl
+from pyspark.sql import functions as F
 
 DAY = date(2024, 11, 1)
 
@@ -187,3 +188,13 @@ def test_each_file_is_read_by_its_extension(spark, root):
     with pytest.raises(ValueError, match="no file"):
         put(root, "bronze/orders/dt=2024/11/01/notes.txt")
         bronze.read_day(spark, root, "orders", DAY, "any")
+
+
+def test_landing_many_days_moves_no_row_between_tasks(spark, root):
+    # each task writes its own file of a date, so the rows of a date held by two tasks stay in two files
+    orders = raw(spark, "orders", {"order_id": "a"}, {"order_id": "b"}).repartition(2).withColumn("day", F.lit("2024-11-02"))
+    assert orders.rdd.glom().map(len).collect() == [1, 1]
+    bronze.land_csv_days(orders, root, "orders", "day")
+    assert len([name for name in os.listdir(f"{root}/bronze/orders/dt=2024-11-02") if name.endswith(".csv")]) == 2
+    got = bronze.read_days(spark, root, "orders", date(2024, 11, 2), date(2024, 11, 2))
+    assert rows(got, "order_id", "date_partition") == [("a", "2024-11-02"), ("b", "2024-11-02")]
