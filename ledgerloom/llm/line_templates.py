@@ -308,26 +308,44 @@ def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("doc"))
     drops = work.stage(recurring_lines(work, rows, least, fixed).groupBy("doc").agg(F.collect_set("line").alias("lines")), "drops")
 
+    def stripped(batch: pa.RecordBatch, drop: list) -> pa.RecordBatch:
+        found = []
+        texts = [value if value is None else value.encode("utf-8", "surrogatepass") for value in batch.column("text").to_pylist()]
+        for text, dropped in zip(texts, drop, strict=True):
+            if not text or not dropped:
+                found.append((sum(not line.isspace() for line in filter(None, (text or b"").split(b"\n"))), 0,
+                              None if text is None else text.decode("utf-8", "replace")))
+                continue
+            gone, kept, count = set(dropped), [], 0
+            lines = text.split(b"\n")
+            for line in lines:
+                tokens = masked(line)
+                count += bool(tokens)
+                if not tokens or line_hash(tokens) not in gone and (MARK not in tokens or exact_hash(line.split()) not in gone):
+                    kept.append(line)
+            found.append((count, len(lines) - len(kept), b"\n".join(kept).decode("utf-8", "replace")))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([row[0] for row in found], pa.int64()), pa.array([row[1] for row in found], pa.int64()),
+             pa.array([row[2] for row in found], pa.string())], ["doc_id", "n_lines", "n_dropped", "text"])
+
+    # only documents that may lose a line meet their drops; those the filter lacks lose none and are not shuffled
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(drops.select("doc"), "doc"))
+
+    def held(batches: Iterator[pa.RecordBatch], inside: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = may_hold(shared.value, batch.column("doc").to_numpy())
+            yield batch.filter(pa.array(found if inside else ~found))
+
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            texts = [value if value is None else value.encode("utf-8", "surrogatepass") for value in batch.column("text").to_pylist()]
-            for text, dropped in zip(texts, batch.column("lines").to_pylist(), strict=True):
-                if not text or not dropped:
-                    found.append((sum(not line.isspace() for line in filter(None, (text or b"").split(b"\n"))), 0,
-                                  None if text is None else text.decode("utf-8", "replace")))
-                    continue
-                gone, kept, count = set(dropped), [], 0
-                lines = text.split(b"\n")
-                for line in lines:
-                    tokens = masked(line)
-                    count += bool(tokens)
-                    if not tokens or line_hash(tokens) not in gone and (MARK not in tokens or exact_hash(line.split()) not in gone):
-                        kept.append(line)
-                found.append((count, len(lines) - len(kept), b"\n".join(kept).decode("utf-8", "replace")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([row[0] for row in found], pa.int64()), pa.array([row[1] for row in found], pa.int64()),
-                 pa.array([row[2] for row in found], pa.string())], ["doc_id", "n_lines", "n_dropped", "text"])
+            yield stripped(batch, batch.column("lines").to_pylist())
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in held(batches, False):
+            yield stripped(batch, [None] * batch.num_rows)
+    schema = "doc_id bigint, n_lines bigint, n_dropped bigint, text string"
+    rows = rows.select("doc_id", "text", "doc")
+    maybe = rows.mapInArrow(lambda batches: held(batches, True), rows.schema)
     # a merge join whatever the size: what is dropped grows with the documents
-    return rows.join(drops.hint("merge"), "doc", "left").select("doc_id", "text", "lines").mapInArrow(
-        over, "doc_id bigint, n_lines bigint, n_dropped bigint, text string")
+    return maybe.join(drops.hint("merge"), "doc", "left").select("doc_id", "text", "lines").mapInArrow(over, schema).unionByName(
+        rows.mapInArrow(alone, schema))

@@ -143,3 +143,11 @@ def test_the_filter_holds_all_its_keys(spark):
     others = np.random.default_rng(1).integers(-2**63, 2**63, 200_000)
     assert may_hold(bits, others).mean() < 1e-3 and len(may_hold(bits, others[:0])) == 0
     assert not may_hold(key_filter(keys.limit(0), "key"), others).any()
+
+
+def test_documents_that_lose_nothing_keep_their_rows_beside_those_that_do(docs):
+    texts = [f"head {at}\nthe footer line of every page here" for at in range(5)] + [f"{chr(97 + at % 26)}{chr(97 + at // 26)}word" for at in range(30)] + [None, ""]
+    ids = [*range(35), 40, 40]
+    rows = found(docs(texts + texts[5:8], ids + ids[5:8]), least=4)
+    expected = [(at, 2, 1, f"head {at}") for at in range(5)] + [(at, 1, 0, texts[at]) for at in range(5, 35)] + [(40, 0, 0, None), (40, 0, 0, "")]
+    assert rows == sorted(expected + expected[5:8], key=str)
