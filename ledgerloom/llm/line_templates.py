@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -331,21 +332,21 @@ def without_recurring_lines(docs: DataFrame, least: int = MIN_DOCUMENTS, fixed:
     # only documents that may lose a line meet their drops; those the filter lacks lose none and are not shuffled
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(drops.select("doc"), "doc"))
 
-    def held(batches: Iterator[pa.RecordBatch], inside: bool) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = may_hold(shared.value, batch.column("doc").to_numpy())
-            yield batch.filter(pa.array(found if inside else ~found))
+    # tested on the key alone, so a text goes to Python once, on the side where it is stripped
+    @F.pandas_udf("boolean")
+    def held(doc: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(shared.value, doc.to_numpy(np.int64)), index=doc.index)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield stripped(batch, batch.column("lines").to_pylist())
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in held(batches, False):
+        for batch in batches:
             yield stripped(batch, [None] * batch.num_rows)
     schema = "doc_id bigint, n_lines bigint, n_dropped bigint, text string"
     rows = rows.select("doc_id", "text", "doc")
-    maybe = rows.mapInArrow(lambda batches: held(batches, True), rows.schema)
+    maybe = rows.where(held("doc"))
     # a merge join whatever the size: what is dropped grows with the documents
     return maybe.join(drops.hint("merge"), "doc", "left").select("doc_id", "text", "lines").mapInArrow(over, schema).unionByName(
-        rows.mapInArrow(alone, schema))
+        rows.where(~held("doc")).select("doc_id", "text").mapInArrow(alone, schema))

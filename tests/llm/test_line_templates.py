@@ -151,3 +151,12 @@ def test_documents_that_lose_nothing_keep_their_rows_beside_those_that_do(docs):
     rows = found(docs(texts + texts[5:8], ids + ids[5:8]), least=4)
     expected = [(at, 2, 1, f"head {at}") for at in range(5)] + [(at, 1, 0, texts[at]) for at in range(5, 35)] + [(40, 0, 0, None), (40, 0, 0, "")]
     assert rows == sorted(expected + expected[5:8], key=str)
+
+
+def test_last_step_sends_each_text_to_python_once(docs):
+    # the filter of documents that may lose a line reads the key alone; before, a third pass over all texts did
+    texts = [f"{name} here\nPosted by user {name} at {at}:30 today in the forum" for at, name in enumerate("abcdefgh")]
+    frame = without_recurring_lines(docs(texts), least=4)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan
+    assert sorted(row[2] for row in frame.collect()) == [1] * 8

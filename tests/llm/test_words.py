@@ -46,3 +46,12 @@ def test_windows_and_shingles():
     sets = list(shingle_sets([b"a b c d e f", b"a b c", b"a b c", b"", b"a b c d e", b"a a a a a a a"]))
     assert [len(x) for x in sets] == [2, 1, 1, 0, 1, 1]
     assert sets[1] == sets[2] and sets[4][0] in sets[0]
+
+
+def test_shingle_sets_are_sorted_and_distinct_as_unique_gives_them():
+    texts = [b"a b c d e a b c d e a b c d e", b"x y z", b"", b"one two three four five six seven", b"p q r s t " * 50]
+    for text, found in zip(texts, shingle_sets(texts), strict=True):
+        words = text.split()
+        if len(words) >= 5:
+            expected = np.unique(window_hashes(np.concatenate([h.values for h in token_hashes([text])]), 5))
+            assert found.dtype == np.uint64 and np.array_equal(found, expected)
