@@ -13,7 +13,7 @@ from ledgerloom import schemas
 from ledgerloom.operators.clean import CLEAN, RAW, REJECT, REJECTED
 from ledgerloom.operators.dedup import latest_by_key
 from ledgerloom.sources.bronze import read_csv, write_text
-from ledgerloom.sources.staging import remove_folder
+from ledgerloom.sources.staging import remove_folder, shuffles_removed
 
 COUNT_TYPES = "layer string, table_name string, row_count bigint"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # folder of rows without a value to partition by
@@ -45,8 +45,9 @@ def _write_cleaned(df: DataFrame, root: str, table: str, days: Sequence[date | s
     seen, path = Observation(), f"{root}/silver/{table}"
     parts = [(kind, str(day)) for kind in (CLEAN, REJECTED) for day in days]
     counts = [F.count_if((F.col("kind") == kind) & (F.col("date_partition") == day)).alias(f"{kind} {day}") for kind, day in parts]
-    (df.observe(seen, *counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("kind", "date_partition").parquet(path))
+    with shuffles_removed(df.sparkSession):
+        (df.observe(seen, *counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("kind", "date_partition").parquet(path))
     written = {(kind, day): seen.get[f"{kind} {day}"] for kind, day in parts}
     for (kind, day), count in written.items():
         if count == 0:
@@ -103,8 +104,9 @@ def _write_gold(df: DataFrame, root: str, table: str, overwrite: str) -> tuple[i
         rows = df.hint("rebalance", partition)
     seen, value = Observation(), F.coalesce(F.nullif(F.col(partition).cast("string"), F.lit("")), F.lit(NO_VALUE))
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(value).alias("values"))  # dates or categories
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-     .partitionBy(partition).parquet(f"{root}/gold/{table}"))
+    with shuffles_removed(df.sparkSession):
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+         .partitionBy(partition).parquet(f"{root}/gold/{table}"))
     return seen.get["rows"], set(seen.get["values"])
 
 

@@ -14,7 +14,7 @@ from ledgerloom.operators.rank import global_rank, sketched_quantiles
 from ledgerloom.plans import batch, incremental, ingest
 from ledgerloom.session import pin_time_zone
 from ledgerloom.sources import bronze, manifest, tables
-from ledgerloom.sources.staging import fresh_folder
+from ledgerloom.sources.staging import fresh_folder, remove_folder
 from ledgerloom.streaming import order_events
 from ledgerloom.testbed.bronze_views import AS_OF, SPREAD_DAYS, raw, raw_by_day, table
 
@@ -227,6 +227,7 @@ def _run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in schemas.ENTITIES:
         bronze.land_csv(raw(spark, sf_dir, name), root, name, AS_OF)
     counts = batch.run_silver(spark, root, root, AS_OF)
+    remove_folder(spark, f"{root}/bronze")  # text that is cleaned already
     return counts.unionByName(batch.run_gold(spark, root, root, AS_OF))
 
 

@@ -8,6 +8,7 @@ from ledgerloom import schemas
 from ledgerloom.operators.clean import cleaned, quarantine, silver
 from ledgerloom.plans import batch
 from ledgerloom.sources import bronze, tables
+from ledgerloom.testbed import queries
 from pyspark.sql import functions as F
 
 CLOCK = datetime(2024, 12, 1)
@@ -182,3 +183,17 @@ def test_cleaned_rows_of_many_days_are_written_by_the_tasks_that_keep_them(spark
     files = [name for name in os.listdir(f"{root}/silver/orders/kind=clean/date_partition={D2}") if name.endswith(".parquet")]
     assert len(files) > 1
     assert rows(tables.read_silver(spark, root, "orders").groupBy("date_partition").count()) == [(str(D1), 12), (str(D2), 28)]
+
+
+@pytest.mark.parametrize(("name", "left"), [("run_summary", [])])
+def test_raw_text_goes_once_it_is_cleaned(spark, root, monkeypatch, name, left):
+    """Only the steps before and after cleaning run here; the queries are compared whole elsewhere."""
+    counts = tables.run_summary(spark, "x", {"orders": 1})
+    monkeypatch.setattr(queries, "fresh_folder", lambda *_: f"{root}/{name}")
+    for module, step in ((batch, "run_silver"), (batch, "run_gold"), (batch, "run_range"), (queries.incremental, "rebuild_dates"),
+                         (queries.incremental, "refresh"), (tables, "read_silver"), (tables, "read_gold")):
+        monkeypatch.setattr(module, step, lambda *_: counts)
+    assert queries.registered()[name](spark, "/root/testdata/sf0.001").count() > 0
+    raw_orders = f"{root}/{name}/bronze/orders"
+    found = sorted(folder for folder in os.listdir(raw_orders) if folder.startswith("dt=")) if os.path.isdir(raw_orders) else []
+    assert found == left

@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import date
 
 import pytest
@@ -198,3 +199,19 @@ def test_landing_many_days_moves_no_row_between_tasks(spark, root):
     assert len([name for name in os.listdir(f"{root}/bronze/orders/dt=2024-11-02") if name.endswith(".csv")]) == 2
     got = bronze.read_days(spark, root, "orders", date(2024, 11, 2), date(2024, 11, 2))
     assert rows(got, "order_id", "date_partition") == [("a", "2024-11-02"), ("b", "2024-11-02")]
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark, root):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {name for name in (files.apply(at).getName() for at in range(files.size())) if name.startswith("shuffle_")}
+    before = shuffles()
+    counts = spark.range(5000).repartition(4).groupBy((F.col("id") % 997).alias("k")).count()
+    staging.stage(counts, "counts", root)
+    until = time.time() + 20
+    while time.time() < until and shuffles() - before:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert staging.folder_exists(spark, f"{root}/counts")
