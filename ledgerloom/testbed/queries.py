@@ -213,6 +213,9 @@ def _gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_folder(spark, "incremental")
     _land_by_day(spark, sf_dir, root)
     batch.run_range(spark, root, root, FIRST_DAY, AS_OF - timedelta(days=1))
+    for name in schemas.ENTITIES:  # text that is cleaned already; only the last day is read again
+        for back in range(1, SPREAD_DAYS):
+            remove_folder(spark, f"{root}/bronze/{name}/dt={AS_OF - timedelta(days=back)}")
     incremental.rebuild_dates(spark, root, root, tables.read_silver(spark, root, "orders"), DAY)
     moved = raw(spark, sf_dir, "orders").filter(MOVED).withColumns({
         "created_at": F.expr("cast(date_add(cast(created_at as date), 3) as string)"),

@@ -185,7 +185,7 @@ def test_cleaned_rows_of_many_days_are_written_by_the_tasks_that_keep_them(spark
     assert rows(tables.read_silver(spark, root, "orders").groupBy("date_partition").count()) == [(str(D1), 12), (str(D2), 28)]
 
 
-@pytest.mark.parametrize(("name", "left"), [("run_summary", [])])
+@pytest.mark.parametrize(("name", "left"), [("run_summary", []), ("gold_incremental", ["dt=2001", "dt=2001-08-01"])])
 def test_raw_text_goes_once_it_is_cleaned(spark, root, monkeypatch, name, left):
     """Only the steps before and after cleaning run here; the queries are compared whole elsewhere."""
     counts = tables.run_summary(spark, "x", {"orders": 1})
